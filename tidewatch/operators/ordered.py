@@ -32,14 +32,18 @@ class Layout:
     """How ordered windows are spread over tasks.
 
     ``max_task_rows``: longest series a single task may hold; ``None`` states that the caller knows every series to
-    be short (one row per day, say) and skips the count. ``block_rows``: rows per block beyond that.
+    be short (one row per day, say) and skips the count. ``block_rows``: most rows per block beyond that; smaller
+    tables use smaller blocks so that every core gets some.
     """
 
     max_task_rows: int | None = 2_000_000
     block_rows: int = 1_000_000
 
 
+# One row per series and day: a century is 36,525 rows.
 DAILY = Layout(max_task_rows=None)
+# Always in blocks.
+SPREAD = Layout(max_task_rows=0)
 
 
 class Frame:
@@ -124,8 +128,9 @@ def _plain(df, build, order_by, partition_by, lookback, lookahead, fill, layout)
 
 
 def _blocked(df, build, order_by, partition_by, lookback, lookahead, fill, layout) -> DataFrame:
-    size = max(layout.block_rows, 2 * (lookback + lookahead), 1)
-    rows = index_rows(df, order_by, partition_by).withColumn(_HOME, F.expr(f"{ROW} div {size}"))
+    indexed = index_rows(df, order_by, partition_by)
+    size = _block_size(indexed, lookback + lookahead, layout)
+    rows = indexed.withColumn(_HOME, F.expr(f"{ROW} div {size}"))
 
     # Every row goes to its own block; rows near an edge also go to the neighbour that looks at them.
     offset = F.col(ROW) % size
@@ -156,6 +161,13 @@ def _blocked(df, build, order_by, partition_by, lookback, lookahead, fill, layou
     return out.drop(ROW, BLOCK, _HOME, *names.values(), *[f"__carry_{name}" for name in fill])
 
 
+def _block_size(indexed: DataFrame, halo: int, layout: Layout) -> int:
+    """Even shares for two rounds of tasks, at most ``block_rows``, and never so small that the halo dominates."""
+    total = indexed.agg(F.max(ROW)).first()[0] or 0
+    share = total // (2 * indexed.sparkSession.sparkContext.defaultParallelism) + 1
+    return max(min(share, layout.block_rows), 4 * halo, 1)
+
+
 def _carried(rows: DataFrame, fill: dict[str, Column], partition_by: list[str], size: int, lookback: int) -> DataFrame:
     """Per block, the last non-missing fill value in front of the block and its halo, with the series it came from.
 
