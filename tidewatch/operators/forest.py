@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewatch.functions.missing import drop_incomplete, finite_value
+from tidewatch.functions.missing import all_hold, finite_value, is_finite
 from tidewatch.operators.quantiles import EXACT_ROWS, exact_quantiles
 from tidewatch.sources.staging import stage
 
@@ -147,28 +147,26 @@ class IsolationForest:
         """``fit`` plus the whole table with its ``anomaly_score``, staged so that every row is scored once."""
         features = list(features)
         model = self._grow(df, features, list(key))
-        complete = F.lit(True)
-        for c in features:
-            complete = complete & finite_value(df, c).isNotNull()
+        complete = all_hold([is_finite(df, c) for c in features])
         scored = stage(model.score_samples(df).withColumn("__complete", complete), "scores")
         training = scored.where("__complete").select("anomaly_score")
         offset = exact_quantiles(training, ["anomaly_score"], [self.contamination])["anomaly_score"][0]
         return replace(model, offset=offset), scored.drop("__complete")
 
     def _grow(self, df: DataFrame, features: list[str], key: list[str]) -> ForestModel:
-        clean = df.select(*key, *[finite_value(df, c).alias(f"f{i}") for i, c in enumerate(features)])
         names = [f"f{i}" for i in range(len(features))]
-        complete = F.lit(True)
-        for n in names:
-            complete = complete & F.col(n).isNotNull()
-        facts = clean.agg(*[F.avg(n).alias(n) for n in names], F.count_if(complete).alias("rows")).first()
+        complete = all_hold([is_finite(df, c) for c in features])
+        facts = df.agg(
+            *[F.avg(finite_value(df, c)).alias(n) for n, c in zip(names, features)], F.count_if(complete).alias("rows")
+        ).first()
         if not facts["rows"]:
             raise ValueError("no complete rows to train on")
         psi = min(self.max_samples, facts["rows"])
-        rows = self._node_rows(drop_incomplete(clean, names), key, names, facts["rows"], TREE_MARGIN)
+        training = df.where(complete).select(*key, *[F.col(f"`{c}`").cast("double").alias(n) for n, c in zip(names, features)])
+        rows = self._node_rows(training, key, names, facts["rows"], TREE_MARGIN)
         roots = [n for n in rows if n[1] == 0]
         if len(roots) < self.n_estimators or min(n[7] for n in roots) < psi:
-            rows = self._node_rows(drop_incomplete(clean, names), key, names, facts["rows"], None)
+            rows = self._node_rows(training, key, names, facts["rows"], None)
         return ForestModel(
             features=features,
             means={c: facts[n] for c, n in zip(features, names)},

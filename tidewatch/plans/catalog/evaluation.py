@@ -75,7 +75,7 @@ QUERIES = {
     "anomaly_runs": lambda s, d: anomaly_runs(scored_events(s, d), **_GLOBAL),
     "anomaly_runs_by_user": lambda s, d: anomaly_runs(scored_events(s, d), **_BY_USER),
     "prior_year_month": lambda s, d: rounded(
-        prior_years_month_mean(region_daily(s, d), "revenue", partition_by=["region"]), 4
+        prior_years_month_mean(region_daily(s, d), "orders", partition_by=["region"])
     ),
 }
 
@@ -172,11 +172,11 @@ SQL = {
     "prior_year_month": f"""
         WITH {REGION_DAILY},
         m AS (SELECT region, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
-                     sum(revenue) AS s, count(revenue) AS n FROM region_daily GROUP BY 1, 2, 3)
-        SELECT region, year, month, round(s / n, 4) AS month_mean,
+                     sum(orders) AS s, count(orders) AS n FROM region_daily GROUP BY 1, 2, 3)
+        SELECT region, year, month, round(s / n, 6) AS month_mean,
                round(sum(s) OVER (PARTITION BY region, month ORDER BY year
                                   RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
                      / sum(n) OVER (PARTITION BY region, month ORDER BY year
-                                    RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 4) AS prior_mean
+                                    RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 6) AS prior_mean
         FROM m""",
 }

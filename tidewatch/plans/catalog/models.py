@@ -12,7 +12,7 @@ from tidewatch.operators.linear_ae import LinearAutoencoder, robust_z_flags, tim
 from tidewatch.operators.outliers import detect_outliers
 from tidewatch.operators.quantiles import exact_quantiles
 from tidewatch.plans.anomaly_run import DEFAULT_CONFIG, run_anomaly_detection
-from tidewatch.plans.catalog.shared import SCORED_EVENTS, rounded, scored_events
+from tidewatch.plans.catalog.shared import REGION_DAILY, SCORED_EVENTS, rounded, scored_events
 from tidewatch.sources.series import region_daily, ship_daily, table
 from tidewatch.sources.staging import staging_path
 from tidewatch.streaming.monitor import daily_anomaly_rates, read_parquet_stream, run_available, score_stream
@@ -89,14 +89,14 @@ def _reloaded_scores(spark, folder):
 
 
 def _reconstruction(spark, folder):
-    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
-    model = LinearAutoencoder(encoding_dim=1).fit(lines, ["l_quantity", "l_extendedprice"])
-    return rounded(model.reconstruction_error(lines))
+    """Volume and revenue of a region day move together; the error is what one component cannot explain."""
+    daily = region_daily(spark, folder)
+    return rounded(LinearAutoencoder(encoding_dim=1).fit(daily, ["orders", "revenue"]).reconstruction_error(daily))
 
 
 def _reconstruction_flags(spark, folder):
-    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
-    return rounded(LinearAutoencoder(encoding_dim=1).fit(lines, ["l_quantity", "l_extendedprice"]).predict(lines))
+    daily = region_daily(spark, folder)
+    return rounded(LinearAutoencoder(encoding_dim=1).fit(daily, ["orders", "revenue"]).predict(daily))
 
 
 def _robust(spark, folder):
@@ -191,13 +191,14 @@ def _fixed_sql(columns: str, source: str, value: str = "value") -> str:
 
 _FLAGGED = """CAST(CASE WHEN score < -0.8 THEN -1 ELSE 1 END AS INTEGER) AS prediction,
               round(score, 6) AS anomaly_score, score < -0.8 AS is_anomaly"""
-_RECONSTRUCTION = """
-        WITH z AS (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice,
-                          (l_quantity - avg(l_quantity) OVER ()) / stddev_samp(l_quantity) OVER () AS a,
-                          (l_extendedprice - avg(l_extendedprice) OVER ()) / stddev_samp(l_extendedprice) OVER () AS b
-                   FROM lineitem),
+_RECONSTRUCTION = f"""
+        WITH {REGION_DAILY},
+        z AS (SELECT *, (orders - avg(orders) OVER ()) / stddev_samp(orders) OVER () AS a,
+                     (revenue - avg(revenue) OVER ()) / stddev_samp(revenue) OVER () AS b
+              FROM region_daily),
         -- two standardised columns: the minor component is their difference (positive correlation) or their sum
-        e AS (SELECT *, CASE WHEN sum(a * b) OVER () > 0 THEN (a - b) * (a - b) ELSE (a + b) * (a + b) END / 2 AS err FROM z)
+        e AS (SELECT *, CASE WHEN sum(a * b) OVER () > 0 THEN (a - b) * (a - b) ELSE (a + b) * (a + b) END / 2 AS err
+              FROM z)
 """
 _METHODS = """
         WITH q AS (SELECT quantile_cont(value, 0.25) AS a, quantile_cont(value, 0.75) AS b FROM events),
@@ -227,10 +228,10 @@ SQL = {
                anomaly_score < -0.5 AS is_anomaly
         FROM scored""",
     "ae_reconstruction": _RECONSTRUCTION
-    + """SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, round(err, 6) AS reconstruction_error FROM e""",
+    + "SELECT date, region, orders, round(revenue, 6) AS revenue, round(err, 6) AS reconstruction_error FROM e",
     "ae_flags": _RECONSTRUCTION
     + """, t AS (SELECT quantile_cont(err, 0.95) AS cut FROM e)
-        SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, round(err, 6) AS reconstruction_error,
+        SELECT date, region, orders, round(revenue, 6) AS revenue, round(err, 6) AS reconstruction_error,
                CAST(CASE WHEN err > cut THEN -1 ELSE 1 END AS INTEGER) AS prediction, err > cut AS is_anomaly
         FROM e, t""",
     "robust_z_flags": """
