@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewatch.functions.missing import all_hold, finite_value, is_finite
+from tidewatch.functions.missing import all_finite, finite_value
 from tidewatch.operators.quantiles import EXACT_ROWS, exact_quantiles
 from tidewatch.sources.staging import stage
 
@@ -147,7 +147,7 @@ class IsolationForest:
         """``fit`` plus the whole table with its ``anomaly_score``, staged so that every row is scored once."""
         features = list(features)
         model = self._grow(df, features, list(key))
-        complete = all_hold([is_finite(df, c) for c in features])
+        complete = all_finite(df, features)
         scored = stage(model.score_samples(df).withColumn("__complete", complete), "scores")
         training = scored.where("__complete").select("anomaly_score")
         offset = exact_quantiles(training, ["anomaly_score"], [self.contamination])["anomaly_score"][0]
@@ -155,7 +155,7 @@ class IsolationForest:
 
     def _grow(self, df: DataFrame, features: list[str], key: list[str]) -> ForestModel:
         names = [f"f{i}" for i in range(len(features))]
-        complete = all_hold([is_finite(df, c) for c in features])
+        complete = all_finite(df, features)
         facts = df.agg(
             *[F.avg(finite_value(df, c)).alias(n) for n, c in zip(names, features)], F.count_if(complete).alias("rows")
         ).first()

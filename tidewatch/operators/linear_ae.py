@@ -15,8 +15,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.functions.missing import column_means, drop_incomplete, finite_value
+from tidewatch.functions.missing import all_finite, column_means, finite_value
 from tidewatch.operators.quantiles import exact_quantiles
+from tidewatch.sources.staging import stage
 
 ROBUST_SCALE = 1.4826  # standard deviation of a normal distribution per unit of median absolute deviation
 
@@ -83,7 +84,9 @@ class LinearAutoencoder:
         features = list(features)
         means = column_means(df, features)
         names = [f"__x{i}" for i in range(len(features))]
-        clean = drop_incomplete(df.select(*[finite_value(df, c).alias(n) for n, c in zip(names, features)]))
+        doubles = [F.col(f"`{c}`").cast("double").alias(n) for n, c in zip(names, features)]
+        # Fitting reads the matrix several times; the features may be costly to derive.
+        clean = stage(df.where(all_finite(df, features)).select(*doubles), "matrix")
         stages = Pipeline(
             stages=[
                 VectorAssembler(inputCols=names, outputCol="__vector"),

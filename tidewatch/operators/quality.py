@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from tidewatch.functions.calendar import parse_date
 from tidewatch.functions.columns import numeric_columns
-from tidewatch.functions.missing import value
+from tidewatch.functions.missing import quoted, text_literal, value, value_sql
 from tidewatch.operators.quantiles import EXACT_ROWS, exact_quantiles
 
 REPORT_SCHEMA = T.StructType(
@@ -141,41 +141,39 @@ def discovered_bounds(df: DataFrame, config: dict | None = None) -> list[Bound]:
 
 def numeric_bounds(df: DataFrame, bounds: Sequence[Bound]) -> DataFrame:
     """Violated bounds as (column, type, bound, count, percentage of all rows)."""
-    struct = "column string, type string, bound double, count bigint, percentage double"
-    if not bounds:
-        return df.sparkSession.createDataFrame([], struct)
-    rows = []
-    for b in bounds:
-        x = value(df, b.column)
-        for kind, limit, broken in _sides(b, x):
-            count = F.count_if(broken)
-            rows.append(
-                F.struct(
-                    F.lit(b.column).alias("column"),
-                    F.lit(kind).alias("type"),
-                    F.lit(float(limit)).alias("bound"),
-                    count.alias("count"),
-                    (F.try_divide(count, F.count("*")) * 100).alias("percentage"),
-                    _applies(b, x).alias("applies"),
-                )
-            )
-    long = df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
-    return long.where(F.col("applies") & (F.col("count") > 0)).drop("applies")
+    rows = [
+        f"named_struct('column', {text_literal(b.column)}, 'type', '{kind}', 'bound', double({limit!r}),"
+        f" 'count', {count}, 'percentage', {_percentage(count)}, 'applies', {_applies(df, b)})"
+        for b in bounds
+        for kind, limit, count in _violations(df, b)
+    ]
+    if not rows:
+        return df.sparkSession.createDataFrame(
+            [], "column string, type string, bound double, count bigint, percentage double"
+        )
+    return _inline(df, rows).where("applies AND count > 0").drop("applies")
+
+
+def _inline(df: DataFrame, rows: list[str]) -> DataFrame:
+    """Aggregate structs, given as SQL text, turned into rows."""
+    return df.agg(F.expr(f"array({', '.join(rows)})").alias("rows")).select(F.inline("rows"))
+
+
+def _violations(df: DataFrame, bound: Bound) -> list[tuple[str, float, str]]:
+    """(type, bound, SQL count of violations) for each given side."""
+    x = value_sql(df, bound.column)
+    sides = (("below_minimum", bound.low, "<"), ("above_maximum", bound.high, ">"))
+    return [(kind, float(b), f"count_if({x} {sign} double({float(b)!r}))") for kind, b, sign in sides if b is not None]
 
 
-def _sides(bound: Bound, x: Column) -> list[tuple[str, float, Column]]:
-    sides = []
-    if bound.low is not None:
-        sides.append(("below_minimum", bound.low, x < bound.low))
-    if bound.high is not None:
-        sides.append(("above_maximum", bound.high, x > bound.high))
-    return sides
+def _percentage(count: str) -> str:
+    return f"try_divide({count}, count(*)) * 100"
 
 
-def _applies(bound: Bound, x: Column) -> Column:
+def _applies(df: DataFrame, bound: Bound) -> str:
     if bound.if_max_at_most is None:
-        return F.lit(True)
-    return F.coalesce(F.max(x) <= bound.if_max_at_most, F.lit(False))
+        return "true"
+    return f"coalesce(max({value_sql(df, bound.column)}) <= double({bound.if_max_at_most!r}), false)"
 
 
 def date_extent(df: DataFrame, date_col: str = "date") -> DataFrame:
@@ -184,12 +182,13 @@ def date_extent(df: DataFrame, date_col: str = "date") -> DataFrame:
 
 
 def covers_date_range(df: DataFrame, date_col: str, start: str, end: str) -> bool:
-    return bool(parse_date(df, date_col).agg(_covers(F.col(date_col), start, end)).first()[0])
+    return parse_date(df, date_col).agg(F.expr(_covers(date_col, start, end))).first()[0]
 
 
-def _covers(date: Column, start: str, end: str) -> Column:
-    first, last = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
-    return F.coalesce((F.min(date) <= first) & (F.max(date) >= last), F.lit(False))
+def _covers(date_col: str, start: str, end: str) -> str:
+    date = quoted(date_col)
+    first, last = (f"CAST({text_literal(str(t))} AS TIMESTAMP_NTZ)" for t in (start, end))
+    return f"coalesce(min({date}) <= {first} AND max({date}) >= {last}, false)"
 
 
 def check_seasonality(df: DataFrame, date_col: str, value_col: str) -> DataFrame:
@@ -270,58 +269,45 @@ def quality_table(df: DataFrame, dataset_id: str, config: dict) -> DataFrame:
     date_col = qc.get("date_column", "date")
     dated = date_col in df.columns
     typed = parse_date(df, date_col) if dated else df
+    rows: list[str] = []
 
-    rows = [
-        _row(dataset_id, "profile", None, "row_count", None, F.count("*"), None),
-        _row(dataset_id, "profile", None, "column_count", None, F.lit(len(df.columns)), None),
-    ]
+    def add(check, column, metric, bound, measured, passed="NULL", applies="true"):
+        limit = "NULL" if bound is None else repr(float(bound))
+        rows.append(
+            f"named_struct('dataset_id', {text_literal(dataset_id)}, 'check', '{check}',"
+            f" 'column', {text_literal(column)}, 'metric', '{metric}', 'bound', double({limit}),"
+            f" 'value', double({measured}), 'passed', boolean({passed}), 'applies', {applies})"
+        )
+
+    add("profile", None, "row_count", None, "count(*)")
+    add("profile", None, "column_count", None, len(df.columns))
     for c in qc.get("required_columns", ["date"]):
         here = c in df.columns
-        rows.append(_row(dataset_id, "required_columns", c, "present", None, F.lit(int(here)), F.lit(here)))
+        add("required_columns", c, "present", None, int(here), str(here))
     if dated:
-        undated = F.col(date_col).isNull()
-        for c in group_columns(df, qc):
-            undated = undated & ~_missing(df, c)
-        broken = F.count_if(undated)
-        rows.append(_row(dataset_id, "date_monotonic", date_col, "missing_dates", None, broken, broken == 0))
+        keyed = "".join(f" AND {value_sql(df, c)} IS NOT NULL" for c in group_columns(df, qc))
+        undated = f"count_if({quoted(date_col)} IS NULL{keyed})"
+        add("date_monotonic", date_col, "missing_dates", None, undated, f"{undated} = 0")
     threshold = missing_threshold(config)
     for c in df.columns:
-        ratio = F.avg(_missing(df, c).cast("int"))
-        over = F.coalesce(ratio > threshold, F.lit(False))
-        rows.append(_row(dataset_id, "missingness", c, "ratio", threshold, ratio, ~over))
+        ratio = f"avg(int({value_sql(df, c)} IS NULL))"
+        add("missingness", c, "ratio", threshold, ratio, f"coalesce({ratio} <= double({threshold!r}), true)")
     given = qc.get("numeric_bounds")
     for b in configured_bounds(df, given) + discovered_bounds(df, given):
-        x = value(df, b.column)
-        for kind, limit, broken in _sides(b, x):
-            count, applies = F.count_if(broken), _applies(b, x)
-            share = F.try_divide(count, F.count("*")) * 100
-            rows.append(_row(dataset_id, "numeric_bounds", b.column, kind, limit, count, count == 0, applies))
-            rows.append(_row(dataset_id, "numeric_bounds", b.column, f"{kind}_pct", limit, share, count == 0, applies))
+        for kind, limit, count in _violations(df, b):
+            add("numeric_bounds", b.column, kind, limit, count, f"{count} = 0", _applies(df, b))
+            add("numeric_bounds", b.column, f"{kind}_pct", limit, _percentage(count), f"{count} = 0", _applies(df, b))
     if "date_range" in config and dated:
-        covered = _covers(F.col(date_col), config["date_range"]["start"], config["date_range"]["end"])
-        rows.append(_row(dataset_id, "date_range", date_col, "covered", None, covered.cast("int"), covered))
-
-    long = typed.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
-    return long.where("applies").drop("applies")
+        covered = _covers(date_col, config["date_range"]["start"], config["date_range"]["end"])
+        add("date_range", date_col, "covered", None, f"int({covered})", covered)
+    return _inline(typed, rows).where("applies").drop("applies")
 
 
 def group_columns(df: DataFrame, qc: dict) -> list[str]:
+    """The configured grouping columns that the table has."""
     return [c for c in qc.get("date_monotonic_group_by", DEFAULT_GROUP_COLUMNS) if c in df.columns]
 
 
-def _row(dataset_id, check, column, metric, bound, measured, passed, applies=None) -> Column:
-    return F.struct(
-        F.lit(dataset_id).alias("dataset_id"),
-        F.lit(check).alias("check"),
-        F.lit(column).cast("string").alias("column"),
-        F.lit(metric).alias("metric"),
-        F.lit(None if bound is None else float(bound)).cast("double").alias("bound"),
-        measured.cast("double").alias("value"),
-        (F.lit(None).cast("boolean") if passed is None else passed).alias("passed"),
-        (F.lit(True) if applies is None else applies).alias("applies"),
-    )
-
-
 def failure_text(rows: Sequence[Row], fail_on_missing: bool) -> str | None:
     """Why a dataset fails: absent required columns always, missing values only on request; nothing else does."""
     absent = [r["column"] for r in rows if r["check"] == "required_columns" and not r["passed"]]

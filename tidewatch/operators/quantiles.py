@@ -1,8 +1,8 @@
 """Exact quantiles of columns that no single task can hold.
 
 ``percentile`` keeps every distinct value in one aggregation buffer. Beyond ``exact_rows`` the wanted ranks are
-found by narrowing: an approximate percentile proposes two real values around the rank, a count says on which side
-the rank lies, and the search goes on in that open interval. Rounds shrink the interval by about the accuracy, a
+found by narrowing: an approximate percentile proposes real values around the rank, counts say between which of them the
+rank lies, and the search goes on in that open interval. Every round shrinks the interval by about the accuracy, a
 value that repeats often is recognised by its own count, and only scalars reach the driver.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.missing import value
@@ -22,46 +22,46 @@ ACCURACY = 10_000
 
 @dataclass
 class _Search:
-    """The open interval (low, high) that holds the value of one 0-based rank."""
+    """The open interval (low, high) that holds the value of one 0-based rank.
+
+    ``below`` values lie at or under ``low`` and ``upto`` values lie under ``high``.
+    """
 
     column: str
     rank: int
-    inside: int
+    upto: int
     below: int = 0
     low: float | None = None
     high: float | None = None
     found: float | None = None
 
-    def domain(self, x: Column) -> Column:
+    @property
+    def inside(self) -> int:
+        return self.upto - self.below
+
+    @property
+    def interval(self) -> tuple:
+        return self.column, self.low, self.high
+
+    def member(self) -> Column:
+        """The column's value where it lies in the interval, missing elsewhere."""
+        x = F.col(f"`{self.column}`")
         keep = x.isNotNull()
         if self.low is not None:
             keep = keep & (x > F.lit(self.low))
         if self.high is not None:
             keep = keep & (x < F.lit(self.high))
-        return keep
-
-    def narrow(self, a: float, b: float, lower: int, at_a: int, middle: int, at_b: int) -> None:
-        local = self.rank - self.below
-        for size, step in (
-            (lower, lambda: self._into(self.low, a)),
-            (at_a, lambda: self._hit(a)),
-            (middle, lambda: self._into(a, b)),
-            (at_b, lambda: self._hit(b)),
-        ):
-            if local < size:
-                step()
-                self.inside = size
-                return
-            local -= size
-            self.below += size
-        self.inside -= lower + at_a + middle + at_b
-        self._into(b, self.high)
-
-    def _into(self, low: float | None, high: float | None) -> None:
-        self.low, self.high = low, high
-
-    def _hit(self, value: float) -> None:
-        self.found = value
+        return F.when(keep, x)
+
+    def compare(self, cut: float, less: int, at_most: int) -> None:
+        """Use that ``less`` values of the column are below ``cut`` and ``at_most`` values are not above it."""
+        if self.rank < less:
+            if less < self.upto:
+                self.high, self.upto = cut, less
+        elif self.rank < at_most:
+            self.found = cut
+        elif at_most > self.below:
+            self.low, self.below = cut, at_most
 
 
 def exact_quantiles(
@@ -123,37 +123,43 @@ def value_at_rank(df: DataFrame, column: str, rank: int, *, exact_rows: int = EX
 def _solve(values: DataFrame, searches: list[_Search], exact_rows: int, accuracy: int) -> None:
     slack = 2.0 / accuracy
     while wide := [s for s in searches if s.found is None and s.inside > exact_rows]:
+        # One sketch per interval proposes cuts on both sides of every rank in it.
+        shared = _by_interval(wide)
         proposals = []
-        for i, s in enumerate(wide):
-            x = F.col(f"`{s.column}`")
-            centre = (s.rank - s.below) / s.inside
-            bounds = F.array(F.lit(max(0.0, centre - slack)), F.lit(min(1.0, centre + slack)))
-            proposals.append(F.percentile_approx(F.when(s.domain(x), x), bounds, F.lit(accuracy)).alias(f"p{i}"))
+        for i, group in enumerate(shared):
+            shares = [(s.rank - s.below) / s.inside for s in group]
+            near = sorted({min(1.0, max(0.0, c + d)) for c in shares for d in (-slack, slack)})
+            wanted = F.array(*[F.lit(p) for p in near])
+            proposals.append(F.percentile_approx(group[0].member(), wanted, F.lit(accuracy)).alias(f"p{i}"))
         proposed = values.agg(*proposals).first()
 
+        cuts = sorted({(group[0].column, cut) for i, group in enumerate(shared) for cut in proposed[f"p{i}"]})
         counts = []
-        for i, s in enumerate(wide):
-            x, (a, b) = F.col(f"`{s.column}`"), proposed[f"p{i}"]
-            inside = s.domain(x)
-            counts += [
-                F.count_if(inside & (x < a)).alias(f"lower{i}"),
-                F.count_if(inside & (x == a)).alias(f"a{i}"),
-                F.count_if(inside & (x > a) & (x < b)).alias(f"middle{i}"),
-                F.count_if(inside & (x == b) & F.lit(a < b)).alias(f"b{i}"),
-            ]
-        counted: Row = values.agg(*counts).first()
-        for i, s in enumerate(wide):
-            a, b = proposed[f"p{i}"]
-            s.narrow(a, b, counted[f"lower{i}"], counted[f"a{i}"], counted[f"middle{i}"], counted[f"b{i}"])
-
-    rest = [s for s in searches if s.found is None]
+        for i, (column, cut) in enumerate(cuts):
+            x = F.col(f"`{column}`")
+            counts += [F.count_if(x < cut).alias(f"less{i}"), F.count_if(x <= cut).alias(f"at_most{i}")]
+        counted = values.agg(*counts).first()
+        for s in wide:
+            for i, (column, cut) in enumerate(cuts):
+                if column == s.column and s.found is None:
+                    s.compare(cut, counted[f"less{i}"], counted[f"at_most{i}"])
+
+    rest = _by_interval([s for s in searches if s.found is None])
     if rest:
-        # At most exact_rows values per search are left between its bounds.
-        picks = []
-        for i, s in enumerate(rest):
-            x = F.col(f"`{s.column}`")
-            near = F.sort_array(F.collect_list(F.when(s.domain(x), x)))
-            picks.append(F.element_at(near, s.rank - s.below + 1).alias(f"v{i}"))
+        # At most exact_rows values are left in each interval.
+        held = [F.sort_array(F.collect_list(group[0].member())) for group in rest]
+        picks = [
+            F.array(*[F.element_at(h, s.rank - s.below + 1) for s in group]).alias(f"v{i}")
+            for i, (h, group) in enumerate(zip(held, rest))
+        ]
         row = values.agg(*picks).first()
-        for i, s in enumerate(rest):
-            s.found = row[f"v{i}"]
+        for i, group in enumerate(rest):
+            for s, v in zip(group, row[f"v{i}"]):
+                s.found = v
+
+
+def _by_interval(searches: list[_Search]) -> list[list[_Search]]:
+    groups: dict[tuple, list[_Search]] = {}
+    for s in searches:
+        groups.setdefault(s.interval, []).append(s)
+    return list(groups.values())

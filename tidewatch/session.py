@@ -20,5 +20,7 @@ def local_session(app: str = "tidewatch", cores: str | int = "*", shuffle_partit
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Recording the Python call site of every column operator costs more than the operator.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
