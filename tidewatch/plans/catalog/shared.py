@@ -16,12 +16,12 @@ REGION_DAILY = """region_daily AS (
 
 SHIP_DAILY = """ship_daily AS (
   SELECT CAST(l_shipdate AS DATE) AS date, l_returnflag, CAST(count(*) AS BIGINT) AS items,
-         round(sum(l_quantity), 2) AS quantity, round(avg(l_discount), 6) AS avg_discount
+         round(sum(l_quantity), 2) AS quantity, avg(l_discount) AS avg_discount
   FROM lineitem GROUP BY 1, 2)"""
 
 EVENT_HOURLY = """event_hourly AS (
   SELECT date_trunc('hour', ts) AS hour, event_type, CAST(count(*) AS BIGINT) AS events,
-         round(sum(value), 2) AS value_sum, round(avg(value), 6) AS value_avg
+         round(sum(value), 2) AS value_sum, avg(value) AS value_avg
   FROM events GROUP BY 1, 2)"""
 
 GAPPY = """gappy AS (

@@ -90,8 +90,8 @@ def _clipped(spark, folder):
 
 QUERIES = {
     "series_region_daily": region_daily,
-    "series_ship_daily": ship_daily,
-    "series_event_hourly": event_hourly,
+    "series_ship_daily": lambda s, d: rounded(ship_daily(s, d)),
+    "series_event_hourly": lambda s, d: rounded(event_hourly(s, d)),
     "normalised_columns": _normalised,
     "ingested_raw": _raw_copies,
     "csv_roundtrip": _csv_copy,
@@ -104,8 +104,14 @@ QUERIES = {
 
 SQL = {
     "series_region_daily": f"WITH {REGION_DAILY} SELECT * FROM region_daily",
-    "series_ship_daily": f"WITH {SHIP_DAILY} SELECT * FROM ship_daily",
-    "series_event_hourly": f"WITH {EVENT_HOURLY} SELECT * FROM event_hourly",
+    "series_ship_daily": f"""
+        WITH {SHIP_DAILY}
+        SELECT date, l_returnflag, items, round(quantity, 6) AS quantity, round(avg_discount, 6) AS avg_discount
+        FROM ship_daily""",
+    "series_event_hourly": f"""
+        WITH {EVENT_HOURLY}
+        SELECT hour, event_type, events, round(value_sum, 6) AS value_sum, round(value_avg, 6) AS value_avg
+        FROM event_hourly""",
     "normalised_columns": """
         SELECT o_orderkey AS order_key, o_orderstatus AS order_status, o_totalprice AS total_price,
                CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS date

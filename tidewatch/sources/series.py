@@ -35,7 +35,7 @@ def ship_daily(spark: SparkSession, folder: str) -> DataFrame:
         .agg(
             F.count("*").alias("items"),
             F.round(F.sum("l_quantity"), 2).alias("quantity"),
-            F.round(F.avg("l_discount"), 6).alias("avg_discount"),
+            F.avg("l_discount").alias("avg_discount"),
         )
     )
 
@@ -48,7 +48,7 @@ def event_hourly(spark: SparkSession, folder: str) -> DataFrame:
         .agg(
             F.count("*").alias("events"),
             F.round(F.sum("value"), 2).alias("value_sum"),
-            F.round(F.avg("value"), 6).alias("value_avg"),
+            F.avg("value").alias("value_avg"),
         )
     )
 
