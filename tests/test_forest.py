@@ -1,5 +1,4 @@
 import math
-from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -94,25 +93,19 @@ def test_pool_draws_evenly(spark):
     assert len(parts) == 10 and all(abs(p - expected) < 6 * math.sqrt(expected) for p in parts)
 
 
-def test_repeated_keys_are_refused(spark):
-    rows = spark.range(200_000).select((F.col("id") % 2).alias("id"), F.rand(1).alias("x"))
-    forest = IsolationForest(n_estimators=2, max_samples=8)
-    # All rows share two hashes: either none is chosen, which falls back to all rows, or half the table is.
-    half = rows.select(F.lit(1).alias("k"), "x")
-    for seed in range(40_000):
-        if _chosen(spark, seed, 32 / 200_000):
-            break
-    with pytest.raises(ValueError, match="not unique"):
-        replace(forest, random_state=seed).draw_samples(half, ["k"])
-
-
-def _chosen(spark, seed, share):
-    import xxhash
-
-    # Chained as Spark does: the hash of the seed literal is the seed of the next column's hash.
-    first = xxhash.xxh64_intdigest(int(seed).to_bytes(4, "little"), seed=42)
-    second = xxhash.xxh64_intdigest((1).to_bytes(4, "little"), seed=first)
-    return (second >> 11) / 2**53 < share
+@pytest.mark.parametrize("chunk", [7, 1_000_000])
+def test_a_third_of_copies_is_sampled_as_a_third(spark, monkeypatch, chunk):
+    """A key shared by a third of the rows is neither taken nor left as a whole."""
+    monkeypatch.setattr(forest_module, "COPIES_PER_CHUNK", chunk)
+    copies = F.col("id") < 1000
+    rows = spark.range(3000).select(F.when(copies, -1).otherwise(F.col("id")).alias("id"), copies.cast("int").alias("copy"))
+    drawn = IsolationForest(n_estimators=30, max_samples=20).draw_samples(rows, ["id"])
+    assert drawn.columns == ["id", "copy", "tree", "draw"]
+    assert [r[0] for r in drawn.groupBy("tree").count().select("count").distinct().collect()] == [20]
+    share = drawn.agg(F.avg("copy")).first()[0]
+    assert abs(share - 1 / 3) < 0.1
+    again = IsolationForest(n_estimators=30, max_samples=20).draw_samples(rows.repartition(5), ["id"])
+    assert again.exceptAll(drawn).isEmpty()
 
 
 def test_missing_and_infinite_inputs_take_the_mean(spark):

@@ -15,6 +15,17 @@ from tidewatch.operators.ranking import top_anomalies
 STABILITY_WINDOW = 30
 
 
+def _persistence_columns(frame: Frame, anomaly_col: str, window: int) -> dict[str, Column]:
+    flagged = F.sum(F.col(anomaly_col).cast("int")).over(frame.rows(window - 1))
+    count = F.coalesce(flagged, F.lit(0).cast("long"))
+    return {"anomaly_count_window": count, "persistent_anomaly": count > 1}
+
+
+def _cv_column(frame: Frame, score: Column, window: int) -> Column:
+    rows = frame.rows(window - 1)
+    return divide(F.stddev_samp(score).over(rows), F.avg(score).over(rows))
+
+
 def anomaly_persistence(
     df: DataFrame,
     anomaly_col: str = "is_anomaly",
@@ -25,12 +36,14 @@ def anomaly_persistence(
     layout: Layout = Layout(),
 ) -> DataFrame:
     """Add the number of anomalies in the last ``window`` rows and whether there is more than one."""
-
-    def build(frame: Frame) -> dict[str, Column]:
-        count = F.coalesce(F.sum(F.col(anomaly_col).cast("int")).over(frame.rows(window - 1)), F.lit(0).cast("long"))
-        return {"anomaly_count_window": count, "persistent_anomaly": count > 1}
-
-    return over_rows(df, build, order_by=order_by, partition_by=partition_by, lookback=window - 1, layout=layout)
+    return over_rows(
+        df,
+        lambda frame: _persistence_columns(frame, anomaly_col, window),
+        order_by=order_by,
+        partition_by=partition_by,
+        lookback=window - 1,
+        layout=layout,
+    )
 
 
 def persistence_rate(df: DataFrame, anomaly_col: str = "is_anomaly") -> DataFrame:
@@ -88,8 +101,11 @@ def stability_metrics(
     """Mean, deviation and range of the score, and of its rolling coefficient of variation, as one row."""
     slim = df.select(*dict.fromkeys([*partition_by, *order_by, score_col]))
     with_cv = rolling_cv(slim, score_col, window, order_by=order_by, partition_by=partition_by, layout=layout)
-    score, cv = value(df, score_col), F.col(f"{score_col}_rolling_cv_{window}")
-    return with_cv.agg(
+    return _stability(with_cv, value(df, score_col), F.col(f"{score_col}_rolling_cv_{window}"))
+
+
+def _stability(df: DataFrame, score: Column, cv: Column) -> DataFrame:
+    return df.agg(
         F.avg(score).alias("mean_score"),
         F.stddev_samp(score).alias("std_score"),
         F.avg(cv).alias("cv_mean"),
@@ -108,12 +124,14 @@ def rolling_cv(
     layout: Layout = Layout(),
 ) -> DataFrame:
     """Rolling sample standard deviation over rolling mean."""
-
-    def build(frame: Frame) -> dict[str, Column]:
-        x, rows = value(df, column), frame.rows(window - 1)
-        return {f"{column}_rolling_cv_{window}": divide(F.stddev_samp(x).over(rows), F.avg(x).over(rows))}
-
-    return over_rows(df, build, order_by=order_by, partition_by=partition_by, lookback=window - 1, layout=layout)
+    return over_rows(
+        df,
+        lambda frame: {f"{column}_rolling_cv_{window}": _cv_column(frame, value(df, column), window)},
+        order_by=order_by,
+        partition_by=partition_by,
+        lookback=window - 1,
+        layout=layout,
+    )
 
 
 def evaluate_anomalies(
@@ -127,18 +145,28 @@ def evaluate_anomalies(
     partition_by: Sequence[str] = (),
     layout: Layout = Layout(),
 ) -> dict[str, DataFrame]:
-    """All evaluation tables by name."""
+    """All evaluation tables by name. Persistence and stability share one ordered pass."""
     settings = config.get("evaluation") or {}
-    ordering = {"order_by": order_by, "partition_by": partition_by, "layout": layout}
+    persistence_window = settings.get("persistence_window", 7)
+    ordered = over_rows(
+        df,
+        lambda frame: {
+            **_persistence_columns(frame, anomaly_col, persistence_window),
+            "__cv": _cv_column(frame, value(df, score_col), STABILITY_WINDOW),
+        },
+        order_by=order_by,
+        partition_by=partition_by,
+        lookback=max(persistence_window, STABILITY_WINDOW) - 1,
+        layout=layout,
+    )
+    top_k = settings.get("top_k_anomalies", 20)
     results = {
-        "persistence": anomaly_persistence(df, anomaly_col, settings.get("persistence_window", 7), **ordering),
-        "top_anomalies": top_anomalies(
-            df, score_col, settings.get("top_k_anomalies", 20), tiebreak=[*order_by, *partition_by]
-        ),
+        "persistence": ordered.drop("__cv"),
+        "top_anomalies": top_anomalies(df, score_col, top_k, tiebreak=[*order_by, *partition_by]),
     }
     if settings.get("seasonality_check", True):
         results["seasonality"] = seasonal_distribution(df, date_col, anomaly_col)
-    results["stability"] = stability_metrics(df, score_col, **ordering)
+    results["stability"] = _stability(ordered, value(df, score_col), F.col("__cv"))
     return results
 
 

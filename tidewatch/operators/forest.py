@@ -29,6 +29,10 @@ POOL_FACTOR = 2
 TREE_MARGIN = 2.0
 # A broadcast part of the forest holds at most this many nodes (about 80 MB); larger forests are scored in parts.
 MAX_BROADCAST_NODES = 2_000_000
+# Relative error of the distinct-key estimate that decides whether the key is unique enough to sample by.
+KEY_ERROR = 0.02
+COPIES_PER_CHUNK = 1_000_000
+_COPY = "__copy"
 EULER_GAMMA = 0.5772156649
 
 
@@ -139,7 +143,7 @@ class IsolationForest:
     random_state: int = 42
 
     def fit(self, df: DataFrame, features: Sequence[str], key: Sequence[str]) -> ForestModel:
-        """Train on the complete rows of ``df``. ``key`` must identify a row; it decides which rows trees see."""
+        """Train on the complete rows of ``df``. ``key`` identifies a row and decides which rows the trees see."""
         model, _ = self.fit_score(df, features, key)
         return model
 
@@ -157,12 +161,15 @@ class IsolationForest:
         names = [f"f{i}" for i in range(len(features))]
         complete = all_finite(df, features)
         facts = df.agg(
-            *[F.avg(finite_value(df, c)).alias(n) for n, c in zip(names, features)], F.count_if(complete).alias("rows")
+            *[F.avg(finite_value(df, c)).alias(n) for n, c in zip(names, features)],
+            F.count_if(complete).alias("rows"),
+            F.approx_count_distinct(F.when(complete, F.xxhash64(*key)), KEY_ERROR).alias("keys"),
         ).first()
         if not facts["rows"]:
             raise ValueError("no complete rows to train on")
         psi = min(self.max_samples, facts["rows"])
-        training = df.where(complete).select(*key, *[F.col(f"`{c}`").cast("double").alias(n) for n, c in zip(names, features)])
+        doubles = [F.col(f"`{c}`").cast("double").alias(n) for n, c in zip(names, features)]
+        training, key = _with_unique_key(df.where(complete).select(*key, *doubles), key, facts["rows"], facts["keys"])
         rows = self._node_rows(training, key, names, facts["rows"], TREE_MARGIN)
         roots = [n for n in rows if n[1] == 0]
         if len(roots) < self.n_estimators or min(n[7] for n in roots) < psi:
@@ -194,13 +201,14 @@ class IsolationForest:
 
     def draw_samples(self, rows: DataFrame, key: Sequence[str]) -> DataFrame:
         """``min(max_samples, rows)`` rows per tree without replacement, with columns ``tree`` and ``draw`` added."""
-        total = rows.count()
+        total, keys = rows.agg(F.count("*"), F.approx_count_distinct(F.xxhash64(*key), KEY_ERROR)).first()
+        rows, key = _with_unique_key(rows, list(key), total, keys)
         psi = min(self.max_samples, total)
-        drawn = self._draw(rows, list(key), total, TREE_MARGIN)
+        drawn = self._draw(rows, key, total, TREE_MARGIN)
         per_tree = drawn.groupBy("tree").count().agg(F.count("*"), F.min("count")).first()
         if per_tree[0] < self.n_estimators or per_tree[1] < psi:
-            drawn = self._draw(rows, list(key), total, None)
-        return drawn
+            drawn = self._draw(rows, key, total, None)
+        return drawn.drop(_COPY)
 
     def _draw(self, rows: DataFrame, key: list[str], total: int, margin: float | None) -> DataFrame:
         """One hash per row selects a pool of about ``2 * n_estimators * max_samples`` rows; only the pool is paired
@@ -216,8 +224,6 @@ class IsolationForest:
             # Few rows from many scan tasks: gather them before writing.
             pool = stage(rows.where(chosen).repartition(tasks, *key), "pool")
             size = pool.count()
-            if size > 4 * target:
-                raise ValueError(f"key {key} is not unique: {size} rows share the hashes of about {target}")
             if size < psi:
                 pool, size = rows, total
         trees = F.explode(F.sequence(F.lit(0), F.lit(self.n_estimators - 1)))
@@ -231,6 +237,24 @@ class IsolationForest:
         return ranked.where(F.col("__n") <= psi).drop("__n")
 
 
+def _with_unique_key(rows: DataFrame, key: list[str], total: int, keys: int) -> tuple[DataFrame, list[str]]:
+    """The rows with a key that tells them apart.
+
+    Where many rows share a key, one hash would take or leave all of them. Equal rows are then counted (copies combine
+    before the shuffle) and numbered again in chunks, which spreads a huge group of copies over many tasks.
+    """
+    if keys >= (1 - 5 * KEY_ERROR) * total:
+        return rows, key
+    columns = rows.columns
+    counted = rows.groupBy(*columns).agg(F.count("*").alias("__count"))
+    last_chunk = F.expr(f"(__count - 1) div {COPIES_PER_CHUNK}")
+    chunks = counted.withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)))
+    start = F.col("__chunk") * COPIES_PER_CHUNK
+    copies = F.sequence(start, F.least(start + (COPIES_PER_CHUNK - 1), F.col("__count") - 1))
+    spread = chunks.repartition(*columns, "__chunk").withColumn(_COPY, F.explode(copies))
+    return spread.drop("__count", "__chunk"), [*columns, _COPY]
+
+
 def _draw_position(hashed: Column) -> Column:
     """A 64-bit hash as a number in [0, 1)."""
     return F.shiftrightunsigned(hashed, 11) / F.lit(float(1 << 53))

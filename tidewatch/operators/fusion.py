@@ -12,19 +12,17 @@ from tidewatch.functions.columns import numeric_columns
 from tidewatch.functions.missing import value
 
 
-def aggregate_to_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Mean of every numeric metric per key, so that the keys become unique; rows with a missing key are dropped."""
-    metrics = [c for c in numeric_columns(df) if c not in keys]
-    return df.dropna(subset=list(keys)).groupBy(*keys).agg(*[F.avg(value(df, c)).alias(c) for c in metrics])
-
-
 def fuse_tables(tables: dict[str, DataFrame], keys: Sequence[str]) -> DataFrame:
-    """Full outer join of several tables on their common keys after each is reduced to unique keys.
+    """One row per key found in any table, with the mean of every table's numeric metrics, prefixed by the table id.
 
-    Metrics are prefixed with the table id. All joins use the same keys, so one partitioning serves them all.
+    The same result as a full outer join of the tables reduced to unique keys, but stacked and aggregated instead: one
+    shuffle of partial means for any number of tables, and a key with very many rows is combined before it travels.
+    Rows with a missing key are dropped.
     """
-    sides = []
+    sides, metrics = [], []
     for name, df in tables.items():
-        unique = aggregate_to_keys(df, keys)
-        sides.append(unique.select(*keys, *[F.col(f"`{c}`").alias(f"{name}_{c}") for c in unique.columns if c not in keys]))
-    return reduce(lambda a, b: a.join(b, list(keys), "full_outer"), sides)
+        own = [c for c in numeric_columns(df) if c not in keys]
+        sides.append(df.dropna(subset=list(keys)).select(*keys, *[value(df, c).alias(f"{name}_{c}") for c in own]))
+        metrics += [f"{name}_{c}" for c in own]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides)
+    return stacked.groupBy(*keys).agg(*[F.avg(f"`{m}`").alias(m) for m in metrics])
