@@ -3,7 +3,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tidewatch.operators.features import engineer_features
+from tidewatch.operators.ordered import DAILY, Layout
 from tidewatch.plans.catalog.models import FIXED_FOREST
+from tidewatch.streaming.incremental import feature_stream
 from tidewatch.streaming.monitor import daily_anomaly_rates, read_parquet_stream, run_available, score_stream
 
 SCHEMA = "id bigint, ts timestamp_ntz, value double, hour double"
@@ -39,3 +42,58 @@ def test_stream_scores_equal_batch_scores(spark, folder, tmp_path):
     out = run_available(score_stream(stream, FIXED_FOREST), ["id"], str(tmp_path / "out"), str(tmp_path / "cp"))
     batch = FIXED_FOREST.get_anomalies(df)
     assert out.select(batch.columns).exceptAll(batch).isEmpty() and out.count() == 100
+
+
+CONFIG = {"features": {"rolling_windows": [3, 5], "lag_features": [1, 4]}}
+
+
+@pytest.mark.parametrize("layout", [DAILY, Layout(max_task_rows=10, block_rows=8)])
+def test_stream_features_equal_batch_features(spark, tmp_path, layout):
+    """Files arrive in order of time; series pause, and gaps outlast the kept rows."""
+    rows = []
+    for i in range(160):
+        key = "hot" if i % 3 else "ab"[i // 3 % 2]
+        rows.append((i, key, float(i * i % 17) if i % 29 == 0 or key != "hot" else None))
+    schema = "n bigint, series string, x double"
+    df = spark.createDataFrame(rows, schema)
+    for part in range(4):
+        df.where(F.col("n").between(part * 40, part * 40 + 39)).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    target = str(tmp_path / "out")
+    ordering = {"order_by": ["n"], "partition_by": ["series"]}
+    query = feature_stream(
+        stream, CONFIG, ["x"], **ordering, target=target, checkpoint=str(tmp_path / "cp"), available_now=True, layout=layout
+    )
+    query.awaitTermination()
+    got = spark.read.parquet(f"{target}/features").drop("batch")
+    want = engineer_features(df, CONFIG, ["x"], **ordering, layout=DAILY)
+    assert got.count() == 160
+    assert _text(got, want.columns) == _text(want, want.columns)
+    assert spark.read.parquet(f"{target}/late").isEmpty()
+
+
+def _text(df, columns):
+    return sorted(str([round(v, 9) if isinstance(v, float) else v for v in r]) for r in df.select(columns).collect())
+
+
+def test_late_rows_are_kept_aside(spark, tmp_path):
+    schema = "n bigint, series string, x double"
+    source = str(tmp_path / "in")
+    for rows in ([(5, "a", 1.0)], [(3, "a", 2.0), (6, "a", 3.0), (1, "b", 4.0)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        feature_stream(
+            stream,
+            CONFIG,
+            ["x"],
+            order_by=["n"],
+            partition_by=["series"],
+            target=str(tmp_path / "out"),
+            checkpoint=str(tmp_path / "cp"),
+            available_now=True,
+        ).awaitTermination()
+    assert [r["n"] for r in spark.read.parquet(str(tmp_path / "out" / "late")).collect()] == [3]
+    lags = {(r["series"], r["n"]): r["x_lag_1"] for r in spark.read.parquet(str(tmp_path / "out" / "features")).collect()}
+    assert lags == {("a", 5): None, ("a", 6): 1.0, ("b", 1): None}
+    with pytest.raises(ValueError, match="look ahead"):
+        feature_stream(stream, {"features": {"lag_features": [-1]}}, ["x"], order_by=["n"], partition_by=["series"], target="", checkpoint="")

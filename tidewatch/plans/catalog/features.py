@@ -12,6 +12,9 @@ from tidewatch.operators.features import difference_features, engineer_features,
 from tidewatch.operators.ordered import DAILY, SPREAD
 from tidewatch.plans.catalog.shared import GAPPY, REGION_DAILY, rounded
 from tidewatch.sources.series import gappy_events, region_daily, table
+from tidewatch.sources.staging import staging_path
+from tidewatch.streaming.incremental import feature_stream
+from tidewatch.streaming.monitor import read_parquet_stream
 
 _BY_REGION = {"order_by": ["date"], "partition_by": ["region"], "layout": DAILY}
 _BY_TYPE = {"order_by": ["ts", "event_id"], "partition_by": ["event_type"]}
@@ -52,6 +55,24 @@ def _impute(spark, folder):
     return rounded(impute(gappy, column_means(gappy, ["reading"])))
 
 
+def _streamed(spark, folder):
+    """Features of every event type computed as the events arrive."""
+    schema = table(spark, folder, "events").schema
+    stream = read_parquet_stream(spark, folder, schema, name_glob="events.parquet")
+    base = staging_path(spark, "stream")
+    query = feature_stream(
+        stream.select("event_id", "ts", "event_type", "value"),
+        {"features": {"rolling_windows": [7], "lag_features": [1, 7]}},
+        ["value"],
+        **_BY_TYPE,
+        target=base,
+        checkpoint=f"{base}/checkpoint",
+        available_now=True,
+    )
+    query.awaitTermination()
+    return rounded(spark.read.parquet(f"{base}/features").drop("batch"))
+
+
 QUERIES = {
     "rolling_stats_partitioned": lambda s, d: rounded(
         rolling_features(region_daily(s, d), ["orders", "revenue"], [7, 30], **_BY_REGION)
@@ -83,6 +104,7 @@ QUERIES = {
     "engineered_features_global": lambda s, d: rounded(_engineered_global(s, d)),
     "feature_matrix": _matrix,
     "mean_impute": _impute,
+    "stream_features": _streamed,
     "complete_rows": lambda s, d: drop_incomplete(gappy_events(s, d)),
 }
 
@@ -255,5 +277,14 @@ SQL = {
     "mean_impute": f"""
         WITH {GAPPY}
         SELECT event_id, ts, event_type, round(coalesce(reading, avg(reading) OVER ()), 6) AS reading FROM gappy""",
+    "stream_features": _select(
+        _EVENT_COLUMNS
+        + _rolling("value", [7], _TYPE)
+        + _lags("value", [1, 7], _TYPE)
+        + _differences("value", [1], _TYPE, "value_f"),
+        "padded",
+        _EVENTS,
+        _padded("e", ["value"], _TYPE),
+    ),
     "complete_rows": f"WITH {GAPPY} SELECT * FROM gappy WHERE date IS NOT NULL AND reading IS NOT NULL",
 }
