@@ -133,13 +133,13 @@ def _blocked(df, build, order_by, partition_by, lookback, lookahead, fill, layou
     rows = indexed.withColumn(_HOME, F.expr(f"{ROW} div {size}"))
 
     # Every row goes to its own block; rows near an edge also go to the neighbour that looks at them.
-    offset = F.col(ROW) % size
-    targets = [F.col(_HOME)]
+    offset, nowhere = F.col(ROW) % size, F.array().cast("array<bigint>")
+    targets = F.array(_HOME)
     if lookback:
-        targets.append(F.when(offset >= size - lookback, F.col(_HOME) + 1))
+        targets = F.concat(targets, F.when(offset >= size - lookback, F.array(F.col(_HOME) + 1)).otherwise(nowhere))
     if lookahead:
-        targets.append(F.when(offset < lookahead, F.col(_HOME) - 1))
-    blocked = rows.withColumn(BLOCK, F.explode(F.array_compact(F.array(*targets))))
+        targets = F.concat(targets, F.when(offset < lookahead, F.array(F.col(_HOME) - 1)).otherwise(nowhere))
+    blocked = rows.withColumn(BLOCK, F.explode(targets))
 
     spec = Window.partitionBy(BLOCK, *partition_by).orderBy(ROW)
     names = {name: f"__fill_{name}" for name in fill}
