@@ -14,6 +14,7 @@ from dataclasses import dataclass, field, replace
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -25,6 +26,19 @@ from tidewatch.sources.staging import stage
 NODE_SCHEMA = (
     "tree int, node int, depth int, feature int, split double, left int, right int, size int, path_length double"
 )
+_NODE_TYPES = pa.schema(
+    [
+        ("tree", pa.int32()),
+        ("node", pa.int32()),
+        ("depth", pa.int32()),
+        ("feature", pa.int32()),
+        ("split", pa.float64()),
+        ("left", pa.int32()),
+        ("right", pa.int32()),
+        ("size", pa.int32()),
+        ("path_length", pa.float64()),
+    ]
+)
 POOL_FACTOR = 2
 TREE_MARGIN = 2.0
 # A broadcast part of the forest holds at most this many nodes (about 80 MB); larger forests are scored in parts.
@@ -57,7 +71,7 @@ class ForestModel:
     max_samples: int
     contamination: float
     random_state: int
-    nodes: list[tuple] = field(repr=False)
+    nodes: pa.Table = field(repr=False)
 
     def score(self, df: DataFrame) -> Column:
         """Anomaly score in [-1, 0), lower is more anomalous; missing inputs are filled with the training means."""
@@ -97,7 +111,7 @@ class ForestModel:
         return F.when(score < F.lit(self.offset), -1).otherwise(1)
 
     def node_table(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.nodes, NODE_SCHEMA)
+        return spark.createDataFrame(self.nodes)
 
     def save(self, spark: SparkSession, path: str) -> None:
         """Two Parquet tables below ``path``: nodes and one row of metadata."""
@@ -121,10 +135,8 @@ class ForestModel:
         base = path.rstrip("/")
         meta = spark.read.parquet(f"{base}/metadata").first().asDict()
         means = meta["means"] or {}
-        nodes = spark.read.parquet(f"{base}/nodes").orderBy("tree", "node").collect()
-        return ForestModel(
-            **{**meta, "means": {c: means.get(c) for c in meta["features"]}}, nodes=[tuple(n) for n in nodes]
-        )
+        nodes = _in_order(spark.read.schema(NODE_SCHEMA).parquet(f"{base}/nodes"))
+        return ForestModel(**{**meta, "means": {c: means.get(c) for c in meta["features"]}}, nodes=nodes)
 
 
 _META_SCHEMA = (
@@ -170,10 +182,10 @@ class IsolationForest:
         psi = min(self.max_samples, facts["rows"])
         doubles = [F.col(f"`{c}`").cast("double").alias(n) for n, c in zip(names, features)]
         training, key = _with_unique_key(df.where(complete).select(*key, *doubles), key, facts["rows"], facts["keys"])
-        rows = self._node_rows(training, key, names, facts["rows"], TREE_MARGIN)
-        roots = [n for n in rows if n[1] == 0]
-        if len(roots) < self.n_estimators or min(n[7] for n in roots) < psi:
-            rows = self._node_rows(training, key, names, facts["rows"], None)
+        nodes = self._node_rows(training, key, names, facts["rows"], TREE_MARGIN)
+        sizes = nodes.filter(pc.equal(nodes["node"], 0))["size"].to_numpy()
+        if len(sizes) < self.n_estimators or sizes.min() < psi:
+            nodes = self._node_rows(training, key, names, facts["rows"], None)
         return ForestModel(
             features=features,
             means={c: facts[n] for c, n in zip(features, names)},
@@ -183,21 +195,20 @@ class IsolationForest:
             max_samples=self.max_samples,
             contamination=self.contamination,
             random_state=self.random_state,
-            nodes=rows,
+            nodes=nodes,
         )
 
-    def _node_rows(self, rows: DataFrame, key: list[str], names: list[str], total: int, margin: float | None):
+    def _node_rows(self, rows: DataFrame, key: list[str], names: list[str], total: int, margin: float | None) -> pa.Table:
         psi, seed = min(self.max_samples, total), self.random_state
         limit = math.ceil(math.log2(max(psi, 2)))
 
         def grow(pdf: pd.DataFrame) -> pd.DataFrame:
             tree = int(pdf["tree"].iloc[0])
             sample = pdf.sort_values("draw", kind="stable")[names].to_numpy(dtype=float)
-            return pd.DataFrame(_grow_tree(tree, sample, limit, seed), columns=_NODE_COLUMNS)
+            return pd.DataFrame(_grow_tree(tree, sample, limit, seed), columns=_NODE_TYPES.names)
 
         nodes = self._draw(rows, key, total, margin).groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
-        # At most n_estimators * (2 * psi - 1) rows.
-        return sorted((tuple(r) for r in nodes.collect()), key=lambda n: n[:2])
+        return _in_order(nodes)
 
     def draw_samples(self, rows: DataFrame, key: Sequence[str]) -> DataFrame:
         """``min(max_samples, rows)`` rows per tree without replacement, with columns ``tree`` and ``draw`` added."""
@@ -260,7 +271,15 @@ def _draw_position(hashed: Column) -> Column:
     return F.shiftrightunsigned(hashed, 11) / F.lit(float(1 << 53))
 
 
-_NODE_COLUMNS = ["tree", "node", "depth", "feature", "split", "left", "right", "size", "path_length"]
+def node_rows(rows: list[tuple]) -> pa.Table:
+    """Nodes given by hand as (tree, node, depth, feature, split, left, right, size, path_length), in order."""
+    return pa.Table.from_pylist([dict(zip(_NODE_TYPES.names, r)) for r in rows], schema=_NODE_TYPES)
+
+
+def _in_order(nodes: DataFrame) -> pa.Table:
+    """The node table on the driver: at most n_estimators * (2 * psi - 1) rows."""
+    table = nodes.select(*_NODE_TYPES.names).toArrow().cast(_NODE_TYPES)
+    return table.sort_by([("tree", "ascending"), ("node", "ascending")]).combine_chunks()
 
 
 def _grow_tree(tree: int, rows: np.ndarray, limit: int, seed: int) -> list[tuple]:
@@ -277,8 +296,8 @@ def _grow_tree(tree: int, rows: np.ndarray, limit: int, seed: int) -> list[tuple
         if depth >= limit or size <= 1 or not len(varied):
             nodes.append((tree, node, depth, -1, None, -1, -1, size, depth + average_path(size)))
             continue
-        feature = int(random.choice(varied))
-        split = float(random.uniform(low[feature], high[feature]))
+        feature = int(varied[int(random.random() * len(varied))])
+        split = float(low[feature] + (high[feature] - low[feature]) * random.random())
         if not low[feature] < split <= high[feature]:
             split = float(high[feature])
         left = part[:, feature] < split
@@ -289,33 +308,33 @@ def _grow_tree(tree: int, rows: np.ndarray, limit: int, seed: int) -> list[tuple
     return nodes
 
 
-def _node_parts(nodes: list[tuple]) -> Iterator[list[tuple]]:
+def _node_parts(nodes: pa.Table) -> Iterator[pa.Table]:
     """Whole trees, grouped into parts of bounded size."""
-    part: list[tuple] = []
-    by_tree: dict[int, list[tuple]] = {}
-    for n in nodes:
-        by_tree.setdefault(n[0], []).append(n)
-    for tree in sorted(by_tree):
-        if part and len(part) + len(by_tree[tree]) > MAX_BROADCAST_NODES:
-            yield part
-            part = []
-        part = part + by_tree[tree]
-    yield part
-
-
-def _path_udf(spark: SparkSession, nodes: list[tuple], width: int):
+    roots = np.flatnonzero(nodes["node"].to_numpy() == 0)
+    ends = np.append(roots[1:], len(nodes))
+    start = 0
+    for begin, end in zip(roots, ends):
+        if end - start > MAX_BROADCAST_NODES and begin > start:
+            yield nodes.slice(start, begin - start)
+            start = begin
+    yield nodes.slice(start)
+
+
+def _path_udf(spark: SparkSession, nodes: pa.Table, width: int):
     """Sum over the given trees of the path length of each row."""
-    index = {(n[0], n[1]): i for i, n in enumerate(nodes)}
-    inner = [n[3] >= 0 for n in nodes]
+    column = {n: nodes[n].to_numpy() for n in ("node", "depth", "feature", "left", "right", "split", "path_length")}
+    here, inner = np.arange(len(nodes)), column["feature"] >= 0
+    roots = np.flatnonzero(column["node"] == 0)
+    root_of = np.repeat(roots, np.diff(np.append(roots, len(nodes))))
+    # A leaf points at itself and nothing passes an infinite split, so all rows can take the same steps.
     packed = {
-        "roots": np.array([i for i, n in enumerate(nodes) if n[1] == 0]),
-        "depth": max(n[2] for n in nodes),
-        "feature": np.array([max(n[3], 0) for n in nodes]),
-        # A leaf points at itself and nothing passes an infinite split, so all rows can take the same steps.
-        "split": np.array([n[4] if go else np.inf for n, go in zip(nodes, inner)]),
-        "left": np.array([index[n[0], n[5]] if go else i for i, (n, go) in enumerate(zip(nodes, inner))]),
-        "right": np.array([index[n[0], n[6]] if go else i for i, (n, go) in enumerate(zip(nodes, inner))]),
-        "path": np.array([0.0 if go else n[8] for n, go in zip(nodes, inner)]),
+        "roots": roots,
+        "depth": int(column["depth"].max()),
+        "feature": np.where(inner, column["feature"], 0),
+        "split": np.where(inner, column["split"], np.inf),
+        "left": np.where(inner, root_of + column["left"], here),
+        "right": np.where(inner, root_of + column["right"], here),
+        "path": np.where(inner, 0.0, column["path_length"]),
     }
     shared = spark.sparkContext.broadcast(packed)
 

@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.functions.missing import all_finite, column_means, finite_value
+from tidewatch.functions.missing import column_means, drop_incomplete, finite_value
 from tidewatch.operators.quantiles import exact_quantiles
 from tidewatch.sources.staging import stage
 
@@ -82,11 +82,11 @@ class LinearAutoencoder:
         if self.threshold not in ("percentile", "robust"):
             raise ValueError(f"unknown threshold: {self.threshold!r}")
         features = list(features)
-        means = column_means(df, features)
         names = [f"__x{i}" for i in range(len(features))]
-        doubles = [F.col(f"`{c}`").cast("double").alias(n) for n, c in zip(names, features)]
-        # Fitting reads the matrix several times; the features may be costly to derive.
-        clean = stage(df.where(all_finite(df, features)).select(*doubles), "matrix")
+        # Fitting reads the matrix several times and the features may be costly to derive.
+        matrix = stage(df.select(*[finite_value(df, c).alias(n) for n, c in zip(names, features)]), "matrix")
+        means = dict(zip(features, column_means(matrix, names).values()))
+        clean = drop_incomplete(matrix)
         stages = Pipeline(
             stages=[
                 VectorAssembler(inputCols=names, outputCol="__vector"),

@@ -100,10 +100,17 @@ def index_rows(df: DataFrame, order_by: Sequence[str], partition_by: Sequence[st
     of rows in front of a partition from a table with one row per partition. The sorted table is staged because the
     range boundaries are drawn anew whenever the plan is run again.
     """
+    return _numbered(_sorted(df, order_by, partition_by))
+
+
+def _sorted(df: DataFrame, order_by: Sequence[str], partition_by: Sequence[str]) -> DataFrame:
+    """The staged rows in order, ``__row`` holding the partition and the position in it."""
     keys = [F.col(f"`{k}`").asc_nulls_last() for k in [*partition_by, *order_by]]
     ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    staged = stage(ranged.withColumn(ROW, F.monotonically_increasing_id()), "ordered")
+    return stage(ranged.withColumn(ROW, F.monotonically_increasing_id()), "ordered")
+
 
+def _numbered(staged: DataFrame) -> DataFrame:
     part = F.shiftright(F.col(ROW), _POSITION_BITS)
     position = F.col(ROW).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     sizes = staged.groupBy(part.alias(_PART)).count()
@@ -128,9 +135,9 @@ def _plain(df, build, order_by, partition_by, lookback, lookahead, fill, layout)
 
 
 def _blocked(df, build, order_by, partition_by, lookback, lookahead, fill, layout) -> DataFrame:
-    indexed = index_rows(df, order_by, partition_by)
-    size = _block_size(indexed, lookback + lookahead, layout)
-    rows = indexed.withColumn(_HOME, F.expr(f"{ROW} div {size}"))
+    staged = _sorted(df, order_by, partition_by)
+    size = _block_size(staged, lookback + lookahead, layout)
+    rows = _numbered(staged).withColumn(_HOME, F.expr(f"{ROW} div {size}"))
 
     # Every row goes to its own block; rows near an edge also go to the neighbour that looks at them.
     offset, nowhere = F.col(ROW) % size, F.array().cast("array<bigint>")
@@ -161,10 +168,9 @@ def _blocked(df, build, order_by, partition_by, lookback, lookahead, fill, layou
     return out.drop(ROW, BLOCK, _HOME, *names.values(), *[f"__carry_{name}" for name in fill])
 
 
-def _block_size(indexed: DataFrame, halo: int, layout: Layout) -> int:
+def _block_size(staged: DataFrame, halo: int, layout: Layout) -> int:
     """Even shares for two rounds of tasks, at most ``block_rows``, and never so small that the halo dominates."""
-    total = indexed.agg(F.max(ROW)).first()[0] or 0
-    share = total // (2 * indexed.sparkSession.sparkContext.defaultParallelism) + 1
+    share = staged.count() // (2 * staged.sparkSession.sparkContext.defaultParallelism) + 1
     return max(min(share, layout.block_rows), 4 * halo, 1)
 
 

@@ -7,7 +7,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from tidewatch.operators.evaluation import join_methods, method_overlap
-from tidewatch.operators.forest import ForestModel, IsolationForest, average_path
+from tidewatch.operators.forest import ForestModel, IsolationForest, average_path, node_rows
 from tidewatch.operators.linear_ae import LinearAutoencoder, robust_z_flags, time_split
 from tidewatch.operators.outliers import detect_outliers
 from tidewatch.operators.quantiles import exact_quantiles
@@ -40,7 +40,7 @@ FIXED_FOREST = ForestModel(
     max_samples=256,
     contamination=0.05,
     random_state=0,
-    nodes=_TREES,
+    nodes=node_rows(_TREES),
 )
 _FEATURES = ["value", "hour", "user"]
 
