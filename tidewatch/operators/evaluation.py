@@ -17,13 +17,13 @@ STABILITY_WINDOW = 30
 
 def _persistence_columns(frame: Frame, anomaly_col: str, window: int) -> dict[str, Column]:
     flagged = F.sum(F.col(anomaly_col).cast("int")).over(frame.rows(window - 1))
-    count = F.coalesce(flagged, F.lit(0).cast("long"))
+    count = F.coalesce(frame.once(flagged), F.lit(0).cast("long"))
     return {"anomaly_count_window": count, "persistent_anomaly": count > 1}
 
 
 def _cv_column(frame: Frame, score: Column, window: int) -> Column:
     rows = frame.rows(window - 1)
-    return divide(F.stddev_samp(score).over(rows), F.avg(score).over(rows))
+    return divide(frame.once(F.stddev_samp(score).over(rows)), frame.once(F.avg(score).over(rows)))
 
 
 def anomaly_persistence(

@@ -23,12 +23,11 @@ def rolling_columns(
     for w in windows:
         rows = frame.rows(w - 1)
         needed = w if min_periods is None else min_periods
+        enough = frame.once(F.count(col).over(rows)) >= needed if needed > 1 else None
         for stat, aggregate in ROLLING_STATS.items():
             rolled = aggregate(col).over(rows)
             # Each statistic is already missing on an empty window.
-            if needed > 1:
-                rolled = F.when(F.count(col).over(rows) >= needed, rolled)
-            out[f"{name}_rolling_{stat}_{w}"] = rolled
+            out[f"{name}_rolling_{stat}_{w}"] = rolled if enough is None else F.when(enough, rolled)
     return out
 
 
@@ -39,9 +38,11 @@ def lag_columns(frame: Frame, name: str, col: Column, lags: Sequence[int]) -> di
 def difference_columns(frame: Frame, name: str, col: Column, periods: Sequence[int], pad: bool) -> dict[str, Column]:
     out = {}
     for p in periods:
+        earlier = frame.once(F.lag(col, p).over(frame.order))
         current = frame.filled(name) if pad else col
-        out[f"{name}_diff_{p}"] = col - F.lag(col, p).over(frame.order)
-        out[f"{name}_pct_change_{p}"] = divide(current, F.lag(current, p).over(frame.order)) - 1
+        base = frame.once(F.lag(current, p).over(frame.order)) if pad else earlier
+        out[f"{name}_diff_{p}"] = col - earlier
+        out[f"{name}_pct_change_{p}"] = divide(current, base) - 1
     return out
 
 

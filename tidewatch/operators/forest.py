@@ -156,21 +156,26 @@ class IsolationForest:
 
     def fit(self, df: DataFrame, features: Sequence[str], key: Sequence[str]) -> ForestModel:
         """Train on the complete rows of ``df``. ``key`` identifies a row and decides which rows the trees see."""
-        model, _ = self.fit_score(df, features, key)
-        return model
+        features = list(features)
+        model = self._grow(df, features, list(key))
+        training = df.where(all_finite(df, features))
+        # The quantile search reads the scores several times; scoring happens once.
+        return self._with_offset(model, stage(training.select(model.score(training).alias("anomaly_score")), "scores"))
 
     def fit_score(self, df: DataFrame, features: Sequence[str], key: Sequence[str]) -> tuple[ForestModel, DataFrame]:
         """``fit`` plus the whole table with its ``anomaly_score``, staged so that every row is scored once."""
         features = list(features)
         model = self._grow(df, features, list(key))
-        complete = all_finite(df, features)
-        scored = stage(model.score_samples(df).withColumn("__complete", complete), "scores")
-        training = scored.where("__complete").select("anomaly_score")
-        offset = exact_quantiles(training, ["anomaly_score"], [self.contamination])["anomaly_score"][0]
-        return replace(model, offset=offset), scored.drop("__complete")
+        scored = stage(model.score_samples(df).withColumn("__complete", all_finite(df, features)), "scores")
+        model = self._with_offset(model, scored.where("__complete").select("anomaly_score"))
+        return model, scored.drop("__complete")
+
+    def _with_offset(self, model: ForestModel, scores: DataFrame) -> ForestModel:
+        offset = exact_quantiles(scores, ["anomaly_score"], [self.contamination])["anomaly_score"][0]
+        return replace(model, offset=offset)
 
     def _grow(self, df: DataFrame, features: list[str], key: list[str]) -> ForestModel:
-        names = [f"f{i}" for i in range(len(features))]
+        names = [f"__f{i}" for i in range(len(features))]
         complete = all_finite(df, features)
         facts = df.agg(
             *[F.avg(finite_value(df, c)).alias(n) for n, c in zip(names, features)],

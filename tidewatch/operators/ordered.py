@@ -51,6 +51,7 @@ class Frame:
 
     def __init__(self, spec: WindowSpec, fills: dict[str, str]):
         self.order = spec
+        self.shared: dict[str, Column] = {}
         self._fills = fills
 
     def rows(self, back: int, ahead: int = 0) -> WindowSpec:
@@ -60,6 +61,12 @@ class Frame:
         """Last non-missing value of a declared fill source, up to and including this row."""
         return F.col(f"`{self._fills[name]}`")
 
+    def once(self, windowed: Column) -> Column:
+        """A window expression that several results use; written in place it would be evaluated for each of them."""
+        name = f"__shared_{len(self.shared)}"
+        self.shared[name] = windowed
+        return F.col(name)
+
 
 Builder = Callable[[Frame], dict[str, Column]]
 
@@ -131,7 +138,13 @@ def _plain(df, build, order_by, partition_by, lookback, lookahead, fill, layout)
     names = {name: f"__fill_{name}" for name in fill}
     filled = {names[name]: F.last(source, ignorenulls=True).over(so_far) for name, source in fill.items()}
     ready = df.withColumns(filled) if filled else df
-    return ready.withColumns(build(Frame(spec, names))).drop(*names.values())
+    return _append(ready, build, Frame(spec, names)).drop(*names.values())
+
+
+def _append(df: DataFrame, build: Builder, frame: Frame) -> DataFrame:
+    results = build(frame)
+    ready = df.withColumns(frame.shared) if frame.shared else df
+    return ready.withColumns(results).drop(*frame.shared)
 
 
 def _blocked(df, build, order_by, partition_by, lookback, lookahead, fill, layout) -> DataFrame:
@@ -164,7 +177,7 @@ def _blocked(df, build, order_by, partition_by, lookback, lookahead, fill, layou
             )
         blocked = blocked.withColumns(filled)
 
-    out = blocked.withColumns(build(Frame(spec, names))).where(F.col(BLOCK) == F.col(_HOME))
+    out = _append(blocked, build, Frame(spec, names)).where(F.col(BLOCK) == F.col(_HOME))
     return out.drop(ROW, BLOCK, _HOME, *names.values(), *[f"__carry_{name}" for name in fill])
 
 

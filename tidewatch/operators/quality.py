@@ -53,11 +53,19 @@ class Bound:
     if_max_at_most: float | None = None
 
 
+def _absent_text(columns: Sequence[str]) -> str:
+    return f"required columns are absent: {', '.join(columns)}"
+
+
+def _sparse_text(columns: Sequence[str]) -> str:
+    return f"too many missing values in: {', '.join(columns)}"
+
+
 def required_columns(df: DataFrame, required: Sequence[str]) -> dict:
     """Present and missing required columns; raises when one is missing."""
     missing = [c for c in required if c not in df.columns]
     if missing:
-        raise QualityError(f"Missing required columns: {missing}")
+        raise QualityError(_absent_text(missing))
     return {
         "required_columns": list(required),
         "present_columns": list(required),
@@ -72,7 +80,7 @@ def _missing(df: DataFrame, name: str) -> Column:
 
 def _need_date(df: DataFrame, date_col: str) -> None:
     if date_col not in df.columns:
-        raise QualityError(f"Date column '{date_col}' not found in DataFrame")
+        raise QualityError(f"the table has no date column {date_col!r}")
 
 
 def groups_with_missing_dates(df: DataFrame, date_col: str, group_cols: Sequence[str]) -> DataFrame:
@@ -114,7 +122,7 @@ def missingness(df: DataFrame, threshold: float = DEFAULT_MISSING_THRESHOLD, fai
     ratios = row.asDict()
     over = [c for c, ratio in ratios.items() if ratio is not None and ratio > threshold]
     if fail_on_threshold and over:
-        raise QualityError(f"Columns exceed missing data threshold: {over}")
+        raise QualityError(_sparse_text(over))
     return ratios
 
 
@@ -312,8 +320,8 @@ def failure_text(rows: Sequence[Row], fail_on_missing: bool) -> str | None:
     """Why a dataset fails: absent required columns always, missing values only on request; nothing else does."""
     absent = [r["column"] for r in rows if r["check"] == "required_columns" and not r["passed"]]
     if absent:
-        return f"Missing required columns: {absent}"
+        return _absent_text(absent)
     over = [r["column"] for r in rows if r["check"] == "missingness" and not r["passed"]]
     if fail_on_missing and over:
-        return f"Columns exceed missing data threshold: {over}"
+        return _sparse_text(over)
     return None

@@ -47,9 +47,8 @@ def windowed_rates(
     missing = [F.count_if(F.col(c).isNull()).alias(f"{c}_missing") for c in value_cols]
     grouped = keyed.groupBy(F.window("__time", window).alias("__window"), *by)
     counted = grouped.agg(F.count("*").alias("rows"), F.count_if(flag).alias("anomalies"), *missing)
-    return counted.select(
-        F.col("__window.start").cast("timestamp_ntz").alias("window_start"), *by, *[c for c in counted.columns if c not in ("__window", *by)]
-    )
+    counts = [c for c in counted.columns if c not in ("__window", *by)]
+    return counted.select(F.col("__window.start").cast("timestamp_ntz").alias("window_start"), *by, *counts)
 
 
 def run_available(updates: DataFrame, keys: Sequence[str], target: str, checkpoint: str) -> DataFrame:
