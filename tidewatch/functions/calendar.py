@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 def parse_date(df: DataFrame, column: str = "date") -> DataFrame:
     """Type a date column; unreadable text raises (ANSI cast). Tables without the column pass through."""
-    if column not in df.columns or isinstance(df.schema[column].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+    dated = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    if column not in df.columns or isinstance(df.schema[column].dataType, dated):
         return df
     return df.withColumn(column, F.col(column).cast("timestamp_ntz"))
 

@@ -13,7 +13,10 @@ from tidewatch.sources.series import event_hourly, region_daily, ship_daily, tab
 from tidewatch.sources.staging import staging_path
 from tidewatch.sources.tables import load_csv, load_ingested, load_parquet, processed_path, save_csv, save_parquet
 
-_NAMES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+_NAMES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels"
+    " conversations"
+)
 
 
 def _normalised(spark, folder):
@@ -34,9 +37,14 @@ def _raw_copies(spark, folder):
     root = staging_path(spark, "ingest")
     ingest_tables(spark, {n: f"{folder}/{n}.parquet" for n in ("customer", "supplier")}, root)
     tables = load_ingested(spark, ["customer", "supplier"], root, "local")
-    customers = tables["customer"].select(F.lit("customer").alias("party"), F.col("c_custkey").alias("party_key"), F.col("c_acctbal").alias("balance"))
-    suppliers = tables["supplier"].select(F.lit("supplier").alias("party"), F.col("s_suppkey").alias("party_key"), F.col("s_acctbal").alias("balance"))
-    return customers.unionByName(suppliers)
+
+    def parties(name, key, balance):
+        return tables[name].select(
+            F.lit(name).alias("party"), F.col(key).alias("party_key"), F.col(balance).alias("balance")
+        )
+
+    customers = parties("customer", "c_custkey", "c_acctbal")
+    return customers.unionByName(parties("supplier", "s_suppkey", "s_acctbal"))
 
 
 def _csv_copy(spark, folder):
