@@ -1,9 +1,13 @@
 import math
+import os
+import subprocess
+import sys
 
 import numpy as np
 import pandas as pd
 import pyarrow.compute as pc
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 import tidewatch.operators.forest as forest_module
@@ -145,3 +149,16 @@ def test_incomplete_rows_are_scored_but_not_trained_on(spark, matrix):
     assert pc.max(model.nodes["size"]).as_py() == 256
     complete = [r[0] for r in scored.where("feature_0 IS NOT NULL").select("anomaly_score").collect()]
     assert model.offset == pytest.approx(np.quantile(complete, 0.1))
+
+
+def test_worker_code_needs_no_installed_package(tmp_path):
+    """Python workers of a cluster may not have this package."""
+    (tmp_path / "grow.pkl").write_bytes(cloudpickle.dumps(forest_module._grow_tree))
+    script = (
+        "import pickle, numpy as np; grow = pickle.load(open('grow.pkl', 'rb'));"
+        "print(len(grow(0, np.arange(8.0).reshape(8, 1), 3, 1)))"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True)
+    assert out.returncode == 0, out.stderr
+    assert int(out.stdout) >= 3

@@ -8,6 +8,7 @@ rows of an Arrow batch together. Nothing depends on the partition layout: equal
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field, replace
 
@@ -15,6 +16,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -23,6 +25,9 @@ from tidewatch.functions.missing import all_finite, finite_value
 from tidewatch.operators.quantiles import EXACT_ROWS, exact_quantiles
 from tidewatch.sources.staging import stage
 
+# The functions that run in Python workers travel with their code, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 NODE_SCHEMA = (
     "tree int, node int, depth int, feature int, split double, left int, right int, size int, path_length double"
 )
