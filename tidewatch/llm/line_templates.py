@@ -11,7 +11,7 @@ the smallest key, in it the first one, stays; all other lines of the template ar
 ``drop_share`` percent of its words is dropped as a whole.
 
 * NULL and empty texts have no lines and stay as they are; lines under ``SHORT`` tokens are never dropped.
-* Repeated rows of one key count as documents, and keep or lose the same lines. NULL keys come first.
+* Equal rows of one key count as one document and keep or lose the same lines. NULL keys come first.
 * Texts that lose nothing stay byte for byte, line breaks included. An empty table gives an empty table.
 """
 
@@ -79,7 +79,7 @@ def dropped_lines(
     )
     keyed = stage(
         lines.select(
-            "mark", "key", "at", "n", F.transform(templates(F.col("line"), F.col("n")), F.xxhash64).alias("templates")
+            "mark", "key", "at", "n", F.transform(templates(F.col("line"), F.col("n")), lambda t: F.xxhash64(t)).alias("templates")
         ),
         "line-templates",
     )
