@@ -1,5 +1,7 @@
 """The registered queries in SQL, for those that SQL can express."""
 
+from tidewatch.llm import secrets
+
 OP6 = r"""
 WITH d AS (
   SELECT doc_id, row_number() OVER () AS r,
@@ -57,4 +59,140 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             OR 10 * n_distinct < n_words) AS kept
 FROM v"""
 
-SQL = {"op6_decontaminate": OP6, "op9_quality": OP9}
+
+OP5 = r"""
+WITH RECURSIVE p AS (
+  SELECT row_number() OVER () AS r, page_id, coalesce(html, '') AS html,
+         CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+u AS (
+  SELECT r, page_id, html, rest, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+ruled AS (
+  SELECT *, CASE
+    WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/en/1%' THEN 'example.org/en/1'
+    WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/es/%' THEN 'example.org/es/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/fr/%' THEN 'com/fr/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/de/%' THEN 'com/de/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/%' THEN 'org/' END AS rule FROM u),
+judged AS (
+  SELECT *, CASE WHEN rule IN ('org/', 'com/fr/') THEN 2 WHEN rule IS NOT NULL THEN 1 END AS own FROM ruled),
+tags AS (
+  SELECT r, host AS base, unnest(list_filter(regexp_extract_all(html, '<(?i:link|meta)\b[^>]*>'), lambda t:
+    regexp_matches(t, '(?i)\brel\s*=\s*["'']?canonical\b|\bhttp-equiv\s*=\s*["'']?refresh\b'))) AS tag FROM u),
+targets AS (
+  SELECT r, base, coalesce(nullif(regexp_extract(tag, '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1), ''),
+           nullif(regexp_extract(tag, '(?i)\burl\s*=\s*["'']?([^"''\s>]+)', 1), '')) AS t FROM tags),
+named AS (
+  SELECT r, 'page' AS what, rest FROM u
+  UNION ALL
+  SELECT r, 'link', CASE WHEN strpos(a, '://') > 0 THEN substr(a, strpos(a, '://') + 3) ELSE '' END
+  FROM (SELECT r, CASE WHEN t LIKE '//%' THEN 'http:' || t WHEN t LIKE '/%' THEN 'http://' || base || t ELSE t END AS a
+        FROM targets)),
+addresses AS (
+  SELECT r, what, nullif(regexp_replace(regexp_replace(translate(regexp_extract(rest, '^[^/?#]*'),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ':(80|443)$', ''), '\.$', ''), '') AS name,
+         regexp_replace(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '/+$', '') AS path,
+         array_to_string(list_sort(list_filter(string_split(regexp_extract(rest, '^[^?#]*\?([^#]*)', 1), '&'), lambda q:
+           q <> '' AND NOT regexp_matches(q, '^(utm_[a-z]+|ref|fbclid|gclid|msclkid|mc_cid|mc_eid)(=|$)'))), '&') AS q
+  FROM named),
+nodes AS (
+  SELECT r, what, name || path || CASE WHEN q = '' THEN '' ELSE '?' || q END AS node FROM addresses WHERE name IS NOT NULL),
+edges AS (
+  SELECT a.node AS x, b.node AS y FROM nodes a JOIN nodes b USING (r) WHERE a.what = 'page' AND b.what = 'link'),
+both_ways AS (SELECT x, y FROM edges UNION SELECT y, x FROM edges),
+reach AS (
+  SELECT node AS x, node AS y FROM nodes
+  UNION
+  SELECT reach.x, both_ways.y FROM reach JOIN both_ways ON reach.y = both_ways.x),
+inherited AS (
+  SELECT reach.x AS node, max(own) AS own
+  FROM reach JOIN nodes ON nodes.node = reach.y AND nodes.what = 'page' JOIN judged USING (r) GROUP BY 1)
+SELECT page_id, host, path, rule,
+       CASE coalesce(judged.own, inherited.own, 2) WHEN 1 THEN 'block' ELSE 'allow' END AS verdict
+FROM judged LEFT JOIN nodes ON nodes.r = judged.r AND nodes.what = 'page' LEFT JOIN inherited USING (node)"""
+
+OP7 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, text, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+raw AS (SELECT r, doc_id, coalesce(text, '') AS text, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos FROM d),
+tokens AS (
+  SELECT r, doc_id, text, pos, line, list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda t: t <> '') AS plain
+  FROM raw),
+lines AS (
+  SELECT r, doc_id, text, pos, len(plain) AS n,
+         list_transform(plain, lambda t: regexp_replace(t, '[^ 0-9]*[0-9][^ ]*', '<*>', 'g')) AS t FROM tokens),
+keyed AS (
+  SELECT r, doc_id, text, pos, n, unnest(CASE
+    WHEN n >= 12 THEN [n || ' ' || array_to_string(t[1:2 * n // 3], ' ') || ' <*>',
+      n || ' ' || array_to_string(t[1:n // 3], ' ') || ' <*> ' || array_to_string(t[2 * n // 3 + 1:], ' ')]
+    WHEN n >= 4 THEN [n || ' ' || array_to_string(t, ' ')] ELSE [] END) AS template FROM lines),
+recurring AS (
+  SELECT template, min({'doc_id': doc_id, 'pos': pos}) AS first FROM keyed GROUP BY template
+  HAVING count(DISTINCT {'doc_id': doc_id, 'text': text}) >= CASE WHEN min(n) >= 12 THEN 3 ELSE 10 END),
+dropped AS (
+  SELECT DISTINCT r, pos FROM keyed JOIN recurring USING (template) WHERE doc_id <> first.doc_id OR pos <> first.pos),
+judged AS (
+  SELECT r, any_value(tokens.doc_id) AS doc_id, any_value(text) AS text, count(dropped.pos) AS lost, count(*) AS n_all,
+         string_agg(line, chr(10) ORDER BY pos) FILTER (dropped.pos IS NULL) AS kept,
+         sum(len(plain)) AS words, coalesce(sum(len(plain)) FILTER (dropped.pos IS NULL), 0) AS words_kept
+  FROM tokens LEFT JOIN dropped USING (r, pos) GROUP BY r)
+SELECT doc_id, CAST(n_all - lost AS BIGINT) AS n_lines, sha256(coalesce(kept, '')) AS text_sha256
+FROM judged WHERE lost = 0 OR 100 * words_kept > 20 * words"""
+
+OP10 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM d WHERE len(words) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id
+  GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM shared JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+  WHERE 100 * k >= 75 * (a.n + b.n - k)),
+both_ways AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM d
+  UNION
+  SELECT reach.x, both_ways.y FROM reach JOIN both_ways ON reach.y = both_ways.x),
+components AS (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY 1)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM d JOIN components USING (doc_id) LEFT JOIN sizes USING (doc_id)"""
+
+
+def op8() -> str:
+    """Each rule's matches with their places: lengths of what lies between matches and of the matches before."""
+    parts = []
+    for rank, rule in enumerate(secrets.RULES):
+        pattern = rule.pattern.replace("'", "''")
+        parts.append(f"""
+  SELECT r, {rank} AS rank, '{rule.kind}' AS kind, s AS start, s + length(m) AS stop FROM (
+    SELECT r, m, v, coalesce(list_sum(list_transform(gaps[1:i], lambda g: length(g))), 0)
+             + coalesce(list_sum(list_transform(found[1:i - 1], lambda f: length(f))), 0) AS s FROM (
+      SELECT r, gaps, found, unnest(found) AS m, unnest(vals) AS v, generate_subscripts(found, 1) AS i FROM (
+        SELECT r, string_split_regex(text, '{pattern}') AS gaps, regexp_extract_all(text, '{pattern}') AS found,
+               regexp_extract_all(text, '{pattern}', {rule.group}) AS vals FROM d)))
+  WHERE length(v) >= {rule.least}""")
+    said = "string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank, stop)"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+found AS ({" UNION ALL ".join(parts)}),
+said AS (
+  SELECT r, {said} AS spans, {said} FILTER (rank < 3) AS base, count_if(rank = 0) AS n_assign,
+         count_if(rank = 1) AS n_access, count_if(rank = 2) AS n_hex
+  FROM (SELECT r, rank, kind, CAST(start AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop FROM found) GROUP BY r)
+SELECT doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access,
+       CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN said USING (r)"""
+
+
+SQL = {
+    "op5_urls": OP5,
+    "op6_decontaminate": OP6,
+    "op7_lines": OP7,
+    "op8_secrets": op8(),
+    "op9_quality": OP9,
+    "op10_near_duplicates": OP10,
+}

@@ -34,6 +34,8 @@ from tidewatch.sources.staging import stage
 BLOCK = 4096
 PERCENTILE = 90
 SHARD_IDS = 4_000_000
+#: Words that a Python worker remembers.
+MAX_WORDS = 300_000
 MAGIC = b"PFOR\x01\x00\x00\x00"
 #: minimum, width, number of exceptions.
 HEAD = "<IBxH"
@@ -153,16 +155,40 @@ def _store(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 
-def _encoder(path: str):  # noqa: ANN202
-    """The tokenizer of this Python worker."""
-    kept = sys.modules.setdefault("_tidewatch_worker_tools", type(sys)("_tidewatch_worker_tools")).__dict__
-    if ("tokenizer", path) not in kept:
+class Encoder:
+    """The tokenizer, behind a memory of words.
+
+    Normaliser and pre-tokeniser treat what stands between spaces and line feeds by itself, so a text may be cut there,
+    and each different part need be encoded only once. Other white space stays inside the parts.
+    """
+
+    def __init__(self, path: str, max_words: int = MAX_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-        kept["tokenizer", path] = tokenizer
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        self.max_words = max_words
+        self.words: dict[str, bytes] = {}
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.words) > self.max_words:
+            self.words.clear()
+        cut = [t.replace("\n", " ").split(" ") for t in texts]
+        new = list({word for parts in cut for word in parts if word not in self.words})
+        for at in range(0, len(new), 4096):
+            some = new[at : at + 4096]
+            for word, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                self.words[word] = np.array(found.ids, "<u4").tobytes()
+        known = self.words.__getitem__
+        return [np.frombuffer(b"".join(map(known, parts)), "<u4") for parts in cut]
+
+
+def _encoder(path: str) -> Encoder:
+    """The encoder of this Python worker."""
+    kept = sys.modules.setdefault("_tidewatch_worker_tools", type(sys)("_tidewatch_worker_tools")).__dict__
+    if ("tokenizer", path) not in kept:
+        kept["tokenizer", path] = Encoder(path)
     return kept["tokenizer", path]
 
 
@@ -183,7 +209,7 @@ def write_token_files(
     ordered = rows.withColumn("h", F.xxhash64("text")).repartitionByRange(n, "key", "h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _encoder(tokenizer_path)
+        encode = _encoder(tokenizer_path)
         files, place = _store(folder)
         files.create_dir(place, recursive=True)
         part, shards = TaskContext.get().partitionId(), 0
@@ -209,10 +235,9 @@ def write_token_files(
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 some = batch.slice(at, 64)
-                encoded = tokenizer.encode_batch(some.column(1).to_pylist(), add_special_tokens=False)
-                for k, e in zip(some.column(0).to_pylist(), encoded):
+                for k, found in zip(some.column(0).to_pylist(), encode(some.column(1).to_pylist())):
                     keys.append(k)
-                    ids.append(np.array([*e.ids, end_id], np.uint32))
+                    ids.append(np.append(found, np.uint32(end_id)))
                     held += len(ids[-1])
                 if held >= SHARD_IDS:
                     yield flush()

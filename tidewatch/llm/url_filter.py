@@ -67,7 +67,7 @@ def fitting(host_: Column, path_: Column, rules: Sequence[tuple[str, str]]) -> t
 def address(url: Column) -> Column:
     """The implied canonical form: no scheme, default port, fragment, tracking parameter or trailing slash, parameters
     in order. NULL without a host."""
-    name = F.regexp_replace(host(url), r"(:80|:443)$|\.(?=(:80|:443)?$)", "")
+    name = F.regexp_replace(F.regexp_replace(host(url), r":(80|443)$", ""), r"\.$", "")
     asked = F.array_join(
         F.array_sort(F.filter(F.split(query(url), "&"), lambda p: (p != "") & ~p.rlike(TRACKING))), "&"
     )
@@ -75,6 +75,11 @@ def address(url: Column) -> Column:
     return F.when(name != "", plain)
 
 
+def node(url: Column) -> Column:
+    """The number of an address; NULL without one."""
+    return F.when(address(url).isNotNull(), F.xxhash64(address(url)))
+
+
 def linked(html: Column, url: Column) -> Column:
     """Targets of the canonical link and of the refresh of a page, absolute or starting at the host's root."""
     page = F.coalesce(html, F.lit(""))
@@ -90,7 +95,12 @@ def linked(html: Column, url: Column) -> Column:
         ),
     )
     root = F.concat(F.lit("http://"), host(url))
-    absolute = F.transform(targets, lambda t: F.when(F.startswith(t, F.lit("/")) & ~F.startswith(t, F.lit("//")), F.concat(root, t)).when(F.startswith(t, F.lit("//")), F.concat(F.lit("http:"), t)).otherwise(t))
+    absolute = F.transform(
+        targets,
+        lambda t: F.when(F.startswith(t, F.lit("//")), F.concat(F.lit("http:"), t))
+        .when(F.startswith(t, F.lit("/")), F.concat(root, t))
+        .otherwise(t),
+    )
     return F.when(
         F.contains(F.lower(page), F.lit("canonical")) | F.contains(F.lower(page), F.lit("refresh")), absolute
     ).otherwise(F.array().cast("array<string>"))
@@ -112,19 +122,15 @@ def filter_urls(
     base = (
         pages.select(F.struct(*row_columns).alias("row"), F.col(f"`{url}`").alias("url"), F.col(f"`{html}`").alias("html"))
         .withColumns({"host": host(F.col("url")), "path": path(F.col("url"))})
-        .withColumn("node", F.xxhash64(address(F.col("url"))))
-        .withColumn("node", F.when(F.col("host") != "", F.col("node")))
+        .withColumn("node", node(F.col("url")))
         .withColumn("links", linked(F.col("html"), F.col("url")))
         .drop("html")
     )
     rule, verdict = fitting(F.col("host"), F.col("path"), rules)
     judged = stage(base.withColumns({"rule": rule, "own": verdict}).drop("url"), "url-rules")
-    edges = judged.select("node", F.explode("links").alias("to")).select(
-        F.col("node").alias("a"), F.xxhash64(address(F.col("to"))).alias("b"), host(F.col("to")).alias("h")
-    ).where("h <> ''").drop("h")
+    edges = judged.select(F.col("node").alias("a"), F.explode("links").alias("to")).select("a", node(F.col("to")).alias("b"))
     if redirects is not None:
-        both = [F.when(host(F.col(c)) != "", F.xxhash64(address(F.col(c)))) for c in ("from_url", "to_url")]
-        edges = edges.union(redirects.select(both[0].alias("a"), both[1].alias("b")))
+        edges = edges.union(redirects.select(node(F.col("from_url")).alias("a"), node(F.col("to_url")).alias("b")))
     components = connected_components(edges)
     placed = (
         judged.join(components, "node", "left")
