@@ -1,0 +1,48 @@
+from llm_odd import DATA, ODD, table  # noqa: F401
+from pyspark.sql import functions as F
+
+from tidewatch.llm import quality_cascade as q
+from tidewatch.llm.catalog import op9_quality
+
+GOOD = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
+
+
+def test_order_changes_no_verdict(table):
+    docs = table([*ODD, GOOD, GOOD + " !!! $$$", "x! " * 40, ("some words that repeat here all the time " * 9)])
+    rules = q.default_rules()
+    names = list(rules)
+    one = docs.select(F.col("doc_id"), F.col("text")).transform(
+        lambda d: q.with_words(d, "text").select("text", q.cascade(rules, names).alias("by"))
+    )
+    two = q.with_words(docs.select("text")).select("text", q.cascade(rules, names[::-1]).alias("by"))
+    kept = lambda d: sorted(str(r["text"]) for r in d.where("by IS NULL").collect())
+    assert kept(one) == kept(two) == sorted(str(r["text"]) for r in q.reject_low_quality(docs).collect())
+    assert GOOD in kept(one)
+
+
+def test_columns_stay_and_empty_tables(table):
+    docs = table([GOOD, None])
+    out = q.reject_low_quality(docs)
+    assert out.columns == docs.columns and [r["doc_id"] for r in out.collect()] == [0]
+    assert q.reject_low_quality(docs.where("false")).count() == 0
+
+
+def test_repeated_words_against_brute_force(table):
+    texts = [*ODD[:-1], "a b c d e f g h " * 2, "a b c d e f g h x a b c d e f g h", "q " * 20, "z y " * 9 + "end"]
+    rows = q.with_words(table(texts).select("doc_id", "text"))
+    got = {r[0]: r[1] for r in rows.select("text", q.n_repeated_words(F.col("spaced"))).collect()}
+    for text in texts:
+        tokens = [t for t in (text or "").replace("\n", " ").replace("\t", " ").split(" ") if t]
+        windows = [tuple(tokens[i : i + 8]) for i in range(len(tokens) - 7)]
+        hit = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(8)}
+        assert got[text or ""] == len(hit), text
+
+
+def test_ordering_prefers_rejections_per_cost(table):
+    docs = table([GOOD] * 6 + ["x"] * 6).select("text")
+    rules = {"never": F.col("text") == "nothing", "often": q.default_rules()["few_words"]}
+    assert q.ordered_rules(docs, rules) == ["often", "never"]
+
+
+def test_query_has_all_rows(spark):
+    assert op9_quality(spark, DATA).count() == spark.read.parquet(f"{DATA}/documents.parquet").count()

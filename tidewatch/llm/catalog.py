@@ -130,7 +130,7 @@ def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text")
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    judged = quality.with_verdict(docs, known={k: quality.MEASURES[k] for k in base})
+    judged = quality.with_verdict(docs, known=base)
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return judged.select(
         F.col("row.doc_id").alias("doc_id"),

@@ -12,7 +12,7 @@ shown to the next. The order changes the work and never the verdict: a document
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from string import ascii_uppercase
 
 from pyspark.sql import Column, DataFrame
@@ -78,23 +78,25 @@ def n_repeated_words(spaced_text: Column, width: int = WINDOW) -> Column:
     return covered(F.transform(starts, lambda i: F.struct(i.alias("start"), (i + width).alias("end"))))
 
 
-#: What the default rules ask of ``text`` and of its words in ``spaced``.
-MEASURES: dict[str, Column] = {
-    "n_words": n_words(F.col("spaced")),
-    "word_chars": word_characters(F.col("text")),
-    "n_symbols": n_characters(F.col("text"), SYMBOLS),
-    "n_exclamations": n_characters(F.col("text"), "!"),
-    "n_capitals": n_characters(F.col("text"), ascii_uppercase),
-    "n_lines": F.size(lines(F.col("text"))),
-    "n_dup_lines": n_duplicate_lines(F.col("text")),
-    "n_distinct_words": F.size(F.array_distinct(words(F.col("spaced")))),
-    "n_repeat_words": n_repeated_words(F.col("spaced")),
-}
+def measures() -> dict[str, Column]:
+    """What the default rules ask of ``text`` and of its words in ``spaced``."""
+    text, tokens = F.col("text"), F.col("spaced")
+    return {
+        "n_words": n_words(tokens),
+        "word_chars": word_characters(text),
+        "n_symbols": n_characters(text, SYMBOLS),
+        "n_exclamations": n_characters(text, "!"),
+        "n_capitals": n_characters(text, ascii_uppercase),
+        "n_lines": F.size(lines(text)),
+        "n_dup_lines": n_duplicate_lines(text),
+        "n_distinct_words": F.size(F.array_distinct(words(tokens))),
+        "n_repeat_words": n_repeated_words(tokens),
+    }
 
 
-def default_rules(measures: Mapping[str, Column] = MEASURES) -> dict[str, Column]:
-    """The default rules; a rule evaluates only the measures that it names."""
-    m = measures
+def default_rules(known: Mapping[str, Column] | None = None) -> dict[str, Column]:
+    """The default rules; a rule evaluates only the measures that it names. ``known`` replaces measures."""
+    m = measures() | dict(known or {})
     return {
         "few_words": m["n_words"] < 20,
         "repeated_windows": 100 * m["n_repeat_words"] > 30 * m["n_words"],
@@ -107,9 +109,6 @@ def default_rules(measures: Mapping[str, Column] = MEASURES) -> dict[str, Column
     }
 
 
-RULES = default_rules()
-
-
 def with_words(df: DataFrame, text: str = "text") -> DataFrame:
     """The working columns ``text`` and ``spaced`` of the rules."""
     return df.select(whole(text).alias("text")).withColumn("spaced", spaced(F.col("text"), BLANKS))
@@ -147,7 +146,7 @@ def cascade(rules: Mapping[str, Column], order: list[str]) -> Column:
 
 
 def reject_low_quality(
-    docs: DataFrame, rules: Mapping[str, Column] = RULES, text: str = "text", sample_rows: int = SAMPLE_ROWS
+    docs: DataFrame, rules: Mapping[str, Column] | None = None, text: str = "text", sample_rows: int = SAMPLE_ROWS
 ) -> DataFrame:
     """The documents that no rule rejects, with their columns as they were."""
     return with_verdict(docs, rules, text, sample_rows).where("rejected_by IS NULL").select("row.*")
@@ -155,16 +154,17 @@ def reject_low_quality(
 
 def with_verdict(
     docs: DataFrame,
-    rules: Mapping[str, Column] = RULES,
+    rules: Mapping[str, Column] | None = None,
     text: str = "text",
     sample_rows: int = SAMPLE_ROWS,
     *,
-    known: Mapping[str, Column] | None = None,
+    known: Sequence[str] = (),
 ) -> DataFrame:
     """(row, text, spaced, rejected_by): the document as a struct, the working columns, the first rejecting rule.
 
-    ``known`` are measures that the caller wants as columns anyway; the default rules then read those columns.
+    ``known`` names measures that the caller wants as columns anyway; the default rules then read those columns.
     """
+    rules = default_rules() if rules is None else rules
     order = ordered_rules(docs.select(text), rules, sample_rows)
     rows = (
         docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
@@ -172,6 +172,7 @@ def with_verdict(
         .withColumn("spaced", spaced(F.col("text"), BLANKS))
     )
     if known:
-        rows = rows.withColumns(dict(known))
-        rules = default_rules({**MEASURES, **{k: F.col(k) for k in known}})
+        every = measures()
+        rows = rows.withColumns({k: every[k] for k in known})
+        rules = default_rules({k: F.col(k) for k in known})
     return rows.withColumn("rejected_by", cascade(rules, order))
