@@ -38,7 +38,7 @@ WINDOW, STRIDE = 64, 32
 #: Characters read to either side of an anchor.
 MARGIN = 32
 #: Bounds of the training set and of the training.
-TRAIN_WINDOWS, TRAIN_STEPS, BATCH = 1500, 160, 64
+TRAIN_WINDOWS, TRAIN_STEPS, BATCH = 1500, 300, 32
 TAGS = 1 + 2 * len(KINDS)  # outside, and begin and inside of each kind
 
 Span = tuple[int, int, int]  # kind, start, end
@@ -78,7 +78,8 @@ def base_spans(text: str) -> list[Span]:
         return []
     spans = [(0, s, e) for s, e in emails(text)]
     for m in IP.finditer(text):
-        if all(len(p) < 9 and int(p) < 256 or not int(p.lstrip("0")[:4] or "0") > 255 for p in m[0].split(".")):
+        parts = [p.lstrip("0") for p in m[0].split(".")]
+        if all(len(p) <= 3 and int(p or 0) <= 255 for p in parts):
             spans.append((1, *m.span()))
     for m in CARD.finditer(text):
         digits = NOT_DIGIT.sub("", m[0])
@@ -150,7 +151,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 class Tagger:
     """The model: character vectors, an LSTM in each direction, tag scores, transitions between tags."""
 
-    def __init__(self, hidden: int = 12, vector: int = 10, seed: int = 5):
+    def __init__(self, hidden: int = 20, vector: int = 10, seed: int = 5):
         r = np.random.default_rng(seed)
         h, v = hidden, vector
         self.h = h
@@ -256,7 +257,7 @@ class Tagger:
         np.add.at(g["vectors"], x.T, dx0 + dx1[::-1])
         return float(norm.sum() - gold) / n, g
 
-    def fit(self, x: np.ndarray, y: np.ndarray, steps: int = TRAIN_STEPS, batch: int = BATCH, rate: float = 0.02) -> float:
+    def fit(self, x: np.ndarray, y: np.ndarray, steps: int = TRAIN_STEPS, batch: int = BATCH, rate: float = 0.03) -> float:
         """Adam over random batches; returns the last loss."""
         r = np.random.default_rng(7)
         mean = {k: np.zeros_like(v) for k, v in self.p.items()}
