@@ -6,9 +6,9 @@ second, shifted circularly by k, gives coordinate k as its smallest value. Bands
 pairs; a pair is linked if the full sets share at least 75 % of their union.
 
 Equal sets are one class from the start, so copies never meet each other. Within a bucket every class is compared with
-the smallest one first; components of the links found so far are then known, and only classes of one bucket that lie in
-different components are compared with each other. No class of a bucket is left out, and a bucket of near copies costs
-one comparison for each of them instead of all pairs.
+the smallest one first. Where that leaves classes of a bucket in different components, all classes of such buckets that
+hang together are compared block by block through an index of their shingles. No class of a bucket is left out, and no
+pair becomes a row unless it is one with the bucket's smallest class or a link that connects something.
 
 With 32 bands of 4 coordinates a pair at the threshold is proposed with a probability of 1 - 5e-6, a pair at 0.9 with
 1 - 1e-15. Shingles are compared as 64-bit hashes.
@@ -34,6 +34,8 @@ from tidewatch.sources.staging import stage
 SHINGLE = 5
 BANDS = 32
 ROWS = 4
+#: Sets and shingles of a block of a group, about.
+BLOCK_SETS, BLOCK_SHINGLES = 512, 400_000
 #: Share of the union, in percent, that links two sets.
 PERCENT = 75
 
@@ -118,7 +120,7 @@ def _sets(texts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _similar(a: Column, b: Column, percent: int = PERCENT) -> Column:
+def _similar(a: Column, b: Column, percent: int) -> Column:
     """Sizes alone do not rule out the similarity."""
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
@@ -132,6 +134,67 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(100 * both >= percent * union).select("a", "b")
 
 
+def _links_in_groups(groups: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that connect what is similar inside each group of classes; pairs never become rows.
+
+    A group is cut into blocks of bounded content, and each pair of its blocks is a group of rows by itself, compared
+    through an index of its shingles. A forest of links is returned for it, no more than it has classes.
+    """
+    blocks = (
+        groups.join(sizes, "node")
+        .groupBy("component")
+        .agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    )
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = (
+        groups.join(blocks, "component")
+        .withColumn("block", block)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.col("node").alias("class")
+        )
+    )
+
+    def linked(table: pa.Table) -> pa.Table:
+        a, b = _forest(table.column("class").to_numpy(), table.column("shingles").combine_chunks(), percent)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return dealt.join(sets, "class").groupBy("component", "i", "j").applyInArrow(linked, "a bigint, b bigint")
+
+
+def _forest(names: np.ndarray, shingle_lists: pa.ListArray, percent: int) -> tuple[list[int], list[int]]:
+    """Links between similar sets that connect the same sets as all such links do."""
+    sizes = np.diff(shingle_lists.offsets.to_numpy())
+    _, numbered = np.unique(shingle_lists.flatten().to_numpy(), return_inverse=True)
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    # Sets by shingle: who holds the shingle number s stands from begin[s] to begin[s + 1].
+    holders = np.repeat(np.arange(len(names)), sizes)[np.argsort(numbered, kind="stable")]
+    begin = np.concatenate([[0], np.cumsum(np.bincount(numbered))])
+    parent = list(range(len(names)))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    a, b = [], []
+    for k in range(len(names)):
+        own = numbered[ends[k] : ends[k + 1]]
+        own = own[begin[own + 1] - begin[own] > 1]
+        if 100 * len(own) < percent * sizes[k]:
+            continue  # too much of it is in no other set
+        shared = np.bincount(np.concatenate([holders[begin[s] : begin[s + 1]] for s in own]), minlength=len(names))
+        similar = 100 * shared >= percent * (sizes[k] + sizes - shared)
+        for other in np.flatnonzero(similar[:k]).tolist():
+            x, y = root(k), root(other)
+            if x != y:
+                parent[x] = y
+                a.append(int(names[k]))
+                b.append(int(names[other]))
+    return a, b
+
+
 def with_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """(key, n_shingles, class, component): for every row the size of its set, the number of its class (equal sets) and
     the smallest key that is reachable over links, itself included."""
@@ -178,28 +241,21 @@ def with_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     )
     links = stage(_verified(stars, sets, percent), "minhash-links")
     first = connected_components(links)
-    # What is still apart inside a bucket is compared with each other, unless it was already.
+    # Buckets whose classes are still apart: all their classes, put together by the buckets they share.
     placed = (
         members.select("bucket", "member", "center", F.col("member.class").alias("node"))
         .join(first, "node", "left")
-        .select("bucket", "member", "center", F.coalesce("component", "node").alias("component"))
+        .select("bucket", "node", "member.n", "center.class", F.coalesce("component", "node").alias("component"))
     )
     apart = (
-        placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("bucket")
-    )
-    open_ = stage(placed.join(apart, "bucket", "left_semi"), "minhash-open")
-    one, two = (
-        open_.select("bucket", *[F.col(c).alias(f"{c}_{side}") for c in ("member", "center", "component")])
-        for side in ("a", "b")
-    )
-    rest = (
-        one.join(two.drop("center_b"), "bucket")
-        .where("component_a <> component_b AND member_a.class < member_b.class AND member_a.class <> center_a.class")
-        .where(_similar(F.col("member_a.n"), F.col("member_b.n"), percent))
-        .select(F.col("member_a.class").alias("a"), F.col("member_b.class").alias("b"))
-        .distinct()
+        placed.groupBy("bucket")
+        .agg(F.min("component").alias("x"), F.max("component").alias("y"))
+        .where("x < y")
+        .select("bucket")
     )
-    more = stage(_verified(rest, sets, percent), "minhash-links")
+    open_ = stage(placed.join(apart, "bucket", "left_semi").select("node", "class", "n").distinct(), "minhash-open")
+    groups = connected_components(open_.select(F.col("node").alias("a"), F.col("class").alias("b")))
+    more = stage(_links_in_groups(groups, open_.select("node", "n").distinct(), sets, percent), "minhash-links")
     components = connected_components(links.union(more)) if not more.isEmpty() else first
     by_class = (
         classes.select("class", "id")
