@@ -20,7 +20,7 @@ from tidewatch.operators.ordered import DAILY, Layout
 from tidewatch.operators.ranking import top_anomalies, top_flagged, top_per_series
 from tidewatch.operators.reports import anomaly_overlay, monthly_anomaly_rate, score_series, write_report_tables
 
-LAYOUTS = [DAILY, Layout(max_task_rows=0, block_rows=4)]
+LAYOUTS = [DAILY, Layout(block_rows=4)]
 FLAGS = [True, True, False, False, True, False, True, True, True, False]
 
 
@@ -87,7 +87,7 @@ def test_runs(flagged, layout):
 def test_run_over_many_blocks(spark):
     rows = [(i, i != 0, -1.0) for i in range(60)]
     df = spark.createDataFrame(rows, "n int, is_anomaly boolean, anomaly_score double")
-    out = anomaly_runs(df, order_by=["n"], layout=Layout(max_task_rows=0, block_rows=5)).collect()
+    out = anomaly_runs(df, order_by=["n"], layout=Layout(block_rows=5)).collect()
     assert [(r["run_start"], r["run_end"], r["run_length"]) for r in out] == [(1, 59, 59)]
 
 

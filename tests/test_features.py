@@ -12,7 +12,7 @@ from tidewatch.operators.features import difference_features, engineer_features,
 from tidewatch.operators.ordered import DAILY, SPREAD, ROW, Layout, index_rows
 
 EDGE = [1.0, None, 3.0, 0.0, 5.0, 0.0, 0.0]
-LAYOUTS = [DAILY, Layout(max_task_rows=0, block_rows=3)]
+LAYOUTS = [DAILY, Layout(block_rows=3)]
 
 
 @pytest.fixture(scope="module")
@@ -102,7 +102,7 @@ def test_blocks_equal_pandas_with_a_hot_series(spark, partition_by):
         ["x"],
         order_by=["day", "id"],
         partition_by=partition_by,
-        layout=Layout(max_task_rows=100, block_rows=40),
+        layout=Layout(block_rows=40),
     )
     got = out.toPandas().sort_values("id", ignore_index=True)
 

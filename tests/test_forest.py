@@ -88,8 +88,8 @@ def test_trees_see_psi_distinct_rows(matrix):
     assert {r["count"] for r in small.groupBy("tree").count().collect()} == {1000}
 
 
-def test_pool_draws_evenly(spark):
-    """Large tables go through the pool: every tree is full and no part of the table is favoured."""
+def test_candidates_are_drawn_evenly(spark):
+    """Every tree is full and no part of a large table is favoured."""
     rows = spark.range(200_000).select("id", (F.col("id") % 10).alias("part"))
     drawn = IsolationForest(n_estimators=40, max_samples=128).draw_samples(rows, ["id"])
     assert [r[0] for r in drawn.groupBy("tree").count().select("count").distinct().collect()] == [128]
@@ -113,6 +113,16 @@ def test_a_third_of_copies_is_sampled_as_a_third(spark, monkeypatch, chunk):
     assert again.exceptAll(drawn).isEmpty()
 
 
+@pytest.mark.parametrize("parts", [1, 7])
+def test_samples_do_not_depend_on_the_layout(spark, parts):
+    forest = IsolationForest(n_estimators=20, max_samples=50)
+    rows = spark.range(5000).select("id", (F.col("id") % 3).alias("x"))
+    other = forest.draw_samples(rows.repartition(parts), ["id"])
+    assert other.exceptAll(forest.draw_samples(rows, ["id"])).isEmpty()
+    per_row = other.groupBy("id").count().agg(F.max("count")).first()[0]
+    assert per_row <= 20 and other.count() == 20 * 50
+
+
 def test_missing_and_infinite_inputs_take_the_mean(spark):
     rows = [(0, 1.0, 5.0), (1, None, 5.0), (2, float("nan"), 5.0), (3, float("inf"), 5.0), (4, 20.0, 5.0)]
     df = spark.createDataFrame(rows, "id int, value double, hour double")
@@ -131,7 +141,7 @@ def test_columns_are_taken_by_name(spark):
 
 def test_large_forests_are_scored_in_parts(spark, matrix, model, monkeypatch):
     whole = by_id(model.score_samples(matrix))
-    monkeypatch.setattr(forest_module, "MAX_BROADCAST_NODES", 1500)
+    monkeypatch.setattr(forest_module, "TREES_PER_PART", 7)
     parts = by_id(model.score_samples(matrix))
     assert all(math.isclose(whole[k], parts[k], rel_tol=1e-12) for k in whole)
 

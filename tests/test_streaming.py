@@ -47,7 +47,7 @@ def test_stream_scores_equal_batch_scores(spark, folder, tmp_path):
 CONFIG = {"features": {"rolling_windows": [3, 5], "lag_features": [1, 4]}}
 
 
-@pytest.mark.parametrize("layout", [DAILY, Layout(max_task_rows=10, block_rows=8)])
+@pytest.mark.parametrize("layout", [DAILY, Layout(block_rows=8)])
 def test_stream_features_equal_batch_features(spark, tmp_path, layout):
     """Files arrive in order of time; series pause, and gaps outlast the kept rows."""
     rows = []

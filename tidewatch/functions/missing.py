@@ -65,12 +65,17 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.select(*[value(df, c).alias(c) for c in df.columns])
 
 
+def known(number: Column) -> Column:
+    """A computed double with NaN, the result of inf - inf and inf / inf, as NULL."""
+    return F.nanvl(number.cast("double"), F.lit(None).cast("double"))
+
+
 def divide(numerator: Column, denominator: Column) -> Column:
     """Float division that never raises: x/0 is a signed infinity and 0/0 is missing."""
     top = numerator.cast("double")
     inf = F.lit(float("inf"))
     return F.when(denominator == 0, F.when(top > 0, inf).when(top < 0, -inf)).otherwise(
-        F.try_divide(top, denominator.cast("double"))
+        known(F.try_divide(top, denominator.cast("double")))
     )
 
 

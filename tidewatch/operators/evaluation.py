@@ -244,7 +244,21 @@ def method_overlap(df: DataFrame, first: str, second: str) -> DataFrame:
 def join_methods(
     first: DataFrame, second: DataFrame, keys: Sequence[str], *, anomaly_col: str = "is_anomaly"
 ) -> DataFrame:
-    """Flags of two detectors side by side by unique row key; a row only one of them scored stays, with a null."""
-    left = first.select(*keys, F.col(anomaly_col).alias("first_flag"))
-    right = second.select(*keys, F.col(anomaly_col).alias("second_flag"))
-    return left.join(right, list(keys), "full_outer")
+    """Flags of two detectors side by side by row key; a row only one of them scored stays, with a null.
+
+    Both sides are stacked and aggregated by key, so a key that is not unique or missing stays one row: its flag is true
+    if any of its rows has one, and ``first_rows`` and ``second_rows`` say how many rows there were.
+    """
+    none = F.lit(None).cast("boolean")
+    left = first.select(*keys, F.col(anomaly_col).alias("first_flag"), none.alias("second_flag"), F.lit(1).alias("__side"))
+    right = second.select(*keys, none.alias("first_flag"), F.col(anomaly_col).alias("second_flag"), F.lit(2).alias("__side"))
+    return (
+        left.union(right)
+        .groupBy(*keys)
+        .agg(
+            F.bool_or("first_flag").alias("first_flag"),
+            F.bool_or("second_flag").alias("second_flag"),
+            F.count_if(F.col("__side") == 1).alias("first_rows"),
+            F.count_if(F.col("__side") == 2).alias("second_rows"),
+        )
+    )

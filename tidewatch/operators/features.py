@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.calendar import parse_date, seasonal_features
 from tidewatch.functions.columns import metric_columns, present
-from tidewatch.functions.missing import divide, value
+from tidewatch.functions.missing import divide, is_floating, known, value
 from tidewatch.operators.ordered import Frame, Layout, over_rows
 
 ROLLING_STATS = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
@@ -26,6 +26,8 @@ def rolling_columns(
         enough = frame.once(F.count(col).over(rows)) >= needed if needed > 1 else None
         for stat, aggregate in ROLLING_STATS.items():
             rolled = aggregate(col).over(rows)
+            if stat in ("mean", "std"):
+                rolled = known(rolled)
             # Each statistic is already missing on an empty window.
             out[f"{name}_rolling_{stat}_{w}"] = rolled if enough is None else F.when(enough, rolled)
     return out
@@ -35,13 +37,15 @@ def lag_columns(frame: Frame, name: str, col: Column, lags: Sequence[int]) -> di
     return {f"{name}_lag_{n}": F.lag(col, n).over(frame.order) for n in lags}
 
 
-def difference_columns(frame: Frame, name: str, col: Column, periods: Sequence[int], pad: bool) -> dict[str, Column]:
+def difference_columns(
+    frame: Frame, name: str, col: Column, periods: Sequence[int], pad: bool, floating: bool
+) -> dict[str, Column]:
     out = {}
     for p in periods:
         earlier = frame.once(F.lag(col, p).over(frame.order))
         current = frame.filled(name) if pad else col
         base = frame.once(F.lag(current, p).over(frame.order)) if pad else earlier
-        out[f"{name}_diff_{p}"] = col - earlier
+        out[f"{name}_diff_{p}"] = known(col - earlier) if floating else col - earlier
         out[f"{name}_pct_change_{p}"] = divide(current, base) - 1
     return out
 
@@ -121,7 +125,7 @@ def difference_features(
     def build(frame: Frame) -> dict[str, Column]:
         out: dict[str, Column] = {}
         for c in columns:
-            out |= difference_columns(frame, c, value(df, c), periods, pad)
+            out |= difference_columns(frame, c, value(df, c), periods, pad, is_floating(df, c))
         return out
 
     return over_rows(
@@ -163,7 +167,7 @@ def engineer_features(
         for c in columns:
             out |= lag_columns(frame, c, value(df, c), lags)
         for c in columns:
-            out |= difference_columns(frame, c, value(df, c), [1], pad)
+            out |= difference_columns(frame, c, value(df, c), [1], pad, is_floating(df, c))
         return out
 
     return over_rows(

@@ -1,7 +1,7 @@
 """Isolation Forest (Liu, Ting, Zhou 2008) trained and scored on Spark.
 
-Training draws a hash-based pool of rows in one filtered scan, gives every tree ``psi`` rows of it, and grows each
-tree in its own task. The fitted trees are a small node table; scoring sends them to the executors and descends all
+Training draws for every tree ``psi`` rows of the whole table: hashes of a row give the few trees that it is a candidate
+for, and each tree takes the candidates of smallest hash and grows in its own task. The fitted trees are a small node table; scoring sends them to the executors and descends all
 rows of an Arrow batch together. Nothing depends on the partition layout: equal keys and seed give equal forests.
 """
 
@@ -44,12 +44,10 @@ _NODE_TYPES = pa.schema(
         ("path_length", pa.float64()),
     ]
 )
-POOL_FACTOR = 2
+# Candidates per wanted row of a tree; drawn anew with more if a tree ends up short.
 TREE_MARGIN = 2.0
-# A broadcast part of the forest holds at most this many nodes (about 80 MB); larger forests are scored in parts.
-MAX_BROADCAST_NODES = 2_000_000
-# Relative error of the distinct-key estimate that decides whether the key is unique enough to sample by.
-KEY_ERROR = 0.02
+# Trees of a broadcast part (about 20 MB at 256 samples); path lengths are added part by part.
+TREES_PER_PART = 1000
 COPIES_PER_CHUNK = 1_000_000
 _COPY = "__copy"
 EULER_GAMMA = 0.5772156649
@@ -185,17 +183,19 @@ class IsolationForest:
         facts = df.agg(
             *[F.avg(finite_value(df, c)).alias(n) for n, c in zip(names, features)],
             F.count_if(complete).alias("rows"),
-            F.approx_count_distinct(F.when(complete, F.xxhash64(*key)), KEY_ERROR).alias("keys"),
         ).first()
         if not facts["rows"]:
             raise ValueError("no complete rows to train on")
         psi = min(self.max_samples, facts["rows"])
         doubles = [F.col(f"`{c}`").cast("double").alias(n) for n, c in zip(names, features)]
-        training, key = _with_unique_key(df.where(complete).select(*key, *doubles), key, facts["rows"], facts["keys"])
-        nodes = self._node_rows(training, key, names, facts["rows"], TREE_MARGIN)
-        sizes = nodes.filter(pc.equal(nodes["node"], 0))["size"].to_numpy()
-        if len(sizes) < self.n_estimators or sizes.min() < psi:
-            nodes = self._node_rows(training, key, names, facts["rows"], None)
+        training, key = _with_unique_key(df.where(complete).select(*key, *doubles))
+        margin = TREE_MARGIN
+        while True:
+            nodes = self._node_rows(training, key, names, facts["rows"], margin)
+            sizes = nodes.filter(pc.equal(nodes["node"], 0))["size"].to_numpy()
+            if len(sizes) == self.n_estimators and sizes.min() == psi:
+                break
+            margin *= 2
         return ForestModel(
             features=features,
             means={c: facts[n] for c, n in zip(features, names)},
@@ -208,7 +208,7 @@ class IsolationForest:
             nodes=nodes,
         )
 
-    def _node_rows(self, rows: DataFrame, key: list[str], names: list[str], total: int, margin: float | None) -> pa.Table:
+    def _node_rows(self, rows: DataFrame, key: list[str], names: list[str], total: int, margin: float) -> pa.Table:
         psi, seed = min(self.max_samples, total), self.random_state
         limit = math.ceil(math.log2(max(psi, 2)))
 
@@ -221,51 +221,64 @@ class IsolationForest:
         return _in_order(nodes)
 
     def draw_samples(self, rows: DataFrame, key: Sequence[str]) -> DataFrame:
-        """``min(max_samples, rows)`` rows per tree without replacement, with columns ``tree`` and ``draw`` added."""
-        total, keys = rows.agg(F.count("*"), F.approx_count_distinct(F.xxhash64(*key), KEY_ERROR)).first()
-        rows, key = _with_unique_key(rows, list(key), total, keys)
-        psi = min(self.max_samples, total)
-        drawn = self._draw(rows, key, total, TREE_MARGIN)
-        per_tree = drawn.groupBy("tree").count().agg(F.count("*"), F.min("count")).first()
-        if per_tree[0] < self.n_estimators or per_tree[1] < psi:
-            drawn = self._draw(rows, key, total, None)
-        return drawn.drop(_COPY)
-
-    def _draw(self, rows: DataFrame, key: list[str], total: int, margin: float | None) -> DataFrame:
-        """One hash per row selects a pool of about ``2 * n_estimators * max_samples`` rows; only the pool is paired
-        with the trees, so the number of trees does not multiply the scan. ``margin`` bounds what a tree has to sort;
-        a tree that ends up short is drawn again without it.
+        """``min(max_samples, rows)`` rows per tree without replacement, with columns ``tree`` and ``draw`` added.
+
+        ``key`` may be shared by several rows: all columns, and a number among equal rows, tell them apart.
         """
+        total = rows.count()
+        names = rows.columns
+        unique, every = _with_unique_key(rows)
+        psi, margin = min(self.max_samples, total), TREE_MARGIN
+        while True:
+            drawn = self._draw(unique, every, total, margin)
+            full = drawn.groupBy("tree").count().where(F.col("count") == psi).count()
+            if full == self.n_estimators or not total:
+                return drawn.select(*names, "tree", "draw")
+            margin *= 2
+
+    def _draw(self, rows: DataFrame, key: list[str], total: int, margin: float) -> DataFrame:
+        """Each tree takes the ``psi`` candidates of smallest draw; a row is a candidate of a tree with the probability
+        ``margin * psi / total``, so that one scan pairs about ``margin * psi`` rows with each tree at any size."""
         psi = min(self.max_samples, total)
-        target = POOL_FACTOR * self.n_estimators * psi
-        tasks = min(self.n_estimators, rows.sparkSession.sparkContext.defaultParallelism)
-        pool, size = rows, total
-        if target < total:
-            chosen = _draw_position(F.xxhash64(F.lit(self.random_state), *key)) < target / total
-            # Few rows from many scan tasks: gather them before writing.
-            pool = stage(rows.where(chosen).repartition(tasks, *key), "pool")
-            size = pool.count()
-            if size < psi:
-                pool, size = rows, total
-        trees = F.explode(F.sequence(F.lit(0), F.lit(self.n_estimators - 1)))
-        paired = pool.withColumn("tree", trees).withColumn(
+        share = min(1.0, margin * psi / total) if total else 1.0
+        paired = _with_trees(rows, key, share, self.n_estimators, self.random_state).withColumn(
             "draw", _draw_position(F.xxhash64(F.lit(self.random_state), F.lit("tree"), F.col("tree"), *key))
         )
-        if margin is not None and margin * psi < size:
-            paired = paired.where(F.col("draw") < margin * psi / size)
         order = Window.partitionBy("tree").orderBy("draw", *key)
-        ranked = paired.repartition(tasks, "tree").withColumn("__n", F.row_number().over(order))
-        return ranked.where(F.col("__n") <= psi).drop("__n")
+        return paired.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= psi).drop("__n")
+
+
+def _with_trees(rows: DataFrame, key: list[str], share: float, trees: int, seed: int) -> DataFrame:
+    """One row for each tree that a row is a candidate of, with probability ``share`` for each tree independently.
+
+    The gaps between chosen trees are geometric, so a row needs a hash for each chosen tree and one more; a row that
+    skips all trees with its first gap, as most rows of a large table do, is dropped by one condition.
+    """
+    if share >= 1:
+        return rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+
+    def gap(number: Column) -> Column:
+        position = _draw_position(F.xxhash64(F.lit(seed), F.lit("gap"), number, *key))
+        return F.floor(F.log1p(-position) / F.lit(math.log1p(-share)))
+
+    def step(state: Column, number: Column) -> Column:
+        tree = state["next"] + gap(number)
+        more = F.struct((tree + 1).alias("next"), F.concat(state["trees"], F.array(tree.cast("int"))).alias("trees"))
+        done = F.struct(F.lit(trees).cast("bigint").alias("next"), state["trees"].alias("trees"))
+        return F.when(state["next"] >= trees, state).when(tree < trees, more).otherwise(done)
+
+    start = F.struct(F.lit(0).cast("bigint").alias("next"), F.array().cast("array<int>").alias("trees"))
+    numbers = F.sequence(F.lit(0), F.lit(trees))
+    chosen = F.aggregate(numbers, start, step, lambda state: state["trees"])
+    return rows.where(gap(F.lit(0)) < trees).withColumn("tree", F.explode(chosen))
 
 
-def _with_unique_key(rows: DataFrame, key: list[str], total: int, keys: int) -> tuple[DataFrame, list[str]]:
-    """The rows with a key that tells them apart.
+def _with_unique_key(rows: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The rows with a key that tells them apart: all columns and a number among equal rows.
 
-    Where many rows share a key, one hash would take or leave all of them. Equal rows are then counted (copies combine
-    before the shuffle) and numbered again in chunks, which spreads a huge group of copies over many tasks.
+    A hash of a shared key would take or leave all its rows. Equal rows are counted (copies combine before the shuffle)
+    and numbered again in chunks, which spreads a huge group of copies over many tasks.
     """
-    if keys >= (1 - 5 * KEY_ERROR) * total:
-        return rows, key
     columns = rows.columns
     counted = rows.groupBy(*columns).agg(F.count("*").alias("__count"))
     last_chunk = F.expr(f"(__count - 1) div {COPIES_PER_CHUNK}")
@@ -319,15 +332,11 @@ def _grow_tree(tree: int, rows: np.ndarray, limit: int, seed: int) -> list[tuple
 
 
 def _node_parts(nodes: pa.Table) -> Iterator[pa.Table]:
-    """Whole trees, grouped into parts of bounded size."""
+    """Whole trees in parts of a fixed number of them."""
     roots = np.flatnonzero(nodes["node"].to_numpy() == 0)
-    ends = np.append(roots[1:], len(nodes))
-    start = 0
-    for begin, end in zip(roots, ends):
-        if end - start > MAX_BROADCAST_NODES and begin > start:
-            yield nodes.slice(start, begin - start)
-            start = begin
-    yield nodes.slice(start)
+    starts = [*roots[::TREES_PER_PART].tolist(), len(nodes)]
+    for begin, end in zip(starts, starts[1:]):
+        yield nodes.slice(begin, end - begin)
 
 
 def _path_udf(spark: SparkSession, nodes: pa.Table, width: int):

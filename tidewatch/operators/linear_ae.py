@@ -6,6 +6,7 @@ which brings only a features-by-features matrix to the driver. The error is comp
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -15,7 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.functions.missing import column_means, drop_incomplete, finite_value
+from tidewatch.functions.missing import column_means, drop_incomplete, finite_value, value
 from tidewatch.operators.quantiles import exact_quantiles
 from tidewatch.sources.staging import stage
 
@@ -112,15 +113,16 @@ def median_and_mad(df: DataFrame, column: str) -> tuple[float | None, float | No
     median = exact_quantiles(df, [column], [0.5])[column][0]
     if median is None:
         return None, None
-    distance = df.select(F.abs(F.col(column) - F.lit(median)).alias("d"))
+    distance = df.select(F.abs(value(df, column) - F.lit(median)).alias("d"))
     return median, exact_quantiles(distance, ["d"], [0.5])["d"][0]
 
 
 def robust_z_flags(df: DataFrame, column: str, threshold: float = 3.5) -> DataFrame:
     """Append ``robust_z`` (distance from the median in scaled MADs) and its flag ``is_anomaly``."""
     median, spread = median_and_mad(df, column)
-    scaled = ROBUST_SCALE * spread if spread else None
-    z = (F.col(column) - F.lit(median).cast("double")) / F.lit(scaled).cast("double")
+    usable = spread and math.isfinite(median) and math.isfinite(spread)
+    scaled = ROBUST_SCALE * spread if usable else None
+    z = (value(df, column) - F.lit(median).cast("double")) / F.lit(scaled).cast("double")
     return df.withColumn("robust_z", z).withColumn("is_anomaly", F.coalesce(F.abs("robust_z") > threshold, F.lit(False)))
 
 

@@ -2,12 +2,13 @@
 
 Rolling statistics, lags and forward fills look at neighbouring *rows* of one ordered series, and by default the
 whole table is that series. ``Window.orderBy`` alone sends every row to one task, and ``partitionBy(series)`` does
-the same to the rows of a hot series. ``over_rows`` therefore has two layouts with identical results:
+the same to the rows of a hot series. ``over_rows`` therefore works in blocks: range-partition and sort by (series,
+order), number the rows, cut the numbering into equal blocks, copy the few rows that a neighbour block has to see (the
+halo), and run the windows per block. The range partitioner splits on the full, unique sort key, so a hot series or a hot
+day spreads over many tasks.
 
-* plain window, when a count shows that no series exceeds ``Layout.max_task_rows``;
-* blocks otherwise: range-partition and sort by (series, order), number the rows, cut the numbering into equal
-  blocks, copy the few rows that a neighbour block has to see (the halo), and run the windows per block. The range
-  partitioner splits on the full, unique sort key, so a hot series or a hot day spreads over many tasks.
+A caller who knows every series to be short (``DAILY``) gets plain windows with the same results; then there are at most
+as many tasks as series.
 """
 
 from __future__ import annotations
@@ -31,19 +32,17 @@ _POSITION_BITS = 33  # monotonically_increasing_id keeps the row position in its
 class Layout:
     """How ordered windows are spread over tasks.
 
-    ``max_task_rows``: longest series a single task may hold; ``None`` states that the caller knows every series to
-    be short (one row per day, say) and skips the count. ``block_rows``: most rows per block beyond that; smaller
-    tables use smaller blocks so that every core gets some.
+    ``in_blocks=False`` states that every series is short (one row per day, say), so that plain windows do.
+    ``block_rows``: most rows per block; smaller tables use smaller blocks so that every core gets some.
     """
 
-    max_task_rows: int | None = 2_000_000
+    in_blocks: bool = True
     block_rows: int = 1_000_000
 
 
-# One row per series and day: a century is 36,525 rows.
-DAILY = Layout(max_task_rows=None)
-# Always in blocks.
-SPREAD = Layout(max_task_rows=0)
+# One row per series and day: a century is 36,525 rows. At most as many tasks as series.
+DAILY = Layout(in_blocks=False)
+SPREAD = Layout()
 
 
 class Frame:
@@ -88,18 +87,10 @@ def over_rows(
     widest reach of any window in ``build``. ``fill`` declares forward-fill sources, whose reach is unlimited.
     """
     fill = fill or {}
-    run = _plain if series_fit(df, partition_by, layout) else _blocked
+    run = _blocked if layout.in_blocks else _plain
     return run(df, build, list(order_by), list(partition_by), lookback, lookahead, fill, layout)
 
 
-def series_fit(df: DataFrame, partition_by: Sequence[str], layout: Layout) -> bool:
-    """Whether the longest series is short enough for one task (a pre-aggregated count)."""
-    if layout.max_task_rows is None:
-        return True
-    longest = df.groupBy(*partition_by).count().agg(F.max("count")).first()[0]
-    return (longest or 0) <= layout.max_task_rows
-
-
 def index_rows(df: DataFrame, order_by: Sequence[str], partition_by: Sequence[str] = ()) -> DataFrame:
     """Add ``__row``, the 0-based position of each row in (partition_by, order_by) order over the whole table.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +41,8 @@ def _zscore_flags(df, columns, threshold):
     flags = {}
     for i, c in enumerate(columns):
         mean, std = stats[f"m{i}"], stats[f"s{i}"]
-        known = mean is not None and std
+        # An infinity in the column leaves no finite mean or deviation, and then nothing to compare with.
+        known = mean is not None and std and math.isfinite(mean) and math.isfinite(std)
         flags[c] = F.abs((value(df, c) - F.lit(mean)) / F.lit(std)) > threshold if known else F.lit(False)
     return flags
 
@@ -53,7 +56,10 @@ def _iqr_flags(df, columns, threshold, exact_rows):
             flags[c] = F.lit(False)
             continue
         reach = threshold * (q3 - q1)
-        flags[c] = (value(df, c) < F.lit(q1 - reach)) | (value(df, c) > F.lit(q3 + reach))
+        fences = (value(df, c) < F.lit(q1 - reach), value(df, c) > F.lit(q3 + reach))
+        # Spark holds NaN for the largest number; a fence between infinities is none.
+        low, high = (F.lit(False) if math.isnan(at) else f for at, f in zip((q1 - reach, q3 + reach), fences))
+        flags[c] = low | high
     return flags
 
 

@@ -1,9 +1,9 @@
 """Exact quantiles of columns that no single task can hold.
 
-``percentile`` keeps every distinct value in one aggregation buffer. Beyond ``exact_rows`` the wanted ranks are
-found by narrowing: an approximate percentile proposes real values around the rank, counts say between which of them the
-rank lies, and the search goes on in that open interval. Every round shrinks the interval by about the accuracy, a
-value that repeats often is recognised by its own count, and only scalars reach the driver.
+The wanted ranks are found by narrowing: an approximate percentile proposes real values around the rank, counts say
+between which of them the rank lies, and the search goes on in that open interval. Every round shrinks the interval by
+about the accuracy, a value that repeats often is recognised by its own count, and only scalars reach the driver. What
+all open intervals together still hold, ``exact_rows`` values at most, is sorted at the end, each interval by itself.
 """
 
 from __future__ import annotations
@@ -80,11 +80,6 @@ def exact_quantiles(
         return {}
     values = df.select(*[value(df, c).cast("double").alias(c) for c in columns])
     counts = values.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in columns]).first().asDict()
-    if max(counts.values()) <= exact_rows:
-        probs = F.array(*[F.lit(float(p)) for p in probabilities])
-        row = values.agg(*[F.percentile(F.col(f"`{c}`"), probs).alias(c) for c in columns]).first()
-        return {c: list(row[c]) if row[c] is not None else [None] * len(probabilities) for c in columns}
-
     wanted = {}
     for c in columns:
         for p in probabilities:
@@ -122,7 +117,7 @@ def value_at_rank(df: DataFrame, column: str, rank: int, *, exact_rows: int = EX
 
 def _solve(values: DataFrame, searches: list[_Search], exact_rows: int, accuracy: int) -> None:
     slack = 2.0 / accuracy
-    while wide := [s for s in searches if s.found is None and s.inside > exact_rows]:
+    while wide := _too_wide(searches, exact_rows):
         # One sketch per interval proposes cuts on both sides of every rank in it.
         shared = _by_interval(wide)
         proposals = []
@@ -146,18 +141,30 @@ def _solve(values: DataFrame, searches: list[_Search], exact_rows: int, accuracy
 
     rest = _by_interval([s for s in searches if s.found is None])
     if rest:
-        # At most exact_rows values are left in each interval.
-        held = [F.sort_array(F.collect_list(group[0].member())) for group in rest]
-        picks = [
-            F.array(*[F.element_at(h, s.rank - s.below + 1) for s in group]).alias(f"v{i}")
-            for i, (h, group) in enumerate(zip(held, rest))
-        ]
-        row = values.agg(*picks).first()
-        for i, group in enumerate(rest):
-            for s, v in zip(group, row[f"v{i}"]):
+        # One row for each value and each of the few intervals that hold it; a task sorts whole intervals.
+        members = F.array(*[F.struct(F.lit(i).alias("i"), group[0].member().alias("x")) for i, group in enumerate(rest)])
+        held = values.select(F.explode(F.filter(members, lambda m: m["x"].isNotNull())).alias("m")).groupBy("m.i")
+        ranks = {i: [s.rank - s.below + 1 for s in group] for i, group in enumerate(rest)}
+        for row in held.agg(F.sort_array(F.collect_list("m.x")).alias("x")).select("i", *_picks(ranks)).collect():
+            for s, v in zip(rest[row["i"]], row["picks"]):
                 s.found = v
 
 
+def _picks(ranks: dict[int, list[int]]) -> list[Column]:
+    """The values at the wanted 1-based ranks of each interval."""
+    wanted = F
+    for i, places in ranks.items():
+        wanted = wanted.when(F.col("i") == i, F.array(*[F.get("x", F.lit(p - 1)) for p in places]))
+    return [wanted.alias("picks")]
+
+
+def _too_wide(searches: list[_Search], exact_rows: int) -> list[_Search]:
+    """The open searches that must narrow until all intervals hold ``exact_rows`` together."""
+    groups = _by_interval([s for s in searches if s.found is None])
+    share = exact_rows // len(groups) if groups else 0
+    return [s for group in groups for s in group if s.inside > max(share, 1)]
+
+
 def _by_interval(searches: list[_Search]) -> list[list[_Search]]:
     groups: dict[tuple, list[_Search]] = {}
     for s in searches:
