@@ -2,10 +2,12 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check import compare, connect
 from conftest import DATA
 
+from tidewatch.plans.catalog import QUERIES, SQL
+
 ROWS_ONLY = {"forest_scores", "forest_reloaded_scores", "end_to_end_anomalies"}
 
 
@@ -15,13 +17,13 @@ def con():
 
 
 def test_every_query_has_sql_or_is_known_not_to():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
-    assert not set(oracle_sql()) - set(queries())
+    assert set(QUERIES) - set(SQL) == ROWS_ONLY
+    assert not set(SQL) - set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_sql(spark, con, name):
-    assert compare(queries()[name](spark, DATA).toPandas(), con.execute(oracle_sql()[name]).df()) == ""
+    assert compare(QUERIES[name](spark, DATA).toPandas(), con.execute(SQL[name]).df()) == ""
 
 
 def test_entry(spark):

@@ -7,7 +7,7 @@ from tidewatch.operators.features import engineer_features
 from tidewatch.operators.ordered import DAILY, Layout
 from tidewatch.plans.catalog.models import FIXED_FOREST
 from tidewatch.streaming.incremental import feature_stream
-from tidewatch.streaming.monitor import daily_anomaly_rates, read_parquet_stream, run_available, score_stream
+from tidewatch.streaming.monitor import append_available, daily_anomaly_rates, read_parquet_stream, score_stream
 
 SCHEMA = "id bigint, ts timestamp_ntz, value double, hour double"
 
@@ -23,9 +23,7 @@ def folder(spark, tmp_path):
 
 def test_windowed_rates_over_several_batches(spark, folder, tmp_path):
     path, df = folder
-    out = daily_anomaly_rates(
-        spark, path, df.schema, "ts", F.col("value") > 60, name_glob="*.parquet", value_cols=["value"], watermark="5 days"
-    )
+    out = daily_anomaly_rates(spark, path, df.schema, "ts", F.col("value") > 60, value_cols=["value"])
     got = {r["window_start"]: (r["rows"], r["anomalies"], r["value_missing"]) for r in out.collect()}
     want = {
         r["d"]: (r["n"], r["a"], r["m"])
@@ -39,11 +37,33 @@ def test_windowed_rates_over_several_batches(spark, folder, tmp_path):
 def test_stream_scores_equal_batch_scores(spark, folder, tmp_path):
     path, df = folder
     stream = read_parquet_stream(spark, path, df.schema, maxFilesPerTrigger=1)
-    out = run_available(score_stream(stream, FIXED_FOREST), ["id"], str(tmp_path / "out"), str(tmp_path / "cp"))
+    out = append_available(score_stream(stream, FIXED_FOREST), str(tmp_path / "out"), str(tmp_path / "cp"))
     batch = FIXED_FOREST.get_anomalies(df)
     assert out.select(batch.columns).exceptAll(batch).isEmpty() and out.count() == 100
 
 
+def test_repeated_ids_stay_and_one_file_is_a_table(spark, folder, tmp_path):
+    _, df = folder
+    twice = df.union(df.where("id < 3"))
+    twice.coalesce(1).write.parquet(str(tmp_path / "once"))
+    file = str(next((tmp_path / "once").glob("part-*.parquet")))
+    for name, path in (("a", str(tmp_path / "once")), ("b", file)):
+        stream = score_stream(read_parquet_stream(spark, path, df.schema), FIXED_FOREST)
+        assert append_available(stream, str(tmp_path / name), str(tmp_path / f"{name}-cp")).count() == 103
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_days_do_not_depend_on_the_zone(spark, folder, zone):
+    path, df = folder
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        out = daily_anomaly_rates(spark, path, df.schema, "ts", F.col("value") > 60)
+        starts = sorted(r["window_start"] for r in out.collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert starts == [dt.datetime(2024, 1, d) for d in range(1, 6)]
+
+
 CONFIG = {"features": {"rolling_windows": [3, 5], "lag_features": [1, 4]}}
 
 

@@ -17,7 +17,8 @@ def fuse_tables(tables: dict[str, DataFrame], keys: Sequence[str]) -> DataFrame:
 
     The same result as a full outer join of the tables reduced to unique keys, but stacked and aggregated instead: one
     shuffle of partial means for any number of tables, and a key with very many rows is combined before it travels.
-    Rows with a missing key are dropped.
+    Rows with a missing key are dropped. A decimal metric is averaged as a decimal, so its mean does not depend on the
+    order of its terms, and comes back as a double like all others.
     """
     sides, metrics = [], []
     for name, df in tables.items():
@@ -25,4 +26,4 @@ def fuse_tables(tables: dict[str, DataFrame], keys: Sequence[str]) -> DataFrame:
         sides.append(df.dropna(subset=list(keys)).select(*keys, *[value(df, c).alias(f"{name}_{c}") for c in own]))
         metrics += [f"{name}_{c}" for c in own]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides)
-    return stacked.groupBy(*keys).agg(*[F.avg(f"`{m}`").alias(m) for m in metrics])
+    return stacked.groupBy(*keys).agg(*[F.avg(f"`{m}`").cast("double").alias(m) for m in metrics])

@@ -58,7 +58,7 @@ def _impute(spark, folder):
 def _streamed(spark, folder):
     """Features of every event type computed as the events arrive."""
     schema = table(spark, folder, "events").schema
-    stream = read_parquet_stream(spark, folder, schema, name_glob="events.parquet")
+    stream = read_parquet_stream(spark, f"{folder}/events.parquet", schema)
     base = staging_path(spark, "stream")
     query = feature_stream(
         stream.select("event_id", "ts", "event_type", "value"),

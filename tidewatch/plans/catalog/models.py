@@ -15,7 +15,7 @@ from tidewatch.plans.anomaly_run import DEFAULT_CONFIG, run_anomaly_detection
 from tidewatch.plans.catalog.shared import REGION_DAILY, SCORED_EVENTS, rounded, scored_events
 from tidewatch.sources.series import region_daily, ship_daily, table
 from tidewatch.sources.staging import staging_path
-from tidewatch.streaming.monitor import daily_anomaly_rates, read_parquet_stream, run_available, score_stream
+from tidewatch.streaming.monitor import append_available, daily_anomaly_rates, read_parquet_stream, score_stream
 
 # Three hand-written trees over (value, hour): (tree, node, depth, feature, split, left, right, size, path_length).
 _TREES = [
@@ -67,7 +67,7 @@ def _sample_counts(spark, folder):
 
 def _quantile_flags(spark, folder):
     scored = scored_events(spark, folder).select("event_id", "anomaly_score")
-    offset = exact_quantiles(scored, ["anomaly_score"], [0.05], exact_rows=1000)["anomaly_score"][0]
+    offset = exact_quantiles(scored, ["anomaly_score"], [0.05])["anomaly_score"][0]
     return replace(FIXED_FOREST, offset=offset).flag(scored)
 
 
@@ -121,14 +121,14 @@ def _both_methods(spark, folder):
     events = table(spark, folder, "events").select("event_id", "value")
     z = detect_outliers(events, ["value"], "zscore", 3.0).withColumnRenamed("value_outlier", "is_anomaly")
     q = detect_outliers(events, ["value"], "iqr", 1.5).withColumnRenamed("value_outlier", "is_anomaly")
-    return join_methods(z, q, ["event_id"])
+    return join_methods(z, q, ["event_id"]).drop("first_rows", "second_rows")
 
 
 def _stream_rates(spark, folder):
     events = table(spark, folder, "events")
     return rounded(
         daily_anomaly_rates(
-            spark, folder, events.schema, "ts", F.col("value") > 60, name_glob="events.parquet", value_cols=["value"]
+            spark, f"{folder}/events.parquet", events.schema, "ts", F.col("value") > 60, value_cols=["value"]
         )
     )
 
@@ -136,10 +136,10 @@ def _stream_rates(spark, folder):
 def _stream_scores(spark, folder):
     """Every event scored on arrival by the fixed forest."""
     events = table(spark, folder, "events")
-    stream = read_parquet_stream(spark, folder, events.schema, name_glob="events.parquet")
+    stream = read_parquet_stream(spark, f"{folder}/events.parquet", events.schema)
     ready = stream.select("event_id", "value", F.hour("ts").alias("hour"))
     base = staging_path(spark, "stream")
-    out = run_available(score_stream(ready, FIXED_FOREST), ["event_id"], f"{base}/updates", f"{base}/checkpoint")
+    out = append_available(score_stream(ready, FIXED_FOREST), f"{base}/updates", f"{base}/checkpoint")
     return rounded(out)
 
 

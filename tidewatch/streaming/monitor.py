@@ -8,20 +8,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewatch.functions.missing import value
 from tidewatch.operators.forest import ForestModel
 from tidewatch.sources.staging import staging_path
 
 
-def read_parquet_stream(
-    spark: SparkSession, folder: str, schema: T.StructType, *, name_glob: str = "*.parquet", **options
-) -> DataFrame:
-    """Parquet files of a folder as a stream."""
-    return spark.readStream.schema(schema).options(pathGlobFilter=name_glob, **options).parquet(folder)
-
-
-def event_time(column: str) -> Column:
-    """Watermarks need a zoned timestamp."""
-    return F.col(column).cast("timestamp")
+def read_parquet_stream(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
+    """The files of a table as a stream; the table may be a folder of files or one file."""
+    table = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if table.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(table).isFile():
+        # A stream lists folders; the filter leaves the one file of its folder.
+        options["pathGlobFilter"], path = table.getName(), table.getParent().toString()
+    return spark.readStream.schema(schema).options(**options).parquet(path)
 
 
 def score_stream(stream: DataFrame, model: ForestModel, threshold: float | None = None) -> DataFrame:
@@ -37,20 +35,38 @@ def windowed_rates(
     value_cols: Sequence[str] = (),
     by: Sequence[str] = (),
     window: str = "1 day",
-    watermark: str = "2 hours",
+    watermark: str | None = None,
 ) -> DataFrame:
     """Rows, flagged rows and missing values per tumbling window (and dimension).
 
-    Counts, not rates, so that partial aggregates of the same window can be merged.
+    Counts, not rates, so that partial aggregates of the same window can be merged. Windows are cut in the column's own
+    clock: a timestamp without a zone is not moved by the zone of the session. A ``watermark`` bounds the state of a
+    stream that never ends and drops rows that come later than it; without one every row counts.
     """
-    keyed = stream.withColumn("__time", event_time(time_col)).withWatermark("__time", watermark)
-    missing = [F.count_if(F.col(c).isNull()).alias(f"{c}_missing") for c in value_cols]
-    grouped = keyed.groupBy(F.window("__time", window).alias("__window"), *by)
+    keyed = stream.withWatermark(time_col, watermark) if watermark else stream
+    missing = [F.count_if(value(stream, c).isNull()).alias(f"{c}_missing") for c in value_cols]
+    grouped = keyed.groupBy(F.window(time_col, window).alias("__window"), *by)
     counted = grouped.agg(F.count("*").alias("rows"), F.count_if(flag).alias("anomalies"), *missing)
     counts = [c for c in counted.columns if c not in ("__window", *by)]
     return counted.select(F.col("__window.start").cast("timestamp_ntz").alias("window_start"), *by, *counts)
 
 
+def append_available(rows: DataFrame, target: str, checkpoint: str) -> DataFrame:
+    """Process what is available of a stream without state and return every row written.
+
+    The file sink commits each micro-batch once, so a batch that is repeated after a failure leaves one copy.
+    """
+    query = (
+        rows.writeStream.outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .format("parquet")
+        .start(target)
+    )
+    query.awaitTermination()
+    return rows.sparkSession.read.schema(rows.schema).parquet(target)
+
+
 def run_available(updates: DataFrame, keys: Sequence[str], target: str, checkpoint: str) -> DataFrame:
     """Process what is available and return the latest state of every key.
 
@@ -74,11 +90,11 @@ def run_available(updates: DataFrame, keys: Sequence[str], target: str, checkpoi
 
 
 def daily_anomaly_rates(
-    spark: SparkSession, folder: str, schema: T.StructType, time_col: str, flag: Column, *, name_glob: str, **options
+    spark: SparkSession, path: str, schema: T.StructType, time_col: str, flag: Column, **options
 ) -> DataFrame:
-    """Windowed rates of all files present in a folder, processed as a stream in as many batches as needed."""
+    """Windowed rates of all files present of a table, late rows included, processed as a stream in as many batches as needed."""
     base = staging_path(spark, "stream")
-    stream = read_parquet_stream(spark, folder, schema, name_glob=name_glob)
+    stream = read_parquet_stream(spark, path, schema)
     rates = windowed_rates(stream, time_col, flag, **options)
     keys = ["window_start", *options.get("by", ())]
     state = run_available(rates, keys, f"{base}/updates", f"{base}/checkpoint")
