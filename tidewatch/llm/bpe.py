@@ -29,8 +29,8 @@ import regex
 from pyspark.sql import DataFrame
 
 #: Bounds of the tables of a Python worker: states of the transducer, remembered words.
-MAX_STATES = 250_000
-MAX_WORDS = 120_000
+MAX_STATES = 400_000
+MAX_WORDS = 250_000
 #: Words of more bytes are not remembered.
 LONGEST_WORD = 64
 
@@ -76,6 +76,7 @@ class Transducer:
         self._ids = {start: 0}
         self._states = [start]
         self._arcs: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
+        self._rest: dict[int, tuple[int, ...]] = {}
 
     def _state(self, key: bytes) -> int:
         known = self._ids.get(key)
@@ -168,7 +169,10 @@ class Transducer:
             state = arc[0]
             if arc[1]:
                 out.extend(arc[1])
-        out.extend(self._places(self._states[state])[1][-1][1])
+        rest = self._rest.get(state)
+        if rest is None:
+            rest = self._rest[state] = self._places(self._states[state])[1][-1][1]
+        out.extend(rest)
         return out
 
 
@@ -183,7 +187,9 @@ class Encoder:
         self.transducer = Transducer(ranks)
         self.split = regex.compile(pattern).findall
         self.words: dict[str, bytes] = {}
+        # Two generations: a full one becomes the old one, and what is used again moves on to the new one.
         self.parts: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.max_words = max_words
 
     def _word(self, word: str) -> bytes:
@@ -193,7 +199,7 @@ class Encoder:
             ids.byteswap()
         packed = ids.tobytes()
         if len(raw) <= LONGEST_WORD:
-            if len(self.words) >= self.max_words // 2:
+            if len(self.words) >= self.max_words // 4:
                 self.words.clear()
             self.words[word] = packed
         return packed
@@ -202,6 +208,11 @@ class Encoder:
         known = self.words.get
         return b"".join([known(word) or self._word(word) for word in self.split(text)])
 
+    def _remember(self, part: str, packed: bytes) -> None:
+        if len(self.parts) >= self.max_words:
+            self.old, self.parts = self.parts, {}
+        self.parts[part] = packed
+
     def __call__(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         parts = text.split(" ")
@@ -211,6 +222,10 @@ class Encoder:
         for k in [k for k, p in enumerate(packed) if p is None]:
             if k < done:
                 continue
+            if k and (found := self.old.get(parts[k])) is not None:
+                self._remember(parts[k], found)
+                packed[k] = found
+                continue
             # Put parts together again where white space meets the cut; known parts have none at their ends.
             first = last = k
             while first > 0 and _blank_start(parts[first]):
@@ -220,9 +235,7 @@ class Encoder:
             joined = " ".join(parts[first : last + 1])
             found = self._cut(" " + joined if first else joined)
             if first and first == last and len(joined) <= LONGEST_WORD:
-                if len(self.parts) >= self.max_words:
-                    self.parts.clear()
-                self.parts[joined] = found
+                self._remember(joined, found)
             packed[first : last + 1] = [found] + [b""] * (last - first)
             done = last + 1
         return b"".join(packed)
