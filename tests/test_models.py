@@ -52,3 +52,14 @@ def test_time_split_keeps_the_order_of_time(spark, day):
     train, validation = time_split(df, "date", 0.2)
     assert (train.count(), validation.count()) == (80, 20)
     assert train.agg({"date": "max"}).first()[0] < validation.agg({"date": "min"}).first()[0]
+
+
+def test_threshold_from_the_earlier_rows(spark):
+    import datetime as dt
+
+    rows = [(dt.datetime(2024, 1, 1) + dt.timedelta(days=i), float(i % 7), float(i % 7) + (50.0 if i > 90 else 0.1 * (i % 3))) for i in range(100)]
+    df = spark.createDataFrame(rows, "date timestamp_ntz, a double, b double")
+    model = LinearAutoencoder(encoding_dim=1).fit(df, ["a", "b"], date_col="date", validation_split=0.1)
+    early = LinearAutoencoder(encoding_dim=1).fit(df.where("date < '2024-03-31'"), ["a", "b"])
+    assert model.threshold == early.threshold and model.means == early.means
+    assert model.predict(df).where("is_anomaly AND date > '2024-03-31'").count() >= 9

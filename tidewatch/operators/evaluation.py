@@ -205,6 +205,15 @@ def anomaly_runs(
     ).drop("__run")
 
 
+def ranked_runs(runs: DataFrame, k: int = 20, *, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """The ``k`` most severe runs of ``anomaly_runs`` with their rank: worst score first, then the longest, then the
+    earliest. Every task keeps ``k`` rows before any is moved."""
+    order = [F.col("worst_score").asc_nulls_last(), F.col("run_length").desc(), F.col("run_start").asc()]
+    top = runs.orderBy(*order, *tiebreak).limit(k)
+    # At most k rows are left.
+    return top.withColumn("rank", F.row_number().over(Window.orderBy(*order, *tiebreak)))
+
+
 def prior_years_month_mean(
     df: DataFrame, value_col: str, *, date_col: str = "date", partition_by: Sequence[str] = ()
 ) -> DataFrame:

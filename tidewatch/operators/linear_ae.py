@@ -78,11 +78,16 @@ class LinearAutoencoder:
     quantile: float = 0.95
     robust_z: float = 3.5
 
-    def fit(self, df: DataFrame, features: Sequence[str]) -> LinearAutoencoderModel:
-        """Fit scaling, components and threshold on the complete rows."""
+    def fit(
+        self, df: DataFrame, features: Sequence[str], *, date_col: str | None = None, validation_split: float = 0.2
+    ) -> LinearAutoencoderModel:
+        """Fit scaling, components and threshold on the complete rows; with ``date_col`` on the earlier ones only, so that
+        the last ``validation_split`` of the rows are judged by a threshold that has not seen them."""
         if self.threshold not in ("percentile", "robust"):
             raise ValueError(f"unknown threshold: {self.threshold!r}")
         features = list(features)
+        if date_col:
+            df = time_split(df, date_col, validation_split)[0]
         names = [f"__x{i}" for i in range(len(features))]
         # Fitting reads the matrix several times and the features may be costly to derive.
         matrix = stage(df.select(*[finite_value(df, c).alias(n) for n, c in zip(names, features)]), "matrix")

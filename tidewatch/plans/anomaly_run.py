@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.functions.columns import DIMENSIONS, feature_columns, report_columns, widest_table
-from tidewatch.operators.evaluation import evaluate_anomalies, flag_rate
+from tidewatch.operators.evaluation import anomaly_runs, evaluate_anomalies, flag_rate, ranked_runs
 from tidewatch.operators.features import engineer_features
 from tidewatch.operators.forest import ForestModel, IsolationForest
 from tidewatch.operators.ordered import Layout
@@ -91,6 +91,9 @@ def run_anomaly_detection(
     )
     if output.get("save_predictions", True):
         save_csv(evaluation["top_anomalies"], f"{results}/anomalies.csv", single_file=True)
+        runs = anomaly_runs(predictions, order_by=order_by, partition_by=partition_by, layout=layout)
+        top = (config.get("evaluation") or {}).get("top_k_anomalies", 20)
+        save_csv(ranked_runs(runs, top, tiebreak=partition_by), f"{results}/anomaly_windows.csv", single_file=True)
     if output.get("save_figures", True):
         write_report_tables(predictions, report_columns(chosen), f"{results}/report")
     return AnomalyRun(datasets, quality, features, predictions, evaluation, model, flag_rate(predictions))

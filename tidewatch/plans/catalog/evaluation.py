@@ -10,6 +10,7 @@ from tidewatch.operators.evaluation import (
     flag_rate,
     persistence_rate,
     prior_years_month_mean,
+    ranked_runs,
     seasonal_distribution,
     stability_metrics,
 )
@@ -74,6 +75,9 @@ QUERIES = {
     "monthly_anomaly_rate": lambda s, d: rounded(monthly_anomaly_rate(scored_daily(s, d))),
     "anomaly_runs": lambda s, d: anomaly_runs(scored_events(s, d), **_GLOBAL),
     "anomaly_runs_by_user": lambda s, d: anomaly_runs(scored_events(s, d), **_BY_USER),
+    "anomaly_windows_ranked": lambda s, d: ranked_runs(
+        anomaly_runs(scored_events(s, d), **_BY_USER), 20, tiebreak=["user_id"]
+    ),
     "prior_year_month": lambda s, d: rounded(
         prior_years_month_mean(region_daily(s, d), "orders", partition_by=["region"])
     ),
@@ -169,6 +173,9 @@ SQL = {
         FROM scored GROUP BY 1""",
     "anomaly_runs": _runs("", _TIME),
     "anomaly_runs_by_user": _runs("user_id", "PARTITION BY user_id " + _TIME),
+    "anomaly_windows_ranked": f"""
+        SELECT *, CAST(row_number() OVER (ORDER BY worst_score, run_length DESC, run_start, user_id) AS INTEGER) AS rank
+        FROM ({_runs("user_id", "PARTITION BY user_id " + _TIME)}) ORDER BY rank LIMIT 20""",
     "prior_year_month": f"""
         WITH {REGION_DAILY},
         m AS (SELECT region, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,

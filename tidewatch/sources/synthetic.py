@@ -46,15 +46,14 @@ def synthetic_series(
         "day",
         F.date_add(F.lit(start).cast("date"), F.col("day").cast("int")).cast("timestamp_ntz").alias("date"),
         _choice([F.lit(r) for r in REGIONS], seed + 1).alias("region"),
-        F.format_string("H%03d", 1 + F.floor(F.rand(seed + 2) * SITES).cast("int")).alias("hospital_id"),
+        F.format_string("H%03d", 1 + F.floor(_uniform(seed + 2) * SITES).cast("int")).alias("hospital_id"),
     )
     if kind is None:
         return base.drop("day")
     shape = SHAPES[kind]
     wave = shape.base + shape.amplitude * F.sin(F.lit(2 * math.pi) * F.col("day") / F.lit(365.0))
-    bump = F.when(F.col("planted"), shape.bump_mean + shape.bump_std * F.randn(seed + 4)).otherwise(0.0)
-    # randn and rand depend on the partition layout, which spark.range(n) fixes for a given parallelism.
-    noisy = _plant(base, days, seed).withColumn("x", wave + shape.noise * F.randn(seed + 3) + bump)
+    bump = F.when(F.col("planted"), shape.bump_mean + shape.bump_std * _normal(seed + 4)).otherwise(0.0)
+    noisy = _plant(base, days, seed).withColumn("x", wave + shape.noise * _normal(seed + 3) + bump)
     out = noisy.withColumns(_metrics(kind, F.col("x"))).drop("day", "x")
     return out if truth else out.drop("planted")
 
@@ -77,8 +76,19 @@ def _clip(x: Column) -> Column:
     return F.least(F.lit(100.0), F.greatest(F.lit(0.0), x))
 
 
+def _uniform(seed: int) -> Column:
+    """A number in [0, 1) from the day, the same on any cluster."""
+    return F.shiftrightunsigned(F.xxhash64(F.col("day"), F.lit(seed)), 11) / F.lit(float(1 << 53))
+
+
+def _normal(seed: int) -> Column:
+    """A standard normal number from the day (Box and Muller)."""
+    length = F.sqrt(-2 * F.log1p(-_uniform(seed)))
+    return length * F.cos(2 * math.pi * _uniform(seed + 1_000_003))
+
+
 def _choice(options: list[Column], seed: int) -> Column:
-    return F.get(F.array(*options), F.floor(F.rand(seed) * len(options)).cast("int"))
+    return F.get(F.array(*options), F.floor(_uniform(seed) * len(options)).cast("int"))
 
 
 def _plant(base: DataFrame, days: int, seed: int) -> DataFrame:
