@@ -77,3 +77,10 @@ def test_staged_tables_live_in_the_shared_folder(spark):
     df = stage(spark.range(3).toDF("n"), "probe")
     assert df.count() == 3
     assert df.inputFiles()[0].removeprefix("file://").startswith(staging_root(spark).removeprefix("file:"))
+
+
+def test_ingest_passes_reader_settings(spark, tmp_path):
+    (tmp_path / "semi.csv").write_text("day;n\n1;007\n2;\n")
+    reading = {"semi": {"schema": "day int, n string", "sep": ";"}}
+    out = ingest_tables(spark, {"semi": str(tmp_path / "semi.csv")}, str(tmp_path / "root"), reading=reading)
+    assert sorted(map(tuple, out["semi"].collect())) == [(1, "007"), (2, None)]

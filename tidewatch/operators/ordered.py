@@ -182,7 +182,8 @@ def _carried(rows: DataFrame, fill: dict[str, Column], partition_by: list[str],
     """Per block, the last non-missing fill value in front of the block and its halo, with the series it came from.
 
     Rows are numbered series by series, so the last value before a position belongs to the series at that position
-    or that series has none yet; comparing the series decides. The running window sees one row per block.
+    or that series has none yet; comparing the series decides. The running window sees one row per block,
+    a millionth of the rows at full block size.
     """
     outside_halo = (F.col(ROW) % size) < size - lookback
     columns = []

@@ -9,6 +9,7 @@ from tidewatch.functions.calendar import parse_date
 from tidewatch.functions.columns import snake_case_names
 from tidewatch.sources.tables import load_csv, load_parquet, processed_path, raw_path, save_parquet
 
+#: Fields of a metadata record, fixed values.
 METADATA_FIELDS = ("source", "dataset_id", "retrieval_date", "provider", "url", "description", "note")
 
 
@@ -31,16 +32,19 @@ def ingest_tables(
     root: str,
     source: str = "local",
     details: dict[str, dict[str, str]] | None = None,
+    reading: dict[str, dict] | None = None,
 ) -> dict[str, DataFrame]:
     """Store each table (a path or a DataFrame) raw and normalised with a metadata record; returns the raw tables.
 
-    The returned tables are scans of the written raw files, so later steps do not repeat the extraction.
+    ``reading`` gives, by table, what ``load_csv`` or ``load_parquet`` should know about a path: a schema, CSV options,
+    nanosecond columns. The returned tables are scans of the written raw files, so later steps do not repeat the
+    extraction.
     """
     if not tables:
         raise ValueError("no tables to ingest")
     out = {}
     for dataset_id, given in tables.items():
-        df = _open(spark, given) if isinstance(given, str) else given
+        df = _open(spark, given, **(reading or {}).get(dataset_id, {})) if isinstance(given, str) else given
         raw = raw_path(root, source, dataset_id)
         save_parquet(df, raw)
         out[dataset_id] = load_parquet(spark, raw)
@@ -50,5 +54,6 @@ def ingest_tables(
     return out
 
 
-def _open(spark: SparkSession, path: str) -> DataFrame:
-    return load_csv(spark, path) if path.endswith((".csv", ".csv.gz")) else load_parquet(spark, path)
+def _open(spark: SparkSession, path: str, **how: object) -> DataFrame:
+    load = load_csv if path.endswith((".csv", ".csv.gz")) else load_parquet
+    return load(spark, path, **how)
