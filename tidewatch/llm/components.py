@@ -44,7 +44,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     linked = both.join(least, "u").where("v > u")
-    return linked.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
+    return linked.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

@@ -256,7 +256,9 @@ def with_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     open_ = stage(placed.join(apart, "bucket", "left_semi").select("node", "class", "n").distinct(), "minhash-open")
     groups = connected_components(open_.select(F.col("node").alias("a"), F.col("class").alias("b")))
     more = stage(_links_in_groups(groups, open_.select("node", "n").distinct(), sets, percent), "minhash-links")
-    components = connected_components(links.union(more)) if not more.isEmpty() else first
+    # The first components are stars already, so only what connects them has to be worked out.
+    known = first.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    components = connected_components(known.union(more)) if not more.isEmpty() else first
     by_class = (
         classes.select("class", "id")
         .join(components, F.col("class") == F.col("node"), "left")
