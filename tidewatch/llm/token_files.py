@@ -34,8 +34,8 @@ from tidewatch.sources.staging import stage
 BLOCK = 4096
 PERCENTILE = 90
 SHARD_IDS = 4_000_000
-#: Words that a Python worker remembers.
-MAX_WORDS = 300_000
+#: Words of a generation that a Python worker remembers.
+MAX_WORDS = 600_000
 MAGIC = b"PFOR\x01\x00\x00\x00"
 #: minimum, width, number of exceptions.
 HEAD = "<IBxH"
@@ -169,13 +169,20 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.max_words = max_words
+        # Two generations: a full one becomes the old one, and what is used again moves on to the new one.
         self.words: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.words) > self.max_words:
-            self.words.clear()
+            self.old, self.words = self.words, {}
         cut = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list({word for parts in cut for word in parts if word not in self.words})
+        new = []
+        for word in {word for parts in cut for word in parts if word not in self.words}:
+            if (packed := self.old.get(word)) is None:
+                new.append(word)
+            else:
+                self.words[word] = packed
         for at in range(0, len(new), 4096):
             some = new[at : at + 4096]
             for word, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
@@ -291,10 +298,12 @@ def read_token_files(manifest: DataFrame, *, key: str = "doc_id") -> DataFrame:
                     [pa.array(c, pa.int64()) for c in zip(*found)], names=["key", "start", "n_tokens", "ids_crc32"]
                 )
 
+    # With a number, since adaptive execution would put the few rows of many files into one task.
+    tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         with_starts(manifest)
         .select("path", "start")
-        .repartition("path")
+        .repartition(tasks, "path")
         .mapInArrow(run, "key bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
         .withColumnRenamed("key", key)
     )
