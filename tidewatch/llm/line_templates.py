@@ -29,7 +29,11 @@ MIN_DOCS, MIN_DOCS_SHORT, DROP_SHARE = 3, 10, 80
 
 def masked(line: Column) -> Column:
     """Tokens separated by one space, those with a digit masked."""
-    plain = F.trim(F.regexp_replace(line, BLANKS, " "))
+    # Most lines have single spaces already; looking for anything else is much cheaper than replacing it.
+    odd = F.lit(False)
+    for blank in ("  ", "\t", "\r", "\x0b", "\x0c"):
+        odd = odd | F.contains(line, F.lit(blank))
+    plain = F.trim(F.when(odd, F.regexp_replace(line, BLANKS, " ")).otherwise(line))
     return F.when(plain.rlike("[0-9]"), F.regexp_replace(plain, r"[^ 0-9]*[0-9][^ ]*", "<*>")).otherwise(plain)
 
 
