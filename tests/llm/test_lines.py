@@ -45,3 +45,15 @@ def test_missing_and_repeated_keys(table):
     kept = line_templates.drop_recurring_lines(docs)
     assert kept.count() == 5
     assert [r["doc_id"] for r in kept.collect() if LONG in r["text"]] == [None]
+
+
+def test_rows_of_numbers_are_compared_unmasked(table):
+    row = lambda k, n: " ".join(str(1000 * k + 7 * j) for j in range(n))
+    measured = lambda k: f"temp {k}.5 humidity 4{k} wind {k} pressure 10{k} rain 0.{k} sun {k}h"
+    texts = [f"{row(k, 5)}\n{row(k + 50, 14)}\n{measured(k)}\n{row(k + 90, 5)}" for k in range(12)]
+    assert texts_of(line_templates.drop_recurring_lines(table(texts))) == dict(enumerate(texts))
+    same = [f"{OWN[k % 8]} x{'y' * k}\n{row(1, 5)}" for k in range(12)]
+    kept = texts_of(line_templates.drop_recurring_lines(table(same)))
+    assert sum(row(1, 5) in t for t in kept.values()) == 1 and len(kept) == 12
+    stamped = [f"{OWN[k % 8]} x{'y' * k}\nerror {k} of the disk at 1{k}:00 was seen" for k in range(12)]
+    assert sum("disk" in t for t in texts_of(line_templates.drop_recurring_lines(table(stamped))).values()) == 1

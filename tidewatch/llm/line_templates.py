@@ -6,6 +6,10 @@ covers a third of the line: the middle third or the last third. Two lines that d
 share a template; shorter lines have the masked line itself. So a template is a key, and what recurs is found by counting
 keys: no line is compared with another, and a line of millions of documents is counted where it is read first.
 
+What digits and fields hide must not be what a line is about, as in rows of numbers. So a template with masked tokens
+counts only if more than ``LITERAL_SHARE`` percent of the line's tokens stand in it unmasked. A long line without such a
+template with a field has the masked line itself, and a line whose masked form holds too few has the line unmasked.
+
 A template recurs if lines of at least ``min_docs`` documents have it (``min_docs_short`` for shorter lines). The line of
 the smallest key, in it the first one, stays; all other lines of the template are dropped. A document that loses at least
 ``drop_share`` percent of its words is dropped as a whole.
@@ -25,16 +29,23 @@ from tidewatch.sources.staging import stage
 
 SHORT, LONG = 4, 12
 MIN_DOCS, MIN_DOCS_SHORT, DROP_SHARE = 3, 10, 80
+MASK, LITERAL_SHARE = "<*>", 50
 
 
-def masked(line: Column) -> Column:
-    """Tokens separated by one space, those with a digit masked."""
+def plain(line: Column) -> Column:
+    """Tokens separated by one space."""
     # Most lines have single spaces already; looking for anything else is much cheaper than replacing it.
     odd = F.lit(False)
     for blank in ("  ", "\t", "\r", "\x0b", "\x0c"):
         odd = odd | F.contains(line, F.lit(blank))
-    plain = F.trim(F.when(odd, F.regexp_replace(line, BLANKS, " ")).otherwise(line))
-    return F.when(plain.rlike("[0-9]"), F.regexp_replace(plain, r"[^ 0-9]*[0-9][^ ]*", "<*>")).otherwise(plain)
+    return F.trim(F.when(odd, F.regexp_replace(line, BLANKS, " ")).otherwise(line))
+
+
+def masked(plain_line: Column) -> Column:
+    """The tokens with a digit masked."""
+    return F.when(
+        plain_line.rlike("[0-9]"), F.regexp_replace(plain_line, r"[^ 0-9]*[0-9][^ ]*", MASK)
+    ).otherwise(plain_line)
 
 
 def n_tokens(masked_line: Column) -> Column:
@@ -42,17 +53,29 @@ def n_tokens(masked_line: Column) -> Column:
     return F.when(masked_line == "", 0).otherwise(spaces + 1)
 
 
-def templates(line: Column, n: Column) -> Column:
+def templates(line: Column, plain_line: Column, n: Column) -> Column:
     """The templates of a masked line as texts: number of tokens, then the tokens that are not in the variable field."""
     third, two_thirds = F.floor(n / 3).cast("int"), F.floor(2 * n / 3).cast("int")
     tokens = F.split(line, " ")
-    part = lambda begin, length: F.array_join(F.slice(tokens, begin, length), " ")
+    part = lambda begin, length: F.slice(tokens, begin, length)
+    joined = lambda some: F.array_join(some, " ")
+    literal = lambda *parts: sum(F.size(F.filter(p, lambda t: t != MASK)) for p in parts)
+    enough = lambda *parts: 100 * literal(*parts) > LITERAL_SHARE * n
     head = F.concat(n.cast("string"), F.lit(" "))
-    last = F.concat(head, part(F.lit(1), two_thirds), F.lit(" <*>"))
-    middle = F.concat(head, part(F.lit(1), third), F.lit(" <*> "), part(two_thirds + 1, n - two_thirds))
+    begin, end = part(F.lit(1), third), part(two_thirds + 1, n - two_thirds)
+    last = F.concat(head, joined(part(F.lit(1), two_thirds)), F.lit(" <*>"))
+    middle = F.concat(head, joined(begin), F.lit(" <*> "), joined(end))
+    itself = F.array(F.concat(head, F.when(enough(tokens), line).otherwise(plain_line)))
+    some = F.array_compact(
+        F.array(F.when(enough(part(F.lit(1), two_thirds)), last), F.when(enough(begin, end), middle))
+    )
+    # Without masked tokens two thirds of a long line are always enough.
+    hides = F.contains(line, F.lit(MASK))
     return (
-        F.when(n >= LONG, F.array(last, middle))
-        .when(n >= SHORT, F.array(F.concat(head, line)))
+        F.when((n >= LONG) & ~hides, F.array(last, middle))
+        .when(n >= LONG, F.when(F.size(some) > 0, some).otherwise(itself))
+        .when((n >= SHORT) & ~hides, F.array(F.concat(head, line)))
+        .when(n >= SHORT, itself)
         .otherwise(F.array().cast("array<string>"))
     )
 
@@ -77,13 +100,18 @@ def dropped_lines(
             F.col(key).alias("key"),
             F.posexplode(F.split(whole(text), "\n", -1)).alias("at", "line"),
         )
-        .select("mark", "key", "at", masked(F.col("line")).alias("line"))
+        .select("mark", "key", "at", plain(F.col("line")).alias("plain"))
+        .withColumn("line", masked(F.col("plain")))
         .withColumn("n", n_tokens(F.col("line")))
         .where(F.col("n") >= SHORT)
     )
     keyed = stage(
         lines.select(
-            "mark", "key", "at", "n", F.transform(templates(F.col("line"), F.col("n")), lambda t: F.xxhash64(t)).alias("templates")
+            "mark",
+            "key",
+            "at",
+            "n",
+            F.transform(templates(F.col("line"), F.col("plain"), F.col("n")), lambda t: F.xxhash64(t)).alias("templates"),
         ),
         "line-templates",
     )
