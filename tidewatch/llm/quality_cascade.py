@@ -7,6 +7,9 @@ shown to the next. The order changes the work and never the verdict: a document
 * NULL or empty text: no words; the rules decide (the default ones reject it for its few words).
 * Repeated rows and repeated ids are judged one by one; further columns stay as they are.
 * A rule that is NULL for a document does not reject it. An empty table gives an empty table.
+* Different words grow slower than a text, so their share is a mean over stretches of ``VARIETY`` words that cover the text.
+* Scripts without spaces have no words of their own: ``UNSPACED`` characters do not count for the longest mean word, and
+  ``UNSPACED_WORD`` of them count as one word where words are asked to be many enough.
 """
 
 from __future__ import annotations
@@ -23,6 +26,14 @@ from tidewatch.sources.staging import stage
 
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
+#: Words over which different words are counted.
+VARIETY = 10_000
+#: Characters of scripts written without spaces: Thai, Lao, Tibetan, Burmese, Khmer, Kana, Han and their punctuation.
+UNSPACED = (
+    r"[\x{0E00}-\x{0FFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3000}-\x{30FF}\x{31F0}-\x{31FF}\x{3400}-\x{4DBF}"
+    r"\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{FF00}-\x{FFEF}\x{20000}-\x{3FFFF}]+"
+)
+UNSPACED_WORD = 2
 #: Rows of the sample that orders the rules; they never influence a verdict.
 SAMPLE_ROWS = 2000
 
@@ -37,6 +48,23 @@ def word_characters(text: Column) -> Column:
     return F.char_length(F.translate(text, " \t\n\x0b\x0c\r", ""))
 
 
+def n_unspaced(text: Column) -> Column:
+    """Code points of scripts without spaces."""
+    return F.char_length(text) - F.char_length(F.regexp_replace(text, UNSPACED, ""))
+
+
+def n_distinct_words(tokens: Column, length: int = VARIETY) -> Column:
+    """Different words of every stretch of so many words, added up; the last stretch may be shorter."""
+
+    def added(all_words: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(all_words), F.lit(1)), F.lit(length))
+        return F.aggregate(
+            starts, F.lit(0), lambda n, at: n + F.size(F.array_distinct(F.slice(all_words, at, F.lit(length))))
+        )
+
+    return F.get(F.transform(F.array(tokens), added), 0)
+
+
 def lines(text: Column) -> Column:
     """Lines that hold a word."""
     return F.filter(F.split(text, "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
@@ -89,7 +117,8 @@ def measures() -> dict[str, Column]:
         "n_capitals": n_characters(text, ascii_uppercase),
         "n_lines": F.size(lines(text)),
         "n_dup_lines": n_duplicate_lines(text),
-        "n_distinct_words": F.size(F.array_distinct(words(tokens))),
+        "n_distinct_words": n_distinct_words(words(tokens)),
+        "n_unspaced": n_unspaced(text),
         "n_repeat_words": n_repeated_words(tokens),
     }
 
@@ -97,14 +126,17 @@ def measures() -> dict[str, Column]:
 def default_rules(known: Mapping[str, Column] | None = None) -> dict[str, Column]:
     """The default rules; a rule evaluates only the measures that it names. ``known`` replaces measures."""
     m = measures() | dict(known or {})
+    # Asked only where the words alone are too few, so nearly all texts are spared the search for other scripts.
+    all_words = m["n_words"] + m["n_unspaced"] / UNSPACED_WORD
     return {
-        "few_words": m["n_words"] < 20,
+        "few_words": (m["n_words"] < 20) & (all_words < 20),
         "repeated_windows": 100 * m["n_repeat_words"] > 30 * m["n_words"],
-        "symbols": 2 * m["n_symbols"] > m["n_words"],
-        "exclamations": 2 * m["n_exclamations"] > m["n_words"],
+        "symbols": (2 * m["n_symbols"] > m["n_words"]) & (2 * m["n_symbols"] > all_words),
+        "exclamations": (2 * m["n_exclamations"] > m["n_words"]) & (2 * m["n_exclamations"] > all_words),
         "capitals": 2 * m["n_capitals"] > m["word_chars"],
         "duplicate_lines": 2 * m["n_dup_lines"] > m["n_lines"],
-        "word_length": ~m["word_chars"].between(2 * m["n_words"], 15 * m["n_words"]),
+        "word_length": (m["word_chars"] < 2 * m["n_words"])
+        | ((m["word_chars"] > 15 * m["n_words"]) & (m["word_chars"] - m["n_unspaced"] > 15 * m["n_words"])),
         "few_distinct_words": 10 * m["n_distinct_words"] < m["n_words"],
     }
 
