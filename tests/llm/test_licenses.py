@@ -1,4 +1,5 @@
 import re
+import re._parser as parser
 
 from llm_odd import ODD, table  # noqa: F401
 from pyspark.sql import functions as F
@@ -77,3 +78,65 @@ def test_detections_against_brute_force(table):
 
 def test_empty_table(table):
     assert licenses.scan(table(["a"]).where("false")).count() == 0
+
+
+def alternatives(parsed):
+    """Texts that match a parsed pattern: every branch, every optional part with and without, the ends of every set."""
+    out = [""]
+    for kind, what in parsed:
+        match str(kind):
+            case "LITERAL":
+                more = [chr(what)]
+            case "BRANCH":
+                more = [t for branch in what[1] for t in alternatives(branch)]
+            case "SUBPATTERN":
+                more = alternatives(what[3])
+            case "MAX_REPEAT" | "MIN_REPEAT":
+                more = ([""] if what[0] == 0 else []) + [t * max(what[0], 1) for t in alternatives(what[2])]
+            case "IN":
+                more = [chr(c) for k, v in what for c in ([v] if str(k) == "LITERAL" else v)]
+            case "ANY":
+                more = ["q"]
+            case other:
+                raise ValueError(other)
+        out = [begin + end for begin in out for end in more]
+    return out
+
+
+def test_every_alternative_holds_its_keyword():
+    rules = [(r[1], r[2]) for r in licenses.NAMES] + [(r[3], r[4]) for r in licenses.SENTENCES]
+    for keyword, pattern in rules:
+        for text in alternatives(parser.parse(f" {pattern} ")):
+            assert re.fullmatch(f" {pattern} ", text) and keyword in text, (pattern, text)
+
+
+def test_gated_names_are_found(table):
+    texts = {
+        "licensed under the GNU Library General Public License v2": "lgpl-2.0",
+        "GNU Lesser General Public License 2.0": "lgpl-2.0",
+        "Unauthorised copying of this file": "proprietary",
+        "unauthorized use": "proprietary",
+        "ASL 2.0": "apache-2.0",
+        "released under the ASL v2": "apache-2.0",
+    }
+    rows = {r["row"]["doc_id"]: {d["label"] for d in r["detections"]} for r in licenses.scan(table(list(texts))).collect()}
+    assert [rows[i] for i in range(len(texts))] == [{label} for label in texts.values()]
+
+
+def test_every_rule_is_found_as_without_gates(table):
+    """One text for every rule, with all of its alternatives up to a bound."""
+    texts = []
+    for rule in licenses.RULES:
+        found = alternatives(parser.parse(rule.pattern.removesuffix("(?= )")))
+        step = max(1, len(found) // 12)
+        texts.append(" | ".join(found[::step][:40]))
+    rows = {r["row"]["doc_id"]: r for r in licenses.scan(table(texts)).collect()}
+    for i, text in enumerate(texts):
+        padded = "".join(f" {w}" for w in words(text)) + " "
+        found = [
+            (padded[: m.start()].count(" "), padded[: m.end()].count(" "), r.priority, k)
+            for k, r in enumerate(licenses.RULES)
+            for m in re.finditer(r.pattern, padded)
+        ]
+        got = sorted((d["start"], d["end"], d["priority"]) for d in rows[i]["detections"])
+        assert got == resolved(found), licenses.RULES[i]

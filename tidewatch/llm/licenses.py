@@ -24,7 +24,8 @@ from tidewatch.llm.text import lower_ascii, n_words, spaced, whole
 
 #: (label, keyword, name as a regular expression over words). The name is what forms are built around.
 NAMES = (
-    ("apache-2.0", "apache", r"(?:apache|asl)(?: software)?(?: license| licence)?(?: version| v)? ?v?2(?: 0)?"),
+    ("apache-2.0", "apache", r"apache(?: software)?(?: license| licence)?(?: version| v)? ?v?2(?: 0)?"),
+    ("apache-2.0", " asl", r"asl(?: software)?(?: license| licence)?(?: version| v)? ?v?2(?: 0)?"),
     ("apache-1.1", "apache", r"apache(?: software)?(?: license| licence)?(?: version| v)? ?v?1 1"),
     ("apache-1.0", "apache", r"apache(?: software)?(?: license| licence)?(?: version| v)? ?v?1 0"),
     ("mit", "licen", r"(?:mit|expat|x11)(?: style)? licen[cs]e"),
@@ -45,7 +46,7 @@ NAMES = (
     ("gpl-3.0", "general public", r"(?:gnu )?general public license(?: version| v)? ?v?3(?: 0)?"),
     ("gpl-2.0", "gpl", r"(?:gnu )?gpl ?(?:version|v)? ?v?2(?: 0)?"),
     ("gpl-3.0", "gpl", r"(?:gnu )?gpl ?(?:version|v)? ?v?3(?: 0)?"),
-    ("lgpl-2.0", "lesser", r"(?:gnu )?(?:lesser|library) general public license(?: version| v)? ?v?2(?: 0)?"),
+    ("lgpl-2.0", "general public", r"(?:gnu )?(?:lesser|library) general public license(?: version| v)? ?v?2(?: 0)?"),
     ("lgpl-2.1", "lesser", r"(?:gnu )?lesser general public license(?: version| v)? ?v?2 1"),
     ("lgpl-3.0", "lesser", r"(?:gnu )?lesser general public license(?: version| v)? ?v?3(?: 0)?"),
     ("lgpl-2.1", "lgpl", r"(?:gnu )?lgpl ?(?:version|v)? ?v?2 1"),
@@ -142,7 +143,7 @@ SENTENCES = (
     ("public-domain", 3, 0.7, "public domain", r"(?:in|into|to) the public domain"),
     ("proprietary", 3, 0.8, "rights reserved", r"all rights reserved"),
     ("proprietary", 2, 0.9, "proprietary and", r"proprietary and confidential"),
-    ("proprietary", 2, 0.9, "unauthorized", r"unauthori[sz]ed (?:copying|use|distribution|reproduction)"),
+    ("proprietary", 2, 0.9, "unauthori", r"unauthori[sz]ed (?:copying|use|distribution|reproduction)"),
     ("copyright-notice", 4, 0.5, "copyright", r"copyright (?:c )?(?:19|20)[0-9]{2}"),
     ("warranty-disclaimer", 4, 0.4, "without warrant", r"without warrant(?:y|ies) (?:of any kind|or conditions of any kind)"),
 )
@@ -152,7 +153,7 @@ PHRASES = (("mit", "mit license"), ("apache", "apache license"), ("gpl", "genera
 
 #: Every keyword contains one of these.
 STEMS = (
-    *("licen", "apache", "bsd", "zlib", "libpng", "wtfpl", "boost", "public", "gpl", "lesser", "affero"),
+    *("licen", "apache", " asl", "bsd", "zlib", "libpng", "wtfpl", "boost", "public", "gpl", "lesser", "affero"),
     *("free documentation", " mpl", "eclipse", "common development", "artistic", "academic free", "open software"),
     *("open font", "open data", "python software", "postgresql", "openssl", "ncsa", "permissi", "mulan", "reciprocal"),
     *("business source", "cc0", "cc by", "creative", "redistribution", "neither the name", "advertising"),
