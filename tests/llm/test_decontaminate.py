@@ -69,3 +69,23 @@ def test_drop_and_remove(spark, table):
     assert removed[2] == "clean text" and removed[3] is None
     assert "seven" not in removed[0] and removed[0].startswith("keep ") and "this, w" in removed[0]
     assert removed[1].strip() == "a"
+
+
+def test_items_without_an_id_on_both_ways(spark, table):
+    items = spark.createDataFrame([(None, ITEM), (None, SHORT), (3, SHORT), (None, "solo")], "item_id bigint, text string")
+    want = {i: brute(t)[:2] for i, t in enumerate(TEXTS)}
+    want[len(ODD) + 5] = (40, 0)  # no item of x and y here
+    one, two = (found(d.with_hits(table(TEXTS), items, max_windows=m)) for m in (d.MAX_WINDOWS, 0))
+    assert one == two and {i: w[:2] for i, w in one.items()} == want
+    assert {i for i, w in one.items() if w[2] == ["3"]} == {len(ODD) + 1, len(ODD) + 2}
+    for m in (d.MAX_WINDOWS, 0):
+        kept = d.drop_contaminated(table(TEXTS), items, max_windows=m)
+        assert {r["doc_id"] for r in kept.collect()} == {i for i, (n, hit) in want.items() if not hit or 20 * hit < n}
+
+
+def test_kept_documents(spark, table):
+    items = spark.createDataFrame([(None, ITEM), (2, SHORT)], "item_id bigint, text string")
+    docs = table([f"keep {ITEM} this, " + "w " * 400, f"a {ITEM}", "clean text", None])
+    for m in (d.MAX_WINDOWS, 0):
+        kept = d.drop_contaminated(docs, items, max_windows=m)
+        assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2, 3]

@@ -90,10 +90,18 @@ def hits(spaced_text: Column, length: int, hash_table: Column, buckets: int) ->
         lambda w, i: F.struct(
             i.alias("start"),
             (i + length).alias("end"),
-            F.flatten(F.transform(lookup(hash_table, w, "window", buckets), lambda e: e["items"])).alias("items"),
+            lookup(hash_table, w, "window", buckets).alias("entries"),
+        ),
+    )
+    # A window of items without an id is an entry whose list of items is empty.
+    return F.transform(
+        F.filter(found, lambda f: F.size(f["entries"]) > 0),
+        lambda f: F.struct(
+            f["start"].alias("start"),
+            f["end"].alias("end"),
+            F.flatten(F.transform(f["entries"], lambda e: e["items"])).alias("items"),
         ),
     )
-    return F.filter(found, lambda f: F.size(f["items"]) > 0)
 
 
 def window_grams(item_rows: DataFrame, length: int) -> DataFrame:
