@@ -89,3 +89,12 @@ def test_added_spans_leave_base_alone(spark):
     model = pii.train(*pii.labelled_windows(docs), steps=40)
     for row in pii.find(docs, model).collect():
         assert {tuple(b) for b in row["base"]} <= {tuple(s) for s in row["spans"]}
+
+
+def test_copies_of_a_window_count_once(table):
+    footer = "contact the office at office@example.com for more"
+    own = [f"write to person{k}@mail{k}.example.org about matter {k}" for k in range(9)]
+    x, y = pii.labelled_windows(table([footer] * 60 + own * 2), most=10)
+    assert len(x) == len({row.tobytes() for row in x}) == 10 and len(y) == 10
+    more, _ = pii.labelled_windows(table([footer, *own]), most=50)
+    assert sorted(r.tobytes() for r in more) == sorted(r.tobytes() for r in x)

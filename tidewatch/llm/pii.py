@@ -344,8 +344,8 @@ def added_spans(text: str, base: list[Span], model: Tagger) -> list[Span]:
 def labelled_windows(docs: DataFrame, *, text: str = "text", most: int = TRAIN_WINDOWS) -> tuple[np.ndarray, np.ndarray]:
     """A training set: character windows of texts that hold an anchor, with the base spans as labels.
 
-    The windows of all documents are made in parallel, one for each stretch, at an offset that varies; the ``most``
-    windows of smallest hash come to the driver.
+    The windows of all documents are made in parallel, one for each stretch, at an offset that varies. Windows of equal
+    text and tags count once, however many documents hold them; the ``most`` of smallest hash come to the driver.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -363,7 +363,8 @@ def labelled_windows(docs: DataFrame, *, text: str = "text", most: int = TRAIN_W
         docs.select(F.col(text).alias("text"))
         .where(F.col("text").rlike("[0-9@]"))
         .mapInArrow(run, "t string, y binary")
-        .orderBy(F.xxhash64("t"), "t")
+        .distinct()
+        .orderBy(F.xxhash64("t"), "t", "y")
         .limit(most)
         .collect()
     )
