@@ -2,7 +2,12 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from conftest import DATA
+
 from tidewatch.operators.linear_ae import LinearAutoencoder, LinearAutoencoderModel, median_and_mad, time_split
+from tidewatch.plans.anomaly_run import run_anomaly_detection
+from tidewatch.plans.catalog import models
+from tidewatch.sources.series import ship_daily
 
 
 @pytest.fixture(scope="module")
@@ -63,3 +68,13 @@ def test_threshold_from_the_earlier_rows(spark):
     early = LinearAutoencoder(encoding_dim=1).fit(df.where("date < '2024-03-31'"), ["a", "b"])
     assert model.threshold == early.threshold and model.means == early.means
     assert model.predict(df).where("is_anomaly AND date > '2024-03-31'").count() >= 9
+
+
+def test_end_to_end_takes_whole_tables(spark, monkeypatch):
+    runs = []
+    monkeypatch.setattr(models, "run_anomaly_detection", lambda *a, **k: runs.append(run_anomaly_detection(*a, **k)) or runs[0])
+    out = models.end_to_end(spark, DATA)
+    (run,) = runs
+    assert run.datasets["shipping"].columns == ship_daily(spark, DATA).columns
+    assert "avg_discount" in run.datasets["shipping"].columns
+    assert {"region", "orders", "revenue"} <= set(out.columns) and out.count() > 0

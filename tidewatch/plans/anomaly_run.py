@@ -61,6 +61,7 @@ def run_anomaly_detection(
 
     ``features.order_by`` and ``features.partition_by`` in the config name the row order and the series. The order
     must be unique; by default it is the date with the dimensions and then the metrics as tie-breakers.
+    ``features.table`` names the table to analyse; by default it is the widest one. All tables are checked.
     """
     config = DEFAULT_CONFIG if config is None else config
     output = config.get("output") or {}
@@ -69,7 +70,7 @@ def run_anomaly_detection(
     datasets = ingest_tables(spark, tables, root, source)
     quality = run_quality_checks(spark, datasets, config, f"{results}/qc_report.json")
 
-    chosen = normalise(datasets[widest_table(datasets)])
+    chosen = normalise(datasets[(config.get("features") or {}).get("table") or widest_table(datasets)])
     order_by, partition_by = _ordering(chosen, config)
     features = engineer_features(chosen, config, order_by=order_by, partition_by=partition_by, layout=layout)
     # Training, scoring and evaluation all read the features: write them once, read them back.

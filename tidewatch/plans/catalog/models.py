@@ -147,10 +147,10 @@ def end_to_end(spark, folder):
     """All steps from raw tables to flags, on region days (one series per region)."""
     config = {
         **DEFAULT_CONFIG,
-        "features": {**DEFAULT_CONFIG["features"], "partition_by": ["region"], "order_by": ["date"]},
+        "features": {**DEFAULT_CONFIG["features"], "table": "sales", "partition_by": ["region"], "order_by": ["date"]},
         "date_range": {"start": "1995-01-01", "end": "2001-08-01"},
     }
-    tables = {"sales": region_daily(spark, folder), "shipping": ship_daily(spark, folder).drop("avg_discount")}
+    tables = {"sales": region_daily(spark, folder), "shipping": ship_daily(spark, folder)}
     run = run_anomaly_detection(spark, tables, staging_path(spark, "run"), config)
     return run.predictions.select("date", "region", "orders", "revenue", "anomaly_score", "prediction", "is_anomaly")
 
