@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, licenses, line_templates, near_duplicates, pii, secrets, token_files, url_filter
+from tidewatch.llm import alignment, bpe, factorisation, lexical_search, licenses, line_templates, near_duplicates, pii
+from tidewatch.llm import secrets, token_files, url_filter
 from tidewatch.llm import decontaminate as decon
 from tidewatch.llm import quality_cascade as quality
 from tidewatch.llm.sql import SQL  # noqa: F401
@@ -150,6 +151,28 @@ def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of a machine that never sees the labels of held-out rows; of the documents' columns it reads the text and
+    ``n_chars``."""
+    docs = read(spark, folder, "documents").select("doc_id", "text", "n_chars")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    known = read(spark, folder, "labels").where(~held_out)
+    machine = factorisation.train(docs, known, label="quality", metadata=("n_chars",))
+    return factorisation.score(docs, machine, metadata=("n_chars",)).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align_documents(docs, a, b)[0]
+
+
+def op13_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.search(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op2_bpe": op2_bpe,
@@ -161,4 +184,7 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_quality": op9_quality,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_quality_classifier": op11_quality_classifier,
+    "op12_alignment": op12_alignment,
+    "op13_search": op13_search,
 }

@@ -188,6 +188,33 @@ SELECT doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(
 FROM d LEFT JOIN said USING (r)"""
 
 
+OP13 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'),
+           lambda w: w <> '') AS words FROM documents),
+q AS (
+  SELECT DISTINCT i, item_id, unnest(words) AS term FROM (
+    SELECT row_number() OVER () AS i, item_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'),
+             lambda w: w <> '') AS words FROM benchmark)),
+corpus AS (SELECT count(*) AS docs, CAST(sum(len(words)) AS BIGINT) AS length FROM d WHERE len(words) > 0),
+tf AS (
+  SELECT r, doc_id, n, term, count(*) AS tf
+  FROM (SELECT r, doc_id, len(words) AS n, unnest(words) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, corpus GROUP BY term),
+shares AS (
+  SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // length))) AS share
+  FROM tf JOIN w USING (term), corpus),
+scores AS (
+  SELECT i, item_id, r, doc_id, CAST(sum(share) AS BIGINT) AS score FROM shares JOIN q USING (term) GROUP BY ALL),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank, doc_id, score
+  FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50"""
+
 SQL = {
     "op5_urls": OP5,
     "op6_decontaminate": OP6,
@@ -195,4 +222,5 @@ SQL = {
     "op8_secrets": op8(),
     "op9_quality": OP9,
     "op10_near_duplicates": OP10,
+    "op13_search": OP13,
 }
