@@ -93,13 +93,26 @@ def test_word_memory_equals_whole_texts():
         assert ids.tolist() == encode.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_pieces_equal_whole_words():
+    """Words of Latin letters are cut by the pattern of the file; all kinds of borders, and no pattern at all."""
+    marks = ["", "'s", "'t", "'re", "'ve", "'m", "'ll", "'d", "'", "''s", "...", "-", "_", "1", "42", "É", "ß", "ÿ", "µ", "×", "İ", "<0>"]
+    words = [a + b + c for a in marks for b in marks for c in ("x", "Hello", "ÀÉ", "naïve", "")]
+    texts = [" ".join(words), "<|endoftext|>x <|startoftext|>", "e\u0301 \u0301x x\u0301", *words[::7]]
+    encode, plain = token_files.Encoder(WORDS), token_files.Encoder(WORDS, max_words=3)
+    plain.find_pieces = None
+    assert encode.find_pieces
+    for text, ids, same in zip(texts, encode(texts), plain(texts)):
+        assert ids.tolist() == same.tolist() == encode.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_files_hold_documents_in_order(spark, table, monkeypatch):
     tokenizer = Tokenizer.from_file(WORDS)
     texts, ids = [*ODD, "x", "y z"], [5, 3, None, 9, 1, 7, 7, 2, 8, 0, 4]
     got = token_files.write_and_read(spark, table(texts, ids), staging_path(spark, "files"), WORDS, 2).collect()
     assert len(got) == len(texts)
     at = 0
-    for i, text in sorted(zip(ids, texts), key=lambda p: (p[0] is not None, p[0] or 0, p[1] or "")):
+    hashes = {r["text"]: r["h"] for r in spark.createDataFrame([(t or "",) for t in set(texts)], "text string").selectExpr("text", "xxhash64(text) h").collect()}
+    for i, text in sorted(zip(ids, texts), key=lambda p: (p[0] is not None, p[0] or 0, hashes[p[1] or ""])):
         want = tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
         row = (i, at, len(want), zlib.crc32(np.array(want, "<u4").tobytes()))
         assert tuple(next(g for g in got if g["start"] == at)) == row

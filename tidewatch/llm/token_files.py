@@ -8,22 +8,26 @@ the others go to an exception list. An index of block starts allows to decode an
 Files get a name of their own for each attempt of a task. Which files count is said by a manifest that Spark commits;
 so a repeated or speculative task leaves at most files that nobody reads.
 
-* NULL and empty texts have the end id only. NULL keys come first. Rows of one key are ordered by their text.
+* NULL and empty texts have the end id only. NULL keys come first. Rows of one key are ordered by the hash of their text,
+  as they are dealt out to tasks, so that their places do not depend on the number of tasks. Keys must be integers.
 * Repeated rows are all written. An empty table gives an empty manifest and an empty result.
 * Texts of any length are written whole, a shard may then be larger than ``SHARD_IDS``.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import sys
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -40,15 +44,21 @@ MAGIC = b"PFOR\x01\x00\x00\x00"
 #: minimum, width, number of exceptions.
 HEAD = "<IBxH"
 HEAD_SIZE = struct.calcsize(HEAD)
+#: Words of ASCII and of Latin letters with marks.
+LATIN = re.compile(r"[\x21-\x7E\xC0-\xD6\xD8-\xF6\xF8-\xFF]+").fullmatch
 
 
 def pack(values: np.ndarray, width: int) -> bytes:
     """The low ``width`` bits of each value, highest bit first."""
+    if width in (8, 16):
+        return values.astype(f">u{width // 8}").tobytes()
     bits = np.unpackbits(values.astype(">u4").view(np.uint8).reshape(-1, 4), axis=1)
     return np.packbits(bits[:, 32 - width :]).tobytes()
 
 
 def unpack(data: bytes, n: int, width: int) -> np.ndarray:
+    if width in (8, 16):
+        return np.frombuffer(data, f">u{width // 8}", n).astype(np.uint32)
     bits = np.zeros((n, 32), np.uint8)
     bits[:, 32 - width :] = np.unpackbits(np.frombuffer(data, np.uint8), count=n * width).reshape(n, width)
     return np.packbits(bits, axis=1).view(">u4").ravel().astype(np.uint32)
@@ -156,10 +166,11 @@ def _store(path: str) -> tuple[fs.FileSystem, str]:
 
 
 class Encoder:
-    """The tokenizer, behind a memory of words.
+    """The tokenizer, behind memories of words and of pieces.
 
     Normaliser and pre-tokeniser treat what stands between spaces and line feeds by itself, so a text may be cut there,
-    and each different part need be encoded only once. Other white space stays inside the parts.
+    and each different part need be encoded only once. Other white space stays inside the parts. A part of Latin letters
+    is cut further where the tokenizer's own pattern cuts it, since many parts differ in punctuation only.
     """
 
     def __init__(self, path: str, max_words: int = MAX_WORDS):
@@ -169,28 +180,86 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.max_words = max_words
-        # Two generations: a full one becomes the old one, and what is used again moves on to the new one.
-        self.words: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.words, self.pieces = Memory(max_words), Memory(max_words)
+        self.find_pieces = self._pattern()
+
+    def _pattern(self) -> Callable[[str], list[str]] | None:
+        """What cuts a normalised word into pieces, if the file says so in one pattern and marks the last token of a
+        piece; these marks tell the ids of many pieces apart that are encoded as one text."""
+        spec = json.loads(self.tokenizer.to_str())
+        steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        suffix = spec["model"].get("end_of_word_suffix")
+        if [s["type"] for s in steps] != ["Split", "ByteLevel"] or not suffix or steps[1]["use_regex"]:
+            return None
+        if not steps[0]["invert"] or "Regex" not in steps[0]["pattern"]:
+            return None
+        size = self.tokenizer.get_vocab_size()
+        self.last = np.array([(self.tokenizer.id_to_token(i) or "").endswith(suffix) for i in range(size)])
+        return regex.compile(steps[0]["pattern"]["Regex"]).findall
+
+    def _encoded(self, some: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+        return [np.array(f.ids, "<u4").tobytes() for f in found]
+
+    def _pieces(self, some: list[str]) -> list[bytes]:
+        """Ids of pieces, encoded as one text."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+        cuts = [0, *(4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()]
+        if len(cuts) != len(some) + 1:
+            return self._encoded(some)
+        raw = ids.tobytes()
+        return [raw[begin:end] for begin, end in zip(cuts, cuts[1:])]
+
+    def _learn(self, words: set[str]) -> None:
+        new = self.words.missing(words)
+        whole, cut = new, {}
+        if self.find_pieces:
+            normal = self.tokenizer.normalizer.normalize_str if self.tokenizer.normalizer else str
+            # Elsewhere tables of letters may differ from those of the tokenizer.
+            cut = {w: self.find_pieces(normal(w)) for w in new if LATIN(w)}
+            whole = [w for w in new if w not in cut]
+            pieces = self.pieces.missing(set().union(*cut.values()))
+            for at in range(0, len(pieces), 4096):
+                some = pieces[at : at + 4096]
+                self.pieces.now.update(zip(some, self._pieces(some)))
+            known = self.pieces.now.__getitem__
+            self.words.now.update((w, b"".join(map(known, parts))) for w, parts in cut.items())
+        for at in range(0, len(whole), 4096):
+            some = whole[at : at + 4096]
+            self.words.now.update(zip(some, self._encoded(some)))
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.words) > self.max_words:
-            self.old, self.words = self.words, {}
+        self.words.turn()
+        self.pieces.turn()
         cut = [t.replace("\n", " ").split(" ") for t in texts]
-        new = []
-        for word in {word for parts in cut for word in parts if word not in self.words}:
-            if (packed := self.old.get(word)) is None:
-                new.append(word)
-            else:
-                self.words[word] = packed
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            for word, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.words[word] = np.array(found.ids, "<u4").tobytes()
-        known = self.words.__getitem__
+        self._learn(set().union(*cut).difference(self.words.now))
+        known = self.words.now.__getitem__
         return [np.frombuffer(b"".join(map(known, parts)), "<u4") for parts in cut]
 
 
+class Memory:
+    """Two generations: a full one becomes the old one, and what is used again moves on to the new one."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.now: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def turn(self) -> None:
+        if len(self.now) > self.most:
+            self.old, self.now = self.now, {}
+
+    def missing(self, some: set[str]) -> list[str]:
+        """Those of them that are in neither generation."""
+        out = []
+        for s in some.difference(self.now):
+            if (known := self.old.get(s)) is None:
+                out.append(s)
+            else:
+                self.now[s] = known
+        return out
+
+
 def _encoder(path: str) -> Encoder:
     """The encoder of this Python worker."""
     kept = sys.modules.setdefault("_tidewatch_worker_tools", type(sys)("_tidewatch_worker_tools")).__dict__
@@ -253,7 +322,7 @@ def write_token_files(
             yield flush()
 
     manifest = (
-        ordered.sortWithinPartitions(F.col("key").asc_nulls_first(), "text")
+        ordered.sortWithinPartitions(F.col("key").asc_nulls_first(), "h", "text")
         .select("key", "text")
         .mapInArrow(run, "part bigint, shard bigint, path string, n_docs bigint, n_ids bigint")
     )
