@@ -1,4 +1,7 @@
-from llm_odd import ODD, table  # noqa: F401
+from collections import defaultdict
+
+import pytest
+from llm_odd import DATA, ODD, table  # noqa: F401
 
 from tidewatch.llm import line_templates
 
@@ -17,8 +20,77 @@ def test_recurring_lines_leave_the_first(table):
     kept = texts_of(got)
     assert kept[0] == f"{OWN[0]}\n{LONG}\nown 0"
     assert all(kept[k] == f"{OWN[k]}\nown {k}" for k in (1, 2, 3))
-    assert 4 not in kept  # nothing of its own
+    assert kept[4] == ""
     assert [kept[5 + i] for i in range(len(ODD))] == ODD
+    fallen = texts_of(line_templates.drop_recurring_lines(docs, drop_share=80))
+    assert 4 not in fallen and len(fallen) == len(kept) - 1  # nothing of its own
+
+
+def by_hand(docs, min_docs=3, min_docs_short=10):
+    """Lines that stay of (key, text), by comparing every line's tokens outside each field."""
+    where = defaultdict(list)
+    for key, text in docs:
+        for at, line in enumerate((text or "").split("\n")):
+            w = line.encode().split()
+            n = len(w)
+            if n < 4:
+                continue
+            m = [b"<*>" if any(48 <= c <= 57 for c in x) else x for x in w]
+            wide = 3 if n >= 12 else 4
+            ends = [(2 * n // 3, n), (n // 3, 2 * n // 3)] if wide == 3 else [(n - n // 4, n), ((n - n // 4) // 2, (n - n // 4) // 2 + n // 4)]
+            names = [(n, a, tuple(m[:a] + m[b:])) for a, b in ends if 2 * sum(x != b"<*>" for x in m[:a] + m[b:]) > n]
+            if not names:
+                names = [(n, -1, tuple(m if 2 * sum(x != b"<*>" for x in m) > n else w))]
+            for name in names:
+                where[name].append((key, at))
+    gone, staying = set(), set()
+    for name, places in where.items():
+        if len({k for k, _ in places}) >= (min_docs if name[0] >= 12 else min_docs_short):
+            gone |= set(places)
+            staying.add(min(places))
+    gone -= staying
+    kept = {k: "\n".join(x for at, x in enumerate(t.split("\n")) if (k, at) not in gone) if t else t for k, t in docs}
+    return kept, staying
+
+
+@pytest.mark.parametrize("how", [{}, {"min_docs": 2, "min_docs_short": 2}])
+def test_documents_by_hand(spark, how):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").repartition(4)
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    want, _ = by_hand(rows, **how)
+    assert texts_of(line_templates.drop_recurring_lines(docs, **how)) == want
+
+
+def test_short_lines_have_a_field_behind_their_leading_tokens(table):
+    names = ["alice", "bob", "carol", "dave", "erin", "frank", "grace", "heidi", "ivan", "judy", "ken"]
+    texts = [f"{OWN[k % 8]} {n * 2}\nuser logged in from {n}\nthe account of {n} was closed again" for k, n in enumerate(names)]
+    kept = texts_of(line_templates.drop_recurring_lines(table(texts)))
+    assert sum("logged" in t for t in kept.values()) == 1 == sum("account" in t for t in kept.values())
+    assert texts_of(line_templates.drop_recurring_lines(table(texts[:9]))) == dict(enumerate(texts[:9]))
+
+
+@pytest.mark.parametrize("share", [None, 80])
+def test_every_template_keeps_a_line(table, share):
+    """Logs whose lines are nearly all dropped: the documents that hold what stays are never dropped themselves."""
+    log = lambda k, n: f"error number {n} was seen by the disk service of host {k} at the usual place today"
+    texts = ["\n".join([f"own line {'abc'[k]} of this log", *(log(k, n) for n in range(60))]) for k in range(3)]
+    texts += ["\n".join([LONG, f"{LONG} once more", f"own {k}"]) for k in range(4)]
+    kept = texts_of(line_templates.drop_recurring_lines(table(texts), drop_share=share))
+    _, staying = by_hand(list(enumerate(texts)))
+    assert staying
+    for k, at in staying:
+        assert texts[k].split("\n")[at] in kept[k].split("\n")
+    assert sum("error number" in t for t in kept.values()) == 1
+    assert len(kept) == (7 if share is None else 2)
+
+
+def test_very_many_lines(table):
+    """Work grows with the lines: 100,000 in each of three documents, half of them shared."""
+    texts = ["\n".join(f"row {j if j % 2 else f'{j}{chr(97 + k)}'} " + "abcdefghij"[j % 10] * (1 + j // 10) for j in range(1000)) for k in range(3)]
+    many = ["\n".join(["one line of many words that every one of the documents holds again and again", f"own {k} {k}"] * 50_000) for k in range(3)]
+    kept = texts_of(line_templates.drop_recurring_lines(table(texts + many)))
+    assert [kept[k] for k in range(3)] == texts
+    assert kept[3].count("one line") == 1 and "one line" not in kept[4] and kept[5].count("own") == 50_000
 
 
 def test_variable_fields(table):

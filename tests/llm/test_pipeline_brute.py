@@ -48,8 +48,9 @@ def templates(line):
     w = words(line)
     n, t = len(w), ["<*>" if MASKED.search(x) else x for x in w]
     holds = lambda part: 2 * sum(x != "<*>" for x in part) > n
-    a, b = n // 3, 2 * n // 3
-    found = [(n, k, *part) for k, part in ((0, t[:b]), (1, t[:a] + t[b:])) if n >= 12 and holds(part)]
+    a, b = (n // 3, 2 * n // 3) if n >= 12 else ((n - n // 4) // 2, (n - n // 4) // 2 + n // 4)
+    tail = 2 * n // 3 if n >= 12 else n - n // 4
+    found = [(n, k, *part) for k, part in ((0, t[:tail]), (1, t[:a] + t[b:])) if n >= 4 and holds(part)]
     return found or ([(n, 2, *(t if holds(t) else w))] if n >= 4 else [])
 
 
@@ -59,17 +60,20 @@ def without_recurring_lines(docs):
         for at, line in enumerate(text.split("\n")):
             for t in templates(line):
                 where.setdefault(t, []).append((i, at))
-    gone = set()
+    gone, staying = set(), set()
     for t, places in where.items():
         if len({i for i, _ in places}) >= (3 if t[0] >= 12 else 10):
-            gone |= set(places) - {min(places)}
+            gone |= set(places)
+            staying.add(min(places))
+    gone -= staying
+    holders = {i for i, _ in staying}
     out = {}
     for i, text in docs.items():
         lines = text.split("\n")
-        kept = [x for at, x in enumerate(lines) if (i, at) not in gone]
+        lost = [x for at, x in enumerate(lines) if (i, at) in gone]
         size = lambda some: sum(len(words(x)) for x in some)
-        if len(kept) == len(lines) or 100 * size(kept) > 20 * size(lines):
-            out[i] = "\n".join(kept)
+        if not lost or i in holders or 100 * size(lost) < 80 * size(lines):
+            out[i] = "\n".join(x for at, x in enumerate(lines) if (i, at) not in gone)
     return out
 
 

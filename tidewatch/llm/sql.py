@@ -118,25 +118,27 @@ tokens AS (
   SELECT r, doc_id, text, pos, line, list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda t: t <> '') AS plain
   FROM raw),
 lines AS (
-  SELECT r, doc_id, text, pos, len(plain) AS n,
+  SELECT r, doc_id, text, pos, plain, len(plain) AS n,
          list_transform(plain, lambda t: regexp_replace(t, '[^ 0-9]*[0-9][^ ]*', '<*>', 'g')) AS t FROM tokens),
+cut AS (
+  SELECT *, CASE WHEN n >= 12 THEN [t[1:2 * n // 3] + ['<*>'], t[1:n // 3] + ['<*>'] + t[2 * n // 3 + 1:]]
+    ELSE [t[1:n - n // 4] + ['<*>'], t[1:(n - n // 4) // 2] + ['<*>'] + t[(n - n // 4) // 2 + n // 4 + 1:]] END AS fields
+  FROM lines WHERE n >= 4),
+enough AS (
+  SELECT *, list_filter(fields, lambda f: 2 * len(list_filter(f, lambda x: x <> '<*>')) > n) AS held FROM cut),
 keyed AS (
-  SELECT r, doc_id, text, pos, n, unnest(CASE
-    WHEN n >= 12 THEN [n || ' ' || array_to_string(t[1:2 * n // 3], ' ') || ' <*>',
-      n || ' ' || array_to_string(t[1:n // 3], ' ') || ' <*> ' || array_to_string(t[2 * n // 3 + 1:], ' ')]
-    WHEN n >= 4 THEN [n || ' ' || array_to_string(t, ' ')] ELSE [] END) AS template FROM lines),
+  SELECT r, doc_id, text, pos, n, unnest(CASE WHEN len(held) > 0 THEN list_transform(held, lambda f: array_to_string(f, ' '))
+    WHEN 2 * len(list_filter(t, lambda x: x <> '<*>')) > n THEN [array_to_string(t, ' ')]
+    ELSE [array_to_string(plain, ' ')] END) AS template FROM enough),
 recurring AS (
-  SELECT template, min({'doc_id': doc_id, 'pos': pos}) AS first FROM keyed GROUP BY template
-  HAVING count(DISTINCT {'doc_id': doc_id, 'text': text}) >= CASE WHEN min(n) >= 12 THEN 3 ELSE 10 END),
+  SELECT n, template, min({'doc_id': doc_id, 'pos': pos}) AS first FROM keyed GROUP BY n, template
+  HAVING count(DISTINCT {'doc_id': doc_id, 'text': text}) >= CASE WHEN n >= 12 THEN 3 ELSE 10 END),
 dropped AS (
-  SELECT DISTINCT r, pos FROM keyed JOIN recurring USING (template) WHERE doc_id <> first.doc_id OR pos <> first.pos),
-judged AS (
-  SELECT r, any_value(tokens.doc_id) AS doc_id, any_value(text) AS text, count(dropped.pos) AS lost, count(*) AS n_all,
-         string_agg(line, chr(10) ORDER BY pos) FILTER (dropped.pos IS NULL) AS kept,
-         sum(len(plain)) AS words, coalesce(sum(len(plain)) FILTER (dropped.pos IS NULL), 0) AS words_kept
-  FROM tokens LEFT JOIN dropped USING (r, pos) GROUP BY r)
-SELECT doc_id, CAST(n_all - lost AS BIGINT) AS n_lines, sha256(coalesce(kept, '')) AS text_sha256
-FROM judged WHERE lost = 0 OR 100 * words_kept > 20 * words"""
+  SELECT r, pos FROM keyed JOIN recurring USING (n, template) GROUP BY r, pos
+  HAVING NOT bool_or(doc_id = first.doc_id AND pos = first.pos))
+SELECT any_value(doc_id) AS doc_id, greatest(count(*) - count(dropped.pos), 1) AS n_lines,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (dropped.pos IS NULL), '')) AS text_sha256
+FROM tokens LEFT JOIN dropped USING (r, pos) GROUP BY r"""
 
 OP10 = r"""
 WITH RECURSIVE d AS (
