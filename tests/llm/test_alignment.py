@@ -105,6 +105,23 @@ def test_documents_against_byte_ranges(spark, monkeypatch, heavy):
     assert sorted((r["doc_id"], *(r[c] for c in COLUMNS)) for r in got) == sorted((r["doc_id"], *w) for r, w in zip(rows, want))
 
 
+def test_remembered_words_equal_whole_texts():
+    """Cuts at spaces of all kinds, with a memory that is full at once, a large one, and none."""
+    marks = ["", "  ", "   ", "\n", " \n", "\n ", " \n ", "\n\n", "\t", " . ", "漢", " é", "'s", " 's ", "\r\n", "▁", " ▁", "\u0301", "\xa0", "..."]
+    texts = [a + x + b + y + c for a in marks for b in marks for c in ("", "end", " end ") for x, y in (("word", "Naïve1"), ("", "ß"))]
+    a, b = Tokenizer.from_file(A), sentencepiece.SentencePieceProcessor(model_file=B)
+    a.encode_special_tokens = True
+    files = alignment.tokenizer_files(A, B)
+    small, large, plain = alignment.Aligner(*files, max_words=3), alignment.Aligner(*files), alignment.Aligner(*files)
+    assert large.cuts
+    plain.cuts = False
+    for some in (texts, texts[::-1], [" ".join(texts)]):
+        for aligner in (small, large, plain):
+            for t, (ids_a, ids_b) in zip(some, aligner._ids(some), strict=True):
+                assert ids_a.tolist() == a.encode(" " + t, add_special_tokens=False).ids
+                assert ids_b.tolist() == b.encode(t), t
+
+
 def test_counts_are_handed_on_in_parts(spark, table, monkeypatch):
     """Tasks that hold few pairs and rows of few counts give the same."""
     monkeypatch.setattr(alignment, "HELD_PAIRS", 4)

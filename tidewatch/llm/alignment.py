@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,11 +34,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidewatch.llm.token_files import Memory
 from tidewatch.sources.staging import stage
 
 HEAVY = 16_384
 #: Texts and bytes that are aligned at once.
 BATCH_TEXTS, BATCH_BYTES = 256, 1 << 21
+#: Words of a generation that a Python worker remembers.
+MAX_WORDS = 250_000
+#: Words of ASCII and of Latin letters with marks, and what line feeds join.
+WORD = re.compile(r"[\x21-\x7E\xC0-\xD6\xD8-\xF6\xF8-\xFF]+(?:\n+[\x21-\x7E\xC0-\xD6\xD8-\xF6\xF8-\xFF]+)*").fullmatch
 #: Different pairs that a task holds before it hands their counts on, and pairs in a row of counts.
 HELD_PAIRS, ROW_PAIRS = 2_000_000, 65_536
 
@@ -82,7 +88,7 @@ class Aligned:
 class Aligner:
     """Both tokenizers of a Python worker, and the map from A ids to B ids of the same bytes."""
 
-    def __init__(self, json_a: str, model_b: bytes):
+    def __init__(self, json_a: str, model_b: bytes, max_words: int = MAX_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
         from tokenizers import Tokenizer
@@ -99,6 +105,10 @@ class Aligner:
             if not self.b.is_control(i) and not self.b.is_unknown(i) and (t not in of_bytes or self.b.is_byte(of_bytes[t])):
                 of_bytes[t] = i
         self.same = np.array([of_bytes.get(t, -1) for t in self.bytes_a], np.int64)
+        self.spell_a, self.spell_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
+        self.memory = Memory(max_words)
+        # No piece goes on after the end of a word, so pieces of words don't depend on what follows.
+        self.cuts = all("▁" not in self.b.id_to_piece(i).lstrip("▁") for i in range(self.width))
         ends = ((",", "|"), (",", ";"))
         self.forms = [f"{i}{e}" for n, side in zip((len(self.bytes_a), len(self.bytes_b)), ends) for i in range(n) for e in side]
 
@@ -107,14 +117,68 @@ class Aligner:
         """A pair as one number: A id * width + B id."""
         return len(self.bytes_b)
 
+    def _learn(self, words: set[str]) -> None:
+        """Ids of new words on both sides; many words are encoded as one text and told apart by their bytes."""
+        new = self.memory.missing({w for w in words if WORD(w)})
+        for at in range(0, len(new), 4096):
+            some = new[at : at + 4096]
+            ends = np.cumsum([1 + len(w.encode()) for w in some])
+            joined = " ".join(some)
+            ids_a = np.array(self.a.encode_batch_fast([" " + joined], add_special_tokens=False)[0].ids, "<u4")
+            ids_b = np.array(self.b.encode(joined), "<u4")
+            sides = []
+            for ids, lengths in ((ids_a, self.length_a), (ids_b, self.length_b)):
+                places = np.cumsum(lengths[ids])
+                cuts = np.searchsorted(places, ends)
+                if len(places) == 0 or places[-1] != ends[-1] or (places[cuts] != ends).any():
+                    break
+                raw, cuts = ids.tobytes(), [0, *(4 * (cuts + 1)).tolist()]
+                sides.append([raw[x:y] for x, y in zip(cuts, cuts[1:])])
+            if len(sides) == 2:
+                self.memory.now.update(zip(some, zip(*sides)))
+
+    def _ids(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """A and B ids of each text.
+
+        A word that follows a space starts with it on both sides, so a text may be cut before the spaces of words and its
+        words remembered. What stands between known words is encoded as it is; a space that another one precedes may
+        belong to it, so it stays with what is before.
+        """
+        cut = [t.split(" ") for t in texts]
+        if self.cuts:
+            self.memory.turn()
+            self._learn(set().union(*cut))
+        known, rest, holes, found = self.memory.now.get, [], [], []
+        for number, parts in enumerate(cut):
+            pairs, done = list(map(known, parts)), 0
+            for k in [k for k, p in enumerate(pairs) if p is None]:
+                if k < done:
+                    continue
+                last = k
+                # B gives nothing for an empty text, so a space at the end goes with the word before it.
+                k -= k > 0 and k + 1 == len(parts) and not parts[k]
+                while last + 1 < len(parts) and (not parts[last] or pairs[last + 1] is None):
+                    last += 1
+                holes.append((number, k, last))
+                rest.append(" ".join(parts[k : last + 1]))
+                done = last + 1
+            found.append(pairs)
+        of_a = self.a.encode_batch_fast([" " + r for r in rest], add_special_tokens=False)
+        for (number, first, last), ids_a, ids_b in zip(holes, of_a, self.b.encode(rest, num_threads=1)):
+            ids = (np.array(ids_a.ids, "<u4").tobytes(), np.array(ids_b, "<u4").tobytes())
+            found[number][first : last + 1] = [ids] + [(b"", b"")] * (last - first)
+        for pairs in found:
+            for_a, for_b = zip(*pairs)
+            yield np.frombuffer(b"".join(for_a), "<u4"), np.frombuffer(b"".join(for_b), "<u4")
+
     def _encoded(self, texts: list[str]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
         """Bytes, A ids and B ids of each text; all empty where a side does not spell the bytes."""
         none = (b"", np.empty(0, np.int64), np.empty(0, np.int64))
-        found_a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        for t, of_a, ids_b in zip(texts, found_a, self.b.encode(texts, num_threads=1)):
-            ids_a, raw = of_a.ids, (" " + t).encode()
-            if t and raw == b"".join(map(self.bytes_a.__getitem__, ids_a)) == b"".join(map(self.bytes_b.__getitem__, ids_b)):
-                yield raw, np.array(ids_a, np.int64), np.array(ids_b, np.int64)
+        for t, (ids_a, ids_b) in zip(texts, self._ids(texts)):
+            raw = (" " + t).encode()
+            spelled = (b"".join(map(known, ids.tolist())) for known, ids in ((self.spell_a, ids_a), (self.spell_b, ids_b)))
+            if t and all(s == raw for s in spelled):
+                yield raw, ids_a.astype(np.int64), ids_b.astype(np.int64)
             else:
                 yield none
 
