@@ -19,8 +19,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines of recurring templates; ``n_chars`` follows the text."""
-    return line_templates.drop_recurring_lines(docs).withColumn("n_chars", F.char_length("text").cast("bigint"))
+    """Documents without lines of recurring templates; those that lose nearly all go. ``n_chars`` follows the text."""
+    kept = line_templates.drop_recurring_lines(docs, drop_share=80)
+    return kept.withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
