@@ -66,7 +66,8 @@ def test_threshold_from_the_earlier_rows(spark):
     df = spark.createDataFrame(rows, "date timestamp_ntz, a double, b double")
     model = LinearAutoencoder(encoding_dim=1).fit(df, ["a", "b"], date_col="date", validation_split=0.1)
     early = LinearAutoencoder(encoding_dim=1).fit(df.where("date < '2024-03-31'"), ["a", "b"])
-    assert model.threshold == early.threshold and model.means == early.means
+    # Sums of other partitions may differ in the last bit.
+    assert model.threshold == pytest.approx(early.threshold, rel=1e-9) and model.means == pytest.approx(early.means)
     assert model.predict(df).where("is_anomaly AND date > '2024-03-31'").count() >= 9
 
 

@@ -7,6 +7,14 @@ from pyspark.sql import functions as F
 
 from tidewatch.sources.series import region_daily, table
 
+
+
+def exact_mean(column: str, places: int = 2) -> str:
+    """Mean of numbers of so many places to six digits, halves away from zero, in whole numbers."""
+    units, n = f"CAST(sum(CAST({column} AS DECIMAL(20, {places}))) * {10**places} AS HUGEINT)", f"count({column})"
+    return f"sign({units}) * ((2 * abs({units}) * {10 ** (6 - places)} + {n}) // (2 * {n})) / 1000000.0"
+
+
 REGION_DAILY = """region_daily AS (
   SELECT CAST(o_orderdate AS DATE) AS date, r_name AS region, CAST(count(*) AS BIGINT) AS orders,
          round(sum(o_totalprice), 2) AS revenue
@@ -14,14 +22,14 @@ REGION_DAILY = """region_daily AS (
        JOIN region ON n_regionkey = r_regionkey
   GROUP BY 1, 2)"""
 
-SHIP_DAILY = """ship_daily AS (
+SHIP_DAILY = f"""ship_daily AS (
   SELECT CAST(l_shipdate AS DATE) AS date, l_returnflag, CAST(count(*) AS BIGINT) AS items,
-         round(sum(l_quantity), 2) AS quantity, avg(l_discount) AS avg_discount
+         round(sum(l_quantity), 2) AS quantity, {exact_mean("l_discount")} AS avg_discount
   FROM lineitem GROUP BY 1, 2)"""
 
-EVENT_HOURLY = """event_hourly AS (
+EVENT_HOURLY = f"""event_hourly AS (
   SELECT date_trunc('hour', ts) AS hour, event_type, CAST(count(*) AS BIGINT) AS events,
-         round(sum(value), 2) AS value_sum, avg(value) AS value_avg
+         round(sum(value), 2) AS value_sum, {exact_mean("value")} AS value_avg
   FROM events GROUP BY 1, 2)"""
 
 GAPPY = """gappy AS (

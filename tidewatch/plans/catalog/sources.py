@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.columns import widest_table
 from tidewatch.operators.fusion import fuse_tables
 from tidewatch.operators.ordered import ROW, index_rows
-from tidewatch.plans.catalog.shared import EVENT_HOURLY, REGION_DAILY, SHIP_DAILY, rounded
+from tidewatch.plans.catalog.shared import EVENT_HOURLY, REGION_DAILY, SHIP_DAILY, exact_mean, rounded
 from tidewatch.sources.ingest import ingest_tables
 from tidewatch.sources.series import event_hourly, region_daily, ship_daily, table
 from tidewatch.sources.staging import staging_path
@@ -66,18 +66,18 @@ def _widest(spark, folder):
     )
 
 
-def _in_cents(df, column):
-    """Money as a decimal: means of doubles depend on the order of their terms."""
-    return df.withColumn(column, F.col(column).cast("decimal(20,2)"))
+def _exact(df, **places):
+    """Columns as decimals: means of doubles depend on the order of their terms."""
+    return df.withColumns({c: F.col(c).cast(f"decimal(20,{n})") for c, n in places.items()})
 
 
 def _fused(spark, folder):
     return rounded(
         fuse_tables(
             {
-                "sales": _in_cents(region_daily(spark, folder), "revenue"),
-                "shipping": _in_cents(ship_daily(spark, folder), "quantity"),
-                "web": _in_cents(event_hourly(spark, folder), "value_sum").withColumn("date", F.to_date("hour")),
+                "sales": _exact(region_daily(spark, folder), revenue=2),
+                "shipping": _exact(ship_daily(spark, folder), quantity=2, avg_discount=6),
+                "web": _exact(event_hourly(spark, folder), value_sum=2, value_avg=6).withColumn("date", F.to_date("hour")),
             },
             ["date"],
         )
@@ -115,12 +115,6 @@ QUERIES = {
     "clip_and_ratio": _clipped,
 }
 
-def _cent_mean(column: str) -> str:
-    """Mean of amounts in cents to six digits, halves away from zero, in whole numbers."""
-    cents, n = f"CAST(sum(CAST({column} AS DECIMAL(20, 2))) * 100 AS HUGEINT)", f"count({column})"
-    return f"sign({cents}) * ((2 * abs({cents}) * 10000 + {n}) // (2 * {n})) / 1000000.0"
-
-
 SQL = {
     "series_region_daily": f"WITH {REGION_DAILY} SELECT * FROM region_daily",
     "series_ship_daily": f"""
@@ -143,12 +137,12 @@ SQL = {
     "widest_table": "SELECT 'lineitem' AS table_id, 11 AS column_count, count(*) AS row_count FROM lineitem",
     "fused_daily": f"""
         WITH {REGION_DAILY}, {SHIP_DAILY}, {EVENT_HOURLY},
-        a AS (SELECT date, avg(orders) AS sales_orders, {_cent_mean("revenue")} AS sales_revenue
+        a AS (SELECT date, avg(orders) AS sales_orders, {exact_mean("revenue")} AS sales_revenue
               FROM region_daily GROUP BY date),
-        b AS (SELECT date, avg(items) AS shipping_items, {_cent_mean("quantity")} AS shipping_quantity,
-                     avg(avg_discount) AS shipping_avg_discount FROM ship_daily GROUP BY date),
-        c AS (SELECT CAST(hour AS DATE) AS date, avg(events) AS web_events, {_cent_mean("value_sum")} AS web_value_sum,
-                     avg(value_avg) AS web_value_avg FROM event_hourly GROUP BY 1)
+        b AS (SELECT date, avg(items) AS shipping_items, {exact_mean("quantity")} AS shipping_quantity,
+                     {exact_mean("avg_discount", 6)} AS shipping_avg_discount FROM ship_daily GROUP BY date),
+        c AS (SELECT CAST(hour AS DATE) AS date, avg(events) AS web_events, {exact_mean("value_sum")} AS web_value_sum,
+                     {exact_mean("value_avg", 6)} AS web_value_avg FROM event_hourly GROUP BY 1)
         SELECT date, round(sales_orders, 6) AS sales_orders, round(sales_revenue, 6) AS sales_revenue,
                round(shipping_items, 6) AS shipping_items, round(shipping_quantity, 6) AS shipping_quantity,
                round(shipping_avg_discount, 6) AS shipping_avg_discount, round(web_events, 6) AS web_events,

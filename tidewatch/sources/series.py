@@ -1,11 +1,11 @@
 """Daily and hourly series drawn from the order, shipment and event tables.
 
-Amounts are kept to the cent so that a sum does not depend on the order of its terms.
+Amounts are kept to the cent, and their means to six digits, so that neither depends on the order of its terms.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -13,6 +13,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def mean_of_cents(column: str) -> Column:
+    """The mean of an amount in cents, exact to six digits."""
+    return F.avg(F.col(column).cast("decimal(18,2)")).cast("double")
+
+
 def region_daily(spark: SparkSession, folder: str) -> DataFrame:
     """Orders and revenue by day and region of the customer; unique by (date, region)."""
     nations = table(spark, folder, "nation").join(
@@ -35,7 +40,7 @@ def ship_daily(spark: SparkSession, folder: str) -> DataFrame:
         .agg(
             F.count("*").alias("items"),
             F.round(F.sum("l_quantity"), 2).alias("quantity"),
-            F.avg("l_discount").alias("avg_discount"),
+            mean_of_cents("l_discount").alias("avg_discount"),
         )
     )
 
@@ -48,7 +53,7 @@ def event_hourly(spark: SparkSession, folder: str) -> DataFrame:
         .agg(
             F.count("*").alias("events"),
             F.round(F.sum("value"), 2).alias("value_sum"),
-            F.avg("value").alias("value_avg"),
+            mean_of_cents("value").alias("value_avg"),
         )
     )
 
