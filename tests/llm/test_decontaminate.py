@@ -64,7 +64,8 @@ def test_drop_and_remove(spark, table):
     docs = table([f"keep {ITEM} this, " + "w " * 400, f"a {ITEM}", "clean text", None])
     kept = d.drop_contaminated(docs, items)
     assert kept.columns == docs.columns
-    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2, 3] or 16 * 20 < 416
+    # 15 words of 417 are under a twentieth.
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2, 3]
     removed = {r["doc_id"]: r["text"] for r in d.remove_spans(docs, items).collect()}
     assert removed[2] == "clean text" and removed[3] is None
     assert "seven" not in removed[0] and removed[0].startswith("keep ") and "this, w" in removed[0]

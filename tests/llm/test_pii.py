@@ -98,3 +98,8 @@ def test_copies_of_a_window_count_once(table):
     assert len(x) == len({row.tobytes() for row in x}) == 10 and len(y) == 10
     more, _ = pii.labelled_windows(table([footer, *own]), most=50)
     assert sorted(r.tobytes() for r in more) == sorted(r.tobytes() for r in x)
+
+
+def test_long_runs_of_digits_take_linear_time():
+    run, rest = "9" * 1_000_000, f" 1.2.3.4 {'1.' * 1000}"
+    assert pii.base_spans(run + rest) == [(kind, len(run) + s, len(run) + e) for kind, s, e in brute(rest)]

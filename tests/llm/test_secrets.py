@@ -14,6 +14,8 @@ TEXTS = [
     "deadbeef" * 4 + " é🙂 " + "0123456789abcdef" * 2,
     "ghp_" + "a" * 36 + " and -----BEGIN RSA PRIVATE KEY-----",
     "password=abcdef " * 500,
+    "-----BEGIN " + "ABC " * 50_000 + "-----BEGIN PRIVATE KEY----- -----BEGIN OPENSSH 2 PRIVATE KEY BLOCK-----",
+    "9" * 1_000_000,
 ]
 
 

@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
 #: Patterns of the base spans, fixed values.
-LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# A match begins where a run of digits does: what fails there fails at all later digits of the run too.
+IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: What every value holds at least one of.
@@ -329,6 +329,9 @@ PLAUSIBLE = (
 def added_spans(text: str, base: list[Span], model: Tagger) -> list[Span]:
     """Spans of the model that are plausible and overlap no base span."""
     parts = list(stretches(text))
+    taken = bytearray(len(text))
+    for _, s, e in base:
+        taken[s:e] = b"\1" * (e - s)
     out = []
     for (begin, end), tagged in zip(parts, model.tagged([text[b:e] for b, e in parts])):
         for kind, s, e in spans_of(tagged, begin):
@@ -336,7 +339,7 @@ def added_spans(text: str, base: list[Span], model: Tagger) -> list[Span]:
                 s += 1
             while s < e and text[e - 1].isspace():
                 e -= 1
-            if PLAUSIBLE[kind].fullmatch(text, s, e) and not any(s < y and x < e for _, x, y in base):
+            if PLAUSIBLE[kind].fullmatch(text, s, e) and taken.find(1, s, e) < 0:
                 out.append((kind, s, e))
     return out
 

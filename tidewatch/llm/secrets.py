@@ -65,7 +65,8 @@ BASE = (
     Rule("hex", r"[0-9a-f]{24,}", least=24),
 )
 MORE = (
-    Rule("private_key", r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----", keyword="-----BEGIN "),
+    # A class with a bound: repeated groups recurse in Java's engine.
+    Rule("private_key", r"-----BEGIN (?:[A-Z0-9 ]{1,64} )?PRIVATE KEY(?: BLOCK)?-----", keyword="-----BEGIN "),
     Rule("github", r"\b(?:gh[pousr]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{60,})", keyword="gh"),
     Rule("gitlab", r"\bglpat-[A-Za-z0-9_-]{20,}", keyword="glpat-"),
     Rule("slack", r"\bxox[abeoprs]-[A-Za-z0-9-]{20,}", keyword="xox"),
