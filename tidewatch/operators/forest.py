@@ -1,12 +1,16 @@
 """Isolation Forest (Liu, Ting, Zhou 2008) trained and scored on Spark.
 
-Training draws for every tree ``psi`` rows of the whole table: hashes of a row give the few trees that it is a candidate
-for, and each tree takes the candidates of smallest hash and grows in its own task. The fitted trees are a small node table; scoring sends them to the executors and descends all
-rows of an Arrow batch together. Nothing depends on the partition layout: equal keys and seed give equal forests.
+Training draws for every tree ``psi`` rows of the whole table. Rows are reduced to a digest and a count, which is all that
+is shuffled: the copies of a digest have one slot for each copy and tree, geometric gaps between hashes say which of them
+are candidates, each tree takes the candidates of smallest hash, and only then the few chosen rows are read. A tree grows
+in its own task. The fitted trees are a small node table; scoring sends them to the executors and descends all rows of an
+Arrow batch together. Nothing depends on the partition layout: equal rows and seed give equal forests. All chance comes
+from MD5 digests of texts, so that SQL can draw the same samples and grow the same trees.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import sys
 from collections.abc import Iterator, Sequence
@@ -46,10 +50,12 @@ _NODE_TYPES = pa.schema(
 )
 # Candidates per wanted row of a tree; drawn anew with more if a tree ends up short.
 TREE_MARGIN = 2.0
+# Candidates expected in a chunk of the slots of equal rows, and far more than a chunk ever has.
+CHUNK_CANDIDATES, MOST_CANDIDATES = 64, 1024
+# Up to so many drawn digests are sent to all tasks.
+BROADCAST_ROWS = 1_000_000
 # Trees of a broadcast part (about 20 MB at 256 samples); path lengths are added part by part.
 TREES_PER_PART = 1000
-COPIES_PER_CHUNK = 1_000_000
-_COPY = "__copy"
 EULER_GAMMA = 0.5772156649
 
 
@@ -188,14 +194,8 @@ class IsolationForest:
             raise ValueError("no complete rows to train on")
         psi = min(self.max_samples, facts["rows"])
         doubles = [F.col(f"`{c}`").cast("double").alias(n) for n, c in zip(names, features)]
-        training, key = _with_unique_key(df.where(complete).select(*key, *doubles))
-        margin = TREE_MARGIN
-        while True:
-            nodes = self._node_rows(training, key, names, facts["rows"], margin)
-            sizes = nodes.filter(pc.equal(nodes["node"], 0))["size"].to_numpy()
-            if len(sizes) == self.n_estimators and sizes.min() == psi:
-                break
-            margin *= 2
+        training = df.where(complete).select(*key, *doubles)
+        nodes = self._node_rows(self._draw(training, facts["rows"]), names, psi)
         return ForestModel(
             features=features,
             means={c: facts[n] for c, n in zip(features, names)},
@@ -208,90 +208,104 @@ class IsolationForest:
             nodes=nodes,
         )
 
-    def _node_rows(self, rows: DataFrame, key: list[str], names: list[str], total: int, margin: float) -> pa.Table:
-        psi, seed = min(self.max_samples, total), self.random_state
-        limit = math.ceil(math.log2(max(psi, 2)))
+    def _node_rows(self, drawn: DataFrame, names: list[str], psi: int) -> pa.Table:
+        seed, limit = self.random_state, math.ceil(math.log2(max(psi, 2)))
 
         def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-            tree = int(pdf["tree"].iloc[0])
-            sample = pdf.sort_values("draw", kind="stable")[names].to_numpy(dtype=float)
-            return pd.DataFrame(_grow_tree(tree, sample, limit, seed), columns=_NODE_TYPES.names)
+            sample = pdf[names].to_numpy(dtype=float)
+            return pd.DataFrame(_grow_tree(int(pdf["tree"].iloc[0]), sample, limit, seed), columns=_NODE_TYPES.names)
 
-        nodes = self._draw(rows, key, total, margin).groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
-        return _in_order(nodes)
+        return _in_order(drawn.groupBy("tree").applyInPandas(grow, NODE_SCHEMA))
 
-    def draw_samples(self, rows: DataFrame, key: Sequence[str]) -> DataFrame:
-        """``min(max_samples, rows)`` rows per tree without replacement, with columns ``tree`` and ``draw`` added.
+    def draw_samples(self, rows: DataFrame) -> DataFrame:
+        """``min(max_samples, rows)`` rows per tree without replacement, with columns ``tree`` and ``draw`` added. All columns
+        tell rows apart; of equal rows each copy may be drawn."""
+        return self._draw(rows, rows.count())
 
-        ``key`` may be shared by several rows: all columns, and a number among equal rows, tell them apart.
-        """
-        total = rows.count()
-        names = rows.columns
-        unique, every = _with_unique_key(rows)
+    def _draw(self, rows: DataFrame, total: int) -> DataFrame:
+        """Each tree takes the ``psi`` slots of smallest draw among its candidates; a slot is a candidate with the
+        probability ``margin * psi / total``, so about ``margin * psi`` are ranked for each tree at any size."""
+        if not total:
+            return rows.withColumns({"tree": F.lit(0), "draw": F.lit(0.0)}).limit(0)
         psi, margin = min(self.max_samples, total), TREE_MARGIN
+        digests = rows.select(_row_digest(rows).alias("__row"))
+        # Copies combine before the shuffle, which carries 16 bytes and a count for each different row.
+        counted = digests.groupBy("__row").agg(F.count("*").alias("__count"))
         while True:
-            drawn = self._draw(unique, every, total, margin)
-            full = drawn.groupBy("tree").count().where(F.col("count") == psi).count()
-            if full == self.n_estimators or not total:
-                return drawn.select(*names, "tree", "draw")
+            slots = _candidates(counted, min(1.0, margin * psi / total), self.n_estimators, self.random_state)
+            order = Window.partitionBy("tree").orderBy("draw", "__row", "__copy")
+            ranked = slots.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= psi).drop("__n")
+            chosen = stage(ranked, "forest-draw")
+            full = chosen.groupBy("tree").count().where(F.col("count") == psi).count()
+            if full == self.n_estimators:
+                break
             margin *= 2
+        wanted = chosen.select("__row").distinct()
+        if self.n_estimators * psi <= BROADCAST_ROWS:
+            wanted = F.broadcast(wanted)
+        named = rows.withColumn("__row", _row_digest(rows)).join(wanted, "__row", "left_semi")
+        # Equal rows are the same in all columns.
+        once = named.groupBy("__row").agg(*[F.first(f"`{c}`").alias(c) for c in rows.columns])
+        return once.join(chosen, "__row").select(*[f"`{c}`" for c in rows.columns], "tree", "draw")
 
-    def _draw(self, rows: DataFrame, key: list[str], total: int, margin: float) -> DataFrame:
-        """Each tree takes the ``psi`` candidates of smallest draw; a row is a candidate of a tree with the probability
-        ``margin * psi / total``, so that one scan pairs about ``margin * psi`` rows with each tree at any size."""
-        psi = min(self.max_samples, total)
-        share = min(1.0, margin * psi / total) if total else 1.0
-        paired = _with_trees(rows, key, share, self.n_estimators, self.random_state).withColumn(
-            "draw", _draw_position(F.xxhash64(F.lit(self.random_state), F.lit("tree"), F.col("tree"), *key))
-        )
-        order = Window.partitionBy("tree").orderBy("draw", *key)
-        return paired.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= psi).drop("__n")
-
-
-def _with_trees(rows: DataFrame, key: list[str], share: float, trees: int, seed: int) -> DataFrame:
-    """One row for each tree that a row is a candidate of, with probability ``share`` for each tree independently.
-
-    The gaps between chosen trees are geometric, so a row needs a hash for each chosen tree and one more; a row that
-    skips all trees with its first gap, as most rows of a large table do, is dropped by one condition.
-    """
-    if share >= 1:
-        return rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
 
-    def gap(number: Column) -> Column:
-        position = _draw_position(F.xxhash64(F.lit(seed), F.lit("gap"), number, *key))
-        return F.floor(F.log1p(-position) / F.lit(math.log1p(-share)))
+def _row_digest(rows: DataFrame) -> Column:
+    """MD5 of all columns as text."""
 
-    def step(state: Column, number: Column) -> Column:
-        tree = state["next"] + gap(number)
-        more = F.struct((tree + 1).alias("next"), F.concat(state["trees"], F.array(tree.cast("int"))).alias("trees"))
-        done = F.struct(F.lit(trees).cast("bigint").alias("next"), state["trees"].alias("trees"))
-        return F.when(state["next"] >= trees, state).when(tree < trees, more).otherwise(done)
+    def text(name: str) -> Column:
+        said = F.col(f"`{name}`").cast("string")
+        # A bar in a text must not look like the next column.
+        escaped = F.replace(said, F.lit("|"), F.lit("||")) if rows.schema[name].dataType.typeName() == "string" else said
+        return F.coalesce(escaped, F.lit("~"))
 
-    start = F.struct(F.lit(0).cast("bigint").alias("next"), F.array().cast("array<int>").alias("trees"))
-    numbers = F.sequence(F.lit(0), F.lit(trees))
-    chosen = F.aggregate(numbers, start, step, lambda state: state["trees"])
-    return rows.where(gap(F.lit(0)) < trees).withColumn("tree", F.explode(chosen))
+    return F.unhex(F.md5(F.concat_ws("|", *[text(c) for c in rows.columns])))
 
 
-def _with_unique_key(rows: DataFrame) -> tuple[DataFrame, list[str]]:
-    """The rows with a key that tells them apart: all columns and a number among equal rows.
+def _candidates(counted: DataFrame, share: float, trees: int, seed: int) -> DataFrame:
+    """(__row, __copy, tree, draw): the slots (copy, tree) of each digest that are candidates, each with probability
+    ``share``.
 
-    A hash of a shared key would take or leave all its rows. Equal rows are counted (copies combine before the shuffle)
-    and numbered again in chunks, which spreads a huge group of copies over many tasks.
+    The gaps between candidates are geometric, so a digest needs a hash for each of them and one more; a digest that skips
+    all its slots with the first gap, as most do in a large table, is dropped by one condition. The slots of very many
+    copies are cut into chunks that spread over many tasks.
     """
-    columns = rows.columns
-    counted = rows.groupBy(*columns).agg(F.count("*").alias("__count"))
-    last_chunk = F.expr(f"(__count - 1) div {COPIES_PER_CHUNK}")
-    chunks = counted.withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)))
-    start = F.col("__chunk") * COPIES_PER_CHUNK
-    copies = F.sequence(start, F.least(start + (COPIES_PER_CHUNK - 1), F.col("__count") - 1))
-    spread = chunks.repartition(*columns, "__chunk").withColumn(_COPY, F.explode(copies))
-    return spread.drop("__count", "__chunk"), [*columns, _COPY]
+    name = F.lower(F.hex("__row"))
+    size = max(trees, math.ceil(CHUNK_CANDIDATES / share))
+    slots = F.col("__count") * trees
+    chunks = counted.withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(__count * {trees} - 1) div {size}"))))
+    length = F.least(F.lit(size), slots - F.col("__chunk") * size)
 
+    def gap(number: Column) -> Column:
+        if share >= 1:
+            return F.lit(0).cast("bigint")
+        u = _fraction(F.lit(seed), F.lit("gap"), name, F.col("__chunk"), number)
+        return F.floor(F.log(1 - u) / F.lit(math.log(1 - share)))
 
-def _draw_position(hashed: Column) -> Column:
-    """A 64-bit hash as a number in [0, 1)."""
-    return F.shiftrightunsigned(hashed, 11) / F.lit(float(1 << 53))
+    def step(state: Column, number: Column) -> Column:
+        at = state["next"] + gap(number)
+        more = F.struct((at + 1).alias("next"), F.concat(state["found"], F.array(at)).alias("found"))
+        done = F.struct(length.cast("bigint").alias("next"), state["found"].alias("found"))
+        return F.when(state["next"] >= length, state).when(at < length, more).otherwise(done)
+
+    if share >= 1:
+        found = F.sequence(F.lit(0).cast("bigint"), (length - 1).cast("bigint"))
+    else:
+        start = F.struct(F.lit(0).cast("bigint").alias("next"), F.array().cast("array<bigint>").alias("found"))
+        numbers = F.sequence(F.lit(0), F.lit(min(MOST_CANDIDATES, size)))
+        found = F.aggregate(numbers, start, step, lambda state: state["found"])
+    slot = F.col("__chunk") * size + F.col("__slot")
+    picked = (
+        chunks.where(gap(F.lit(0)) < length)
+        .withColumn("__slot", F.explode(found))
+        .select("__row", F.expr(f"(__chunk * {size} + __slot) div {trees}").alias("__copy"), (slot % trees).cast("int").alias("tree"))
+    )
+    return picked.withColumn("draw", _fraction(F.lit(seed), F.lit("tree"), F.col("tree"), name, F.col("__copy")))
+
+
+def _fraction(*parts: Column) -> Column:
+    """A number in [0, 1) from the first 52 bits of the MD5 of the parts, joined by bars."""
+    bits = F.conv(F.substring(F.md5(F.concat_ws("|", *[p.cast("string") for p in parts])), 1, 13), 16, 10)
+    return bits.cast("bigint") / F.lit(float(1 << 52))
 
 
 def node_rows(rows: list[tuple]) -> pa.Table:
@@ -305,29 +319,32 @@ def _in_order(nodes: DataFrame) -> pa.Table:
     return table.sort_by([("tree", "ascending"), ("node", "ascending")]).combine_chunks()
 
 
+def _chance(*parts: object) -> float:
+    """The same number as ``_fraction`` gives."""
+    return int(hashlib.md5("|".join(map(str, parts)).encode()).hexdigest()[:13], 16) / (1 << 52)
+
+
 def _grow_tree(tree: int, rows: np.ndarray, limit: int, seed: int) -> list[tuple]:
-    """Random axis-parallel splits until a node is pure, single or ``limit`` deep; siblings get adjacent numbers."""
-    random = np.random.default_rng([seed, tree])
+    """Random axis-parallel splits until a node is pure, single or ``limit`` deep. The children of a node have twice its
+    number plus one and plus two."""
     nodes: list[tuple] = []
     waiting = [(0, 0, rows)]
-    next_free = 1
-    while waiting:
-        node, depth, part = waiting.pop(0)
+    for node, depth, part in waiting:
         size = len(part)
         low, high = part.min(axis=0), part.max(axis=0)
         varied = np.flatnonzero(high > low)
         if depth >= limit or size <= 1 or not len(varied):
             nodes.append((tree, node, depth, -1, None, -1, -1, size, depth + average_path(size)))
             continue
-        feature = int(varied[int(random.random() * len(varied))])
-        split = float(low[feature] + (high[feature] - low[feature]) * random.random())
+        feature = int(varied[int(_chance(seed, tree, node, "feature") * len(varied))])
+        split = float(low[feature] + (high[feature] - low[feature]) * _chance(seed, tree, node, "split"))
         if not low[feature] < split <= high[feature]:
             split = float(high[feature])
         left = part[:, feature] < split
-        nodes.append((tree, node, depth, feature, split, next_free, next_free + 1, size, None))
-        waiting.append((next_free, depth + 1, part[left]))
-        waiting.append((next_free + 1, depth + 1, part[~left]))
-        next_free += 2
+        below = 2 * node + 1
+        nodes.append((tree, node, depth, feature, split, below, below + 1, size, None))
+        waiting.append((below, depth + 1, part[left]))
+        waiting.append((below + 1, depth + 1, part[~left]))
     return nodes
 
 
@@ -344,15 +361,19 @@ def _path_udf(spark: SparkSession, nodes: pa.Table, width: int):
     column = {n: nodes[n].to_numpy() for n in ("node", "depth", "feature", "left", "right", "split", "path_length")}
     here, inner = np.arange(len(nodes)), column["feature"] >= 0
     roots = np.flatnonzero(column["node"] == 0)
-    root_of = np.repeat(roots, np.diff(np.append(roots, len(nodes))))
+    tree_of = np.repeat(np.arange(len(roots)), np.diff(np.append(roots, len(nodes))))
+    # Nodes come by tree and number, so their places are found by search.
+    number = lambda node: tree_of * (1 << 31) + node
+    places = number(column["node"].astype(np.int64))
+    child = lambda side: np.searchsorted(places, number(column[side].astype(np.int64)))
     # A leaf points at itself and nothing passes an infinite split, so all rows can take the same steps.
     packed = {
         "roots": roots,
         "depth": int(column["depth"].max()),
         "feature": np.where(inner, column["feature"], 0),
         "split": np.where(inner, column["split"], np.inf),
-        "left": np.where(inner, root_of + column["left"], here),
-        "right": np.where(inner, root_of + column["right"], here),
+        "left": np.where(inner, child("left"), here),
+        "right": np.where(inner, child("right"), here),
         "path": np.where(inner, 0.0, column["path_length"]),
     }
     shared = spark.sparkContext.broadcast(packed)

@@ -62,7 +62,7 @@ def _fixed_scores_with_gaps(spark, folder):
 
 
 def _sample_counts(spark, folder):
-    return IsolationForest().draw_samples(_events(spark, folder), ["event_id"]).groupBy("tree").agg(F.count("*").alias("rows"))
+    return IsolationForest().draw_samples(_events(spark, folder)).groupBy("tree").agg(F.count("*").alias("rows"))
 
 
 def _quantile_flags(spark, folder):
