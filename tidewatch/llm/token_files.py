@@ -214,9 +214,14 @@ class Encoder:
         new = self.words.missing(words)
         whole, cut = new, {}
         if self.find_pieces:
-            normal = self.tokenizer.normalizer.normalize_str if self.tokenizer.normalizer else str
             # Elsewhere tables of letters may differ from those of the tokenizer.
-            cut = {w: self.find_pieces(normal(w)) for w in new if LATIN(w)}
+            latin = [w for w in new if LATIN(w)]
+            # Words of these letters have no white space, so they are normalised as one text.
+            joined = " ".join(latin)
+            normal = self.tokenizer.normalizer.normalize_str(joined) if self.tokenizer.normalizer else joined
+            forms = normal.split(" ")
+            if len(forms) == len(latin):
+                cut = dict(zip(latin, map(self.find_pieces, forms)))
             whole = [w for w in new if w not in cut]
             pieces = self.pieces.missing(set().union(*cut.values()))
             for at in range(0, len(pieces), 4096):
