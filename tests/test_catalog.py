@@ -8,7 +8,7 @@ from conftest import DATA
 
 from tidewatch.plans.catalog import QUERIES, SQL
 
-ROWS_ONLY = {"forest_scores", "forest_reloaded_scores", "end_to_end_anomalies"}
+ROWS_ONLY = {"end_to_end_anomalies"}
 
 
 @pytest.fixture(scope="module")

@@ -1,4 +1,4 @@
-"""Model queries. Trained forests have no SQL counterpart; sampling, scoring and flagging of given forests have."""
+"""Model queries: scoring and flagging by given forests, the linear autoencoder, methods side by side, streams, the run."""
 
 from __future__ import annotations
 
@@ -42,27 +42,26 @@ FIXED_FOREST = ForestModel(
     random_state=0,
     nodes=node_rows(_TREES),
 )
-_FEATURES = ["value", "hour", "user"]
 
 
-def _events(spark, folder):
+def event_features(spark, folder):
     return table(spark, folder, "events").select(
         "event_id", "ts", "value", F.hour("ts").alias("hour"), F.col("user_id").alias("user")
     )
 
 
 def _fixed_scores(spark, folder):
-    return rounded(FIXED_FOREST.get_anomalies(_events(spark, folder)))
+    return rounded(FIXED_FOREST.get_anomalies(event_features(spark, folder)))
 
 
 def _fixed_scores_with_gaps(spark, folder):
     """Missing inputs take the training mean of the column."""
-    gaps = _events(spark, folder).withColumn("value", F.when(F.col("value") > 25, F.col("value")))
+    gaps = event_features(spark, folder).withColumn("value", F.when(F.col("value") > 25, F.col("value")))
     return rounded(FIXED_FOREST.score_samples(gaps))
 
 
 def _sample_counts(spark, folder):
-    return IsolationForest().draw_samples(_events(spark, folder)).groupBy("tree").agg(F.count("*").alias("rows"))
+    return IsolationForest().draw_samples(event_features(spark, folder)).groupBy("tree").agg(F.count("*").alias("rows"))
 
 
 def _quantile_flags(spark, folder):
@@ -76,18 +75,6 @@ def _threshold_flags(spark, folder):
     return replace(FIXED_FOREST, offset=-1.0).flag(scored, threshold=-0.5)
 
 
-def _forest_scores(spark, folder):
-    model, scored = IsolationForest().fit_score(_events(spark, folder), _FEATURES, ["event_id"])
-    return model.flag(scored)
-
-
-def _reloaded_scores(spark, folder):
-    events = _events(spark, folder)
-    path = staging_path(spark, "model")
-    IsolationForest(contamination=0.1).fit(events, _FEATURES, ["event_id"]).save(spark, path)
-    return ForestModel.load(spark, path).get_anomalies(events)
-
-
 def _reconstruction(spark, folder):
     """Volume and revenue of a region day move together; the error is what one component cannot explain."""
     daily = region_daily(spark, folder)
@@ -161,8 +148,6 @@ QUERIES = {
     "forest_score_imputed": _fixed_scores_with_gaps,
     "forest_flags": _quantile_flags,
     "forest_threshold_flags": _threshold_flags,
-    "forest_scores": _forest_scores,
-    "forest_reloaded_scores": _reloaded_scores,
     "ae_reconstruction": _reconstruction,
     "ae_flags": _reconstruction_flags,
     "robust_z_flags": _robust,
