@@ -4,9 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.operators.features import engineer_features
-from tidewatch.operators.ordered import DAILY, Layout
+from tidewatch.operators.ordered import DAILY, SPREAD, Layout
 from tidewatch.plans.catalog.models import FIXED_FOREST
-from tidewatch.streaming.incremental import feature_stream
+from tidewatch.streaming.incremental import feature_stream, features_of, late_of
 from tidewatch.streaming.monitor import append_available, daily_anomaly_rates, read_parquet_stream, score_stream
 
 SCHEMA = "id bigint, ts timestamp_ntz, value double, hour double"
@@ -85,18 +85,35 @@ def test_stream_features_equal_batch_features(spark, tmp_path, layout):
         stream, CONFIG, ["x"], **ordering, target=target, checkpoint=str(tmp_path / "cp"), available_now=True, layout=layout
     )
     query.awaitTermination()
-    got = spark.read.parquet(f"{target}/features").drop("batch")
+    got = features_of(spark, target)
     want = engineer_features(df, CONFIG, ["x"], **ordering, layout=DAILY)
     assert got.count() == 160
     assert _text(got, want.columns) == _text(want, want.columns)
-    assert spark.read.parquet(f"{target}/late").isEmpty()
+    assert late_of(spark, target).isEmpty()
+
+
+def test_odd_values_on_keyed_streams(spark, tmp_path):
+    """Zeros, infinities, NaN, whole numbers and gaps give what the batch operator gives, over four batches."""
+    odd = [0.0, 1.0, None, float("nan"), float("inf"), float("inf"), -2.5, 0.0, 0.0, None, float("-inf"), 7.0]
+    rows = [(i, f"s{i % 7}", odd[(i * 5 + i // 7) % 12], None if i % 11 == 0 else i % 5, "kept") for i in range(200)]
+    df = spark.createDataFrame(rows, "n bigint, series string, x double, k int, other string")
+    for part in range(4):
+        df.where(F.col("n").between(part * 50, part * 50 + 49)).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    ordering = {"order_by": ["n"], "partition_by": ["series"], "layout": DAILY}
+    target = str(tmp_path / "out")
+    feature_stream(stream, CONFIG, ["x", "k"], **ordering, target=target, checkpoint=str(tmp_path / "cp"), available_now=True).awaitTermination()
+    got, want = features_of(spark, target), engineer_features(df, CONFIG, ["x", "k"], **ordering)
+    assert got.columns == want.columns and [f.dataType for f in got.schema] == [f.dataType for f in want.schema]
+    assert _text(got, want.columns) == _text(want, want.columns)
 
 
 def _text(df, columns):
     return sorted(str([round(v, 9) if isinstance(v, float) else v for v in r]) for r in df.select(columns).collect())
 
 
-def test_late_rows_are_kept_aside(spark, tmp_path):
+@pytest.mark.parametrize("layout", [DAILY, SPREAD])
+def test_late_rows_are_kept_aside(spark, tmp_path, layout):
     schema = "n bigint, series string, x double"
     source = str(tmp_path / "in")
     for rows in ([(5, "a", 1.0)], [(3, "a", 2.0), (6, "a", 3.0), (1, "b", 4.0)]):
@@ -111,9 +128,11 @@ def test_late_rows_are_kept_aside(spark, tmp_path):
             target=str(tmp_path / "out"),
             checkpoint=str(tmp_path / "cp"),
             available_now=True,
+            layout=layout,
         ).awaitTermination()
-    assert [r["n"] for r in spark.read.parquet(str(tmp_path / "out" / "late")).collect()] == [3]
-    lags = {(r["series"], r["n"]): r["x_lag_1"] for r in spark.read.parquet(str(tmp_path / "out" / "features")).collect()}
+    target = str(tmp_path / "out")
+    assert [r["n"] for r in late_of(spark, target).collect()] == [3]
+    lags = {(r["series"], r["n"]): r["x_lag_1"] for r in features_of(spark, target).collect()}
     assert lags == {("a", 5): None, ("a", 6): 1.0, ("b", 1): None}
     with pytest.raises(ValueError, match="look ahead"):
         feature_stream(stream, {"features": {"lag_features": [-1]}}, ["x"], order_by=["n"], partition_by=["series"], target="", checkpoint="")

@@ -13,7 +13,7 @@ from tidewatch.operators.ordered import DAILY, SPREAD
 from tidewatch.plans.catalog.shared import GAPPY, REGION_DAILY, rounded
 from tidewatch.sources.series import gappy_events, region_daily, table
 from tidewatch.sources.staging import staging_path
-from tidewatch.streaming.incremental import feature_stream
+from tidewatch.streaming.incremental import feature_stream, features_of
 from tidewatch.streaming.monitor import read_parquet_stream
 
 _BY_REGION = {"order_by": ["date"], "partition_by": ["region"], "layout": DAILY}
@@ -70,7 +70,34 @@ def _streamed(spark, folder):
         available_now=True,
     )
     query.awaitTermination()
-    return rounded(spark.read.parquet(f"{base}/features").drop("batch"))
+    return rounded(features_of(spark, base))
+
+
+def _streamed_by_user(spark, folder):
+    """Features of every user, whose events are few, as the events arrive in several batches."""
+    events = table(spark, folder, "events").select("event_id", "ts", "user_id", "value")
+    base = staging_path(spark, "user-stream")
+    first, last = events.select(F.min("ts"), F.max("ts")).first()
+    quarter = (last - first) / 4
+    # Four arrivals, one after the other in order of time, so that no row comes late; the state outlives the query.
+    for k in range(4):
+        part = events.where(F.col("ts") >= F.lit(first + k * quarter))
+        if k < 3:
+            part = part.where(F.col("ts") < F.lit(first + (k + 1) * quarter))
+        part.write.mode("append").parquet(f"{base}/arriving")
+        query = feature_stream(
+            read_parquet_stream(spark, f"{base}/arriving", events.schema),
+            {"features": {"rolling_windows": [7], "lag_features": [1, 7]}},
+            ["value"],
+            order_by=["ts", "event_id"],
+            partition_by=["user_id"],
+            target=base,
+            checkpoint=f"{base}/checkpoint",
+            available_now=True,
+            layout=DAILY,
+        )
+        query.awaitTermination()
+    return rounded(features_of(spark, base))
 
 
 QUERIES = {
@@ -105,6 +132,7 @@ QUERIES = {
     "feature_matrix": _matrix,
     "mean_impute": _impute,
     "stream_features": _streamed,
+    "stream_features_by_user": _streamed_by_user,
     "complete_rows": lambda s, d: drop_incomplete(gappy_events(s, d)),
 }
 
@@ -178,6 +206,7 @@ def _cycles(date: str) -> list[str]:
 
 _REGION = "PARTITION BY region ORDER BY date NULLS LAST"
 _TYPE = "PARTITION BY event_type ORDER BY ts NULLS LAST, event_id"
+_USER = "PARTITION BY user_id ORDER BY ts NULLS LAST, event_id"
 _TIME = "ORDER BY ts NULLS LAST, event_id"
 
 
@@ -286,5 +315,14 @@ SQL = {
         _EVENTS,
         _padded("e", ["value"], _TYPE),
     ),
+    "stream_features_by_user": _select(
+        ["event_id", "ts", "user_id", "round(value, 6) AS value"]
+        + _rolling("value", [7], _USER)
+        + _lags("value", [1, 7], _USER)
+        + _differences("value", [1], _USER, "value_f"),
+        "padded",
+        "e AS (SELECT event_id, ts, user_id, value FROM events)",
+        _padded("e", ["value"], _USER),
+    ),
     "complete_rows": f"WITH {GAPPY} SELECT * FROM gappy WHERE date IS NOT NULL AND reading IS NOT NULL",
 }

@@ -1,8 +1,9 @@
 """Rolling, lag and difference features on a stream, series by series.
 
-Each micro-batch is joined by the last rows of its series and goes through the batch operator, so a busy series is
-spread in blocks here too. What the next batch has to see is written as a small table: per series, as many rows as the
-widest feature reaches back plus one older row that carries the last known values for the relative change.
+Series that are said to be short (``DAILY``) keep their last rows in Spark's state store (see ``keyed``). For others each
+micro-batch is joined by the last rows of its series and goes through the batch operator, so a busy series is spread in
+blocks here too. What the next batch has to see is then written as a small table: per series, as many rows as the widest
+feature reaches back plus one older row that carries the last known values for the relative change.
 """
 
 from __future__ import annotations
@@ -13,10 +14,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidewatch.functions.calendar import parse_date, seasonal_features
 from tidewatch.functions.columns import present
 from tidewatch.functions.missing import value
 from tidewatch.operators.features import engineer_features
 from tidewatch.operators.ordered import Layout, over_rows
+from tidewatch.streaming.keyed import with_keyed_features
 
 
 def feature_stream(
@@ -31,11 +34,12 @@ def feature_stream(
     available_now: bool = False,
     layout: Layout = Layout(),
 ) -> StreamingQuery:
-    """Write the features of every arriving row below ``target/features``.
+    """Write the features of every arriving row; ``features_of`` and ``late_of`` read what was written.
 
     Rows that do not come after the newest processed row of their series can no longer change its features; they are
-    kept below ``target/late``. Each batch replaces its own folders and reads the state of the batch before it, so
-    repeating a batch after a failure changes nothing.
+    kept aside without features. With short series the file sink commits each batch with its state. Otherwise each batch
+    replaces its own folders and reads the state of the batch before it, so repeating a batch after a failure changes
+    nothing.
     """
     settings = config.get("features") or {}
     windows, lags = settings.get("rolling_windows") or [], settings.get("lag_features") or []
@@ -46,6 +50,16 @@ def feature_stream(
     reach = max([w - 1 for w in windows] + list(lags) + [1])
     keys, order, columns = list(partition_by), list(order_by), present(stream, value_cols)
     ordering = {"order_by": order, "partition_by": keys, "layout": layout}
+    if not layout.in_blocks:
+        none = stream.sparkSession.createDataFrame([], stream.schema)
+        like = engineer_features(none, config, columns, **ordering)
+        ready = parse_date(stream)
+        if settings.get("seasonal_features", False) and "date" in stream.columns:
+            ready = seasonal_features(ready)
+        rows = with_keyed_features(ready, like, windows, lags, columns, order, keys)
+        sink = rows.writeStream.format("parquet").option("path", f"{target}/rows").partitionBy("__late")
+        sink = sink.option("checkpointLocation", checkpoint)
+        return (sink.trigger(availableNow=True) if available_now else sink).start()
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -70,6 +84,23 @@ def feature_stream(
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def features_of(spark: SparkSession, target: str) -> DataFrame:
+    """The rows with features that a feature stream wrote."""
+    return _written(spark, target, "features", late=False)
+
+
+def late_of(spark: SparkSession, target: str) -> DataFrame:
+    """The rows that came too late."""
+    return _written(spark, target, "late", late=True)
+
+
+def _written(spark: SparkSession, target: str, folder: str, late: bool) -> DataFrame:
+    there = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/rows")
+    if there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there):
+        return spark.read.parquet(f"{target}/rows").where(F.col("__late") == late).drop("__late")
+    return spark.read.parquet(f"{target}/{folder}").drop("batch")
+
+
 def _state_path(target: str, batch_id: int) -> str:
     """Two folders in turn: the state a batch reads stays until the next batch is written."""
     return f"{target}/state/turn={batch_id % 2}"
