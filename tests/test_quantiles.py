@@ -55,3 +55,22 @@ def test_outliers(spark):
 def test_constant_column_has_no_outliers(spark):
     df = spark.createDataFrame([(1.0,)] * 3, "x double")
     assert not any(r["x_outlier"] for r in detect_outliers(df, ["x"]).collect())
+
+
+@pytest.mark.parametrize(("exact_rows", "scans"), [(200_000, 2), (100, None)])
+def test_two_scans_are_enough(spark, exact_rows, scans):
+    """Rows read are counted by the source itself."""
+    read = spark.sparkContext.accumulator(0)
+
+    def rows(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch.assign(x=(batch["id"] * 7919 % 30011).astype(float), y=(batch["id"] % 3).astype(float))
+
+    n = 30_000
+    df = spark.range(n).mapInPandas(rows, "id long, x double, y double")
+    got = exact_quantiles(df, ["x", "y"], [0.05, 0.25, 0.5, 0.95], exact_rows=exact_rows, accuracy=1000)
+    ids = np.arange(n)
+    for name, values in (("x", ids * 7919 % 30011), ("y", ids % 3)):
+        np.testing.assert_allclose(got[name], np.quantile(values.astype(float), [0.05, 0.25, 0.5, 0.95]), rtol=1e-12)
+    assert read.value == scans * n if scans else read.value > 2 * n

@@ -4,6 +4,9 @@ The wanted ranks are found by narrowing: an approximate percentile proposes real
 between which of them the rank lies, and the search goes on in that open interval. Every round shrinks the interval by
 about the accuracy, a value that repeats often is recognised by its own count, and only scalars reach the driver. What
 all open intervals together still hold, ``exact_rows`` values at most, is sorted at the end, each interval by itself.
+
+The sketches bound how many values an interval can hold. Where that is little enough, and it is up to hundreds of millions
+of values, the scan that counts gathers them too, so that two scans do: one for counts and cuts, one for the rest.
 """
 
 from __future__ import annotations
@@ -18,6 +21,8 @@ from tidewatch.functions.missing import value
 
 EXACT_ROWS = 200_000
 ACCURACY = 10_000
+# Distance of the proposed cuts from a rank, in errors of the sketch.
+SLACK = 2.0
 
 
 @dataclass
@@ -79,7 +84,14 @@ def exact_quantiles(
     if not columns:
         return {}
     values = df.select(*[value(df, c).cast("double").alias(c) for c in columns])
-    counts = values.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in columns]).first().asDict()
+    slack = SLACK / accuracy
+    near = [min(1.0, max(0.0, p + d)) for p in probabilities for d in (-slack, slack)]
+    sketches = [
+        F.percentile_approx(F.col(f"`{c}`"), F.array(*[F.lit(p) for p in near]), F.lit(accuracy)).alias(f"p{i}")
+        for i, c in enumerate(columns)
+    ]
+    first = values.agg(*[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(columns)], *sketches).first()
+    counts = {c: first[f"n{i}"] for i, c in enumerate(columns)}
     wanted = {}
     for c in columns:
         for p in probabilities:
@@ -87,6 +99,12 @@ def exact_quantiles(
             for rank in {math.floor(position), math.ceil(position)}:
                 if counts[c]:
                     wanted.setdefault((c, rank), _Search(c, rank, counts[c]))
+    brackets = set()
+    for i, c in enumerate(columns):
+        proposed = first[f"p{i}"] or []
+        brackets |= {(c, low, high) for low, high in zip(proposed[::2], proposed[1::2])}
+    if brackets:
+        _narrow(values, list(wanted.values()), sorted(brackets), exact_rows, accuracy)
     _solve(values, list(wanted.values()), exact_rows, accuracy)
 
     out: dict[str, list[float | None]] = {}
@@ -115,8 +133,36 @@ def value_at_rank(df: DataFrame, column: str, rank: int, *, exact_rows: int = EX
     return search.found
 
 
+def _narrow(
+    values: DataFrame, searches: list[_Search], brackets: list[tuple[str, float, float]], exact_rows: int, accuracy: int
+) -> None:
+    """Count at the ends of the brackets and, if these must hold few values, gather what lies inside."""
+    cuts = sorted({(c, cut) for c, low, high in brackets for cut in (low, high)})
+    # Inside a bracket lie its slack on both sides and the error of both ends.
+    most = {s.column: s.upto for s in searches}
+    gather = sum(2 * (SLACK + 1) / accuracy * most[c] for c, _, _ in brackets) <= exact_rows
+    measures = []
+    for c, cut in cuts:
+        measures += [F.count_if(F.col(f"`{c}`") < cut), F.count_if(F.col(f"`{c}`") <= cut)]
+    if gather:
+        measures += [F.collect_list(_Search(c, 0, 0, 0, low, high).member()) for c, low, high in brackets]
+    row = values.agg(*[m.alias(f"m{i}") for i, m in enumerate(measures)]).first()
+    for i, (column, cut) in enumerate(cuts):
+        for s in searches:
+            if s.column == column and s.found is None:
+                s.compare(cut, row[2 * i], row[2 * i + 1])
+    held = dict(zip(brackets, row[2 * len(cuts) :]))
+    for s in searches:
+        if s.found is not None or s.low is None or s.high is None:
+            continue
+        for (column, low, high), inside in held.items():
+            if column == s.column and low <= s.low and s.high <= high:
+                s.found = sorted(x for x in inside if s.low < x < s.high)[s.rank - s.below]
+                break
+
+
 def _solve(values: DataFrame, searches: list[_Search], exact_rows: int, accuracy: int) -> None:
-    slack = 2.0 / accuracy
+    slack = SLACK / accuracy
     while wide := _too_wide(searches, exact_rows):
         # One sketch per interval proposes cuts on both sides of every rank in it.
         shared = _by_interval(wide)
