@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.calendar import parse_date
 from tidewatch.functions.missing import divide, value
 from tidewatch.operators.ordered import Frame, Layout, over_rows
-from tidewatch.operators.ranking import top_anomalies
+from tidewatch.operators.ranking import top_anomalies, top_per_series
 
 STABILITY_WINDOW = 30
 
@@ -271,3 +271,31 @@ def join_methods(
             F.count_if(F.col("__side") == 2).alias("second_rows"),
         )
     )
+
+
+def top_per_method(df: DataFrame, methods: dict[str, tuple[str, str]], k: int, *, keys: Sequence[str]) -> DataFrame:
+    """(method, rank, keys, score): the ``k`` most severe flagged rows of every method, which is given as its score column
+    and its flag column; lower scores are more severe.
+
+    One scan for all methods: every task keeps ``k`` rows of each before any is moved.
+    """
+    each = F.array(
+        *[
+            F.struct(F.lit(m).alias("method"), value(df, score).cast("double").alias("score"), F.col(flag).alias("flag"))
+            for m, (score, flag) in methods.items()
+        ]
+    )
+    flagged = df.select(*keys, F.explode(each).alias("__m")).where("__m.flag").select(*keys, "__m.method", "__m.score")
+    return top_per_series(flagged, "score", k, partition_by=["method"], tiebreak=keys)
+
+
+def method_disagreements(
+    df: DataFrame, first: tuple[str, str], second: tuple[str, str], k: int, *, keys: Sequence[str]
+) -> DataFrame:
+    """(side, rank, keys, score): the ``k`` most severe rows that only the first and that only the second method flags, by
+    the score of the method that flags them."""
+    a, b = (F.coalesce(F.col(flag), F.lit(False)) for _, flag in (first, second))
+    score = F.when(a, value(df, first[0]).cast("double")).otherwise(value(df, second[0]).cast("double"))
+    side = F.when(a & ~b, "only_first").when(b & ~a, "only_second")
+    apart = df.select(*keys, side.alias("side"), score.alias("score")).where("side IS NOT NULL")
+    return top_per_series(apart, "score", k, partition_by=["side"], tiebreak=keys)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.calendar import parse_date
 from tidewatch.functions.columns import present
+from tidewatch.operators.evaluation import persistence_rate
 
 
 def anomaly_overlay(
@@ -47,6 +49,26 @@ def monthly_anomaly_rate(df: DataFrame, *, date_col: str = "date", anomaly_col:
     )
 
 
+def evaluation_report(evaluation: dict[str, DataFrame], summary: DataFrame) -> DataFrame:
+    """All evaluation numbers as long rows (section, key, measure, value): totals, persistence, stability, and the rates of
+    each month and quarter. The tables behind it have a few rows each."""
+    sections = [("summary", summary, [])]
+    if "persistence" in evaluation:
+        sections.append(("persistence", persistence_rate(evaluation["persistence"]), []))
+    sections += [(name, evaluation[name], keys) for name, keys in _SECTIONS.items() if name in evaluation]
+    parts = []
+    for name, table, keys in sections:
+        measures = [c for c in table.columns if c not in keys]
+        said = F.concat_ws("-", *[F.col(k).cast("string") for k in keys]) if keys else F.lit("")
+        doubles = [F.col(m).cast("double").alias(m) for m in measures]
+        long = table.select(said.alias("key"), *doubles).unpivot(["key"], measures, "measure", "value")
+        parts.append(long.select(F.lit(name).alias("section"), "key", "measure", "value"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+_SECTIONS = {"stability": [], "seasonality": ["grain", "key"]}
+
+
 def write_report_tables(
     df: DataFrame, metrics: Sequence[str], output_path: str, *, threshold: float | None = None
 ) -> list[str]:

@@ -11,7 +11,7 @@ from tidewatch.operators.evaluation import anomaly_runs, evaluate_anomalies, fla
 from tidewatch.operators.features import engineer_features
 from tidewatch.operators.forest import ForestModel, IsolationForest
 from tidewatch.operators.ordered import Layout
-from tidewatch.operators.reports import write_report_tables
+from tidewatch.operators.reports import evaluation_report, write_report_tables
 from tidewatch.plans.quality_run import QualityResult, run_quality_checks
 from tidewatch.sources.ingest import ingest_tables, normalise
 from tidewatch.sources.staging import stage
@@ -91,7 +91,7 @@ def run_anomaly_detection(
         predictions, config, order_by=order_by, partition_by=partition_by, layout=layout
     )
     if output.get("save_predictions", True):
-        save_csv(evaluation["top_anomalies"], f"{results}/anomalies.csv", single_file=True)
+        write_evaluation(evaluation, flag_rate(predictions), results)
         runs = anomaly_runs(predictions, order_by=order_by, partition_by=partition_by, layout=layout)
         top = (config.get("evaluation") or {}).get("top_k_anomalies", 20)
         save_csv(ranked_runs(runs, top, tiebreak=partition_by), f"{results}/anomaly_windows.csv", single_file=True)
@@ -100,6 +100,13 @@ def run_anomaly_detection(
     return AnomalyRun(datasets, quality, features, predictions, evaluation, model, flag_rate(predictions))
 
 
+def write_evaluation(evaluation: dict[str, DataFrame], summary: DataFrame, results: str) -> None:
+    """The most severe rows as CSV, and all evaluation numbers as JSON, one object for each."""
+    save_csv(evaluation["top_anomalies"], f"{results}/anomalies.csv", single_file=True)
+    report = evaluation_report(evaluation, summary)
+    report.coalesce(1).write.mode("overwrite").json(f"{results}/evaluation.json")
+
+
 def _ordering(df: DataFrame, config: dict) -> tuple[list[str], list[str]]:
     settings = config.get("features") or {}
     partition_by = list(settings.get("partition_by") or [])

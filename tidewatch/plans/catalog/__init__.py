@@ -3,9 +3,9 @@
 Results are rounded on both sides because sums of floats depend on the order of their terms.
 """
 
-from tidewatch.plans.catalog import evaluation, features, forests, models, nonfinite, quality, sources
+from tidewatch.plans.catalog import evaluation, features, forests, models, nonfinite, outputs, quality, sources
 
-_MODULES = (sources, features, quality, evaluation, models, forests, nonfinite)
+_MODULES = (sources, features, quality, evaluation, models, forests, nonfinite, outputs)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in _MODULES for name, sql in module.SQL.items()}
