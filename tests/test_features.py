@@ -183,3 +183,29 @@ def test_division(spark):
 def test_complete_rows_keep_infinities(spark):
     df = spark.createDataFrame([(1, math.inf), (2, math.nan), (3, None), (4, 1.0)], "n int, x double")
     assert [r["n"] for r in drop_incomplete(df).orderBy("n").collect()] == [1, 4]
+
+
+@pytest.mark.parametrize("layout", [DAILY, Layout(block_rows=50)])
+def test_wide_windows_equal_sliding_frames(spark, monkeypatch, layout):
+    """Gaps, infinities of both signs, constant stretches and whole numbers, with windows beyond a series and of odd widths."""
+    from tidewatch.operators import evaluation, features
+
+    rows = []
+    for i in range(900):
+        x = None if i % 13 == 0 else float("inf") if i == 300 else float("-inf") if i in (330, 700) else 1e6 + i % 7
+        rows.append((i, "ab"[i % 3 == 0], 5.25 if 400 < i < 650 else x, i % 11 if i % 4 else None, i % 5 == 0))
+    df = spark.createDataFrame(rows, "n int, series string, x double, k int, flag boolean")
+    how = {"order_by": ["n"], "partition_by": ["series"], "layout": layout}
+
+    def made():
+        rolled = features.rolling_features(df, ["x", "k"], [1, 2, 3, 31, 64, 100], min_periods=2, **how)
+        return rolled, evaluation.anomaly_persistence(df, "flag", 40, **how), evaluation.rolling_cv(df, "k", 37, **how)
+
+    plain = made()
+    for module in (features, evaluation):
+        monkeypatch.setattr(module, "WIDE", 0)
+    for want, got in zip(plain, made()):
+        assert got.columns == want.columns and got.schema == want.schema
+        for a, b in zip(want.orderBy("n").collect(), got.orderBy("n").collect()):
+            for c in want.columns:
+                assert a[c] == b[c] or a[c] == pytest.approx(b[c], rel=1e-9, abs=1e-6), (c, a, b)

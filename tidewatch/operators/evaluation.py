@@ -10,18 +10,25 @@ from pyspark.sql import functions as F
 from tidewatch.functions.calendar import parse_date
 from tidewatch.functions.missing import divide, value
 from tidewatch.operators.ordered import Frame, Layout, over_rows
+from tidewatch.operators.wide import WIDE, wide_count, wide_extremes, wide_moments
 from tidewatch.operators.ranking import top_anomalies, top_per_series
 
 STABILITY_WINDOW = 30
 
 
 def _persistence_columns(frame: Frame, anomaly_col: str, window: int) -> dict[str, Column]:
-    flagged = F.sum(F.col(anomaly_col).cast("int")).over(frame.rows(window - 1))
-    count = F.coalesce(frame.once(flagged), F.lit(0).cast("long"))
+    flag = F.col(anomaly_col).cast("int")
+    if window > WIDE:
+        count = wide_count(frame, flag, [window])[window]
+    else:
+        count = F.coalesce(frame.once(F.sum(flag).over(frame.rows(window - 1))), F.lit(0).cast("long"))
     return {"anomaly_count_window": count, "persistent_anomaly": count > 1}
 
 
 def _cv_column(frame: Frame, score: Column, window: int) -> Column:
+    if window > WIDE:
+        _, mean, std = wide_moments(frame, score, [window], wide_extremes(frame, score, [window]))[window]
+        return divide(std, mean)
     rows = frame.rows(window - 1)
     return divide(frame.once(F.stddev_samp(score).over(rows)), frame.once(F.avg(score).over(rows)))
 

@@ -11,6 +11,7 @@ from tidewatch.functions.calendar import parse_date, seasonal_features
 from tidewatch.functions.columns import metric_columns, present
 from tidewatch.functions.missing import divide, is_floating, known, value
 from tidewatch.operators.ordered import Frame, Layout, over_rows
+from tidewatch.operators.wide import WIDE, wide_extremes, wide_moments
 
 ROLLING_STATS = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
 
@@ -20,9 +21,18 @@ def rolling_columns(
 ) -> dict[str, Column]:
     """Trailing statistics of the last ``w`` rows, missing while fewer than ``min_periods`` values are present."""
     out = {}
+    wide = [w for w in windows if w > WIDE]
+    extremes = wide_extremes(frame, col, wide) if wide else {}
+    moments = wide_moments(frame, col, wide, extremes) if wide else {}
     for w in windows:
         rows = frame.rows(w - 1)
         needed = w if min_periods is None else min_periods
+        if w > WIDE:
+            count, mean, std = moments[w]
+            low, high = extremes[w]
+            for stat, rolled in {"mean": mean, "std": std, "min": low, "max": high}.items():
+                out[f"{name}_rolling_{stat}_{w}"] = F.when(count >= needed, rolled) if needed > 1 else rolled
+            continue
         enough = frame.once(F.count(col).over(rows)) >= needed if needed > 1 else None
         for stat, aggregate in ROLLING_STATS.items():
             rolled = aggregate(col).over(rows)

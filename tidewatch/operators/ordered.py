@@ -50,7 +50,7 @@ class Frame:
 
     def __init__(self, spec: WindowSpec, fills: dict[str, str]):
         self.order = spec
-        self.shared: dict[str, Column] = {}
+        self.layers: list[dict[str, Column]] = []
         self._fills = fills
 
     def rows(self, back: int, ahead: int = 0) -> WindowSpec:
@@ -62,8 +62,14 @@ class Frame:
 
     def once(self, windowed: Column) -> Column:
         """A window expression that several results use; written in place it would be evaluated for each of them."""
-        name = f"__shared_{len(self.shared)}"
-        self.shared[name] = windowed
+        return self.at(0, windowed)
+
+    def at(self, level: int, windowed: Column) -> Column:
+        """A shared window expression over columns of lower levels."""
+        while len(self.layers) <= level:
+            self.layers.append({})
+        name = f"__shared_{level}_{len(self.layers[level])}"
+        self.layers[level][name] = windowed
         return F.col(name)
 
 
@@ -133,9 +139,10 @@ def _plain(df, build, order_by, partition_by, lookback, lookahead, fill, layout)
 
 
 def _append(df: DataFrame, build: Builder, frame: Frame) -> DataFrame:
-    results = build(frame)
-    ready = df.withColumns(frame.shared) if frame.shared else df
-    return ready.withColumns(results).drop(*frame.shared)
+    results, ready = build(frame), df
+    for layer in frame.layers:
+        ready = ready.withColumns(layer) if layer else ready
+    return ready.withColumns(results).drop(*[name for layer in frame.layers for name in layer])
 
 
 def _blocked(df, build, order_by, partition_by, lookback, lookahead, fill, layout) -> DataFrame:
