@@ -105,7 +105,10 @@ QUERIES = {
         rolling_features(region_daily(s, d), ["orders", "revenue"], [7, 30], **_BY_REGION)
     ),
     "rolling_stats_global": lambda s, d: rounded(rolling_features(_events(s, d), ["value"], [7, 30], **_GLOBAL)),
-    "rolling_stats_wide": lambda s, d: rounded(rolling_features(_events(s, d), ["value"], [300, 2500], **_GLOBAL)),
+    # Full windows: means of, say, 160 amounts in cents lie right between two numbers of six digits.
+    "rolling_stats_wide": lambda s, d: rounded(
+        rolling_features(_events(s, d), ["value"], [300, 2500], min_periods=None, **_GLOBAL)
+    ),
     "rolling_min_periods": lambda s, d: rounded(
         rolling_features(_gappy(s, d), ["reading"], [7], min_periods=5, **_GLOBAL)
     ),
@@ -239,7 +242,7 @@ SQL = {
         REGION_DAILY,
     ),
     "rolling_stats_global": _select(_EVENT_COLUMNS + _rolling("value", [7, 30], _TIME), "e", _EVENTS),
-    "rolling_stats_wide": _select(_EVENT_COLUMNS + _rolling("value", [300, 2500], _TIME), "e", _EVENTS),
+    "rolling_stats_wide": _select(_EVENT_COLUMNS + _rolling("value", [300, 2500], _TIME, lambda w: w), "e", _EVENTS),
     "rolling_min_periods": _select(_GAPPY_COLUMNS + _rolling("reading", [7], _TIME, lambda w: 5), "gappy", GAPPY),
     "rolling_full_windows": _select(_GAPPY_COLUMNS + _rolling("reading", [14], _TYPE, lambda w: w), "gappy", GAPPY),
     "rolling_cv": _select(
