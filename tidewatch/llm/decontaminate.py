@@ -5,8 +5,8 @@ is ``n`` consecutive words of an item; an item of fewer words, but not none, is
 occurrence of a window is hit.
 
 The windows are a hash table that every task gets as a constant of the plan: an array of buckets, addressed by hash, of
-windows with their items. Its size is checked against ``max_windows``; a larger benchmark is joined with the exploded
-document windows by a shuffle instead, with equal results.
+windows with their items. Its size is checked against ``max_windows``; a larger benchmark is joined with the windows of
+candidate documents by a shuffle instead, with equal results.
 
 Most documents hold no window. Every window of n words covers a gram of ``a`` words that starts at a multiple of
 ``n - a + 1``, so it is enough to look up those grams first and to compare all windows only where one is found. Nothing
@@ -151,15 +151,27 @@ def with_hits(
 
 
 def joined_hits(base: DataFrame, item_rows: DataFrame, lengths: list[int]) -> DataFrame:
-    """The same hits for a benchmark too large to be sent to every task: document windows meet item windows in a
-    shuffle on the window, and the hits come back to their documents by a row number."""
+    """The same hits for a benchmark too large to be sent to every task: windows of documents meet item windows in a
+    shuffle on the window, and the hits come back to their documents by a row number.
+
+    Aligned grams meet first, as 64-bit hashes, so only documents that hold a gram of an item hand over their windows.
+    """
     rows = stage(base.withColumn("n", F.monotonically_increasing_id()), "decontaminate-rows")
     found = None
     for length in lengths:
+        # Written, so that Spark may send a small side to the tasks or split a gram or window of very many rows.
+        grams = stage(window_grams(item_rows, length).select(F.xxhash64("gram").alias("gram")).distinct(), "decontaminate-grams")
+        held = rows.select("n", F.explode(every(F.col("spaced"), *gram_shape(length))).alias("gram"))
+        candidates = stage(
+            held.select("n", F.xxhash64("gram").alias("gram")).join(grams, "gram", "left_semi").select("n").distinct(),
+            "decontaminate-candidates",
+        )
+        items = stage(item_rows.where(F.col("length") == length).drop("length"), "decontaminate-items")
         part = (
-            rows.select("n", F.posexplode(windows(F.col("spaced"), length)))
+            rows.join(candidates, "n", "left_semi")
+            .select("n", F.posexplode(windows(F.col("spaced"), length)))
             .withColumnsRenamed({"pos": "start", "col": "window"})
-            .join(item_rows.where(F.col("length") == length).drop("length"), "window")
+            .join(items, "window")
             .select("n", F.struct("start", (F.col("start") + length).alias("end"), "items").alias("hit"))
         )
         found = part if found is None else found.union(part)
