@@ -140,3 +140,13 @@ def test_every_rule_is_found_as_without_gates(table):
         ]
         got = sorted((d["start"], d["end"], d["priority"]) for d in rows[i]["detections"])
         assert got == resolved(found), licenses.RULES[i]
+
+
+def test_twenty_thousand_matches(table):
+    docs = table(["mit license " * 20_000, "mit license " * 256, ""])
+    padded = F.concat(F.lit(" "), spaced(lower_ascii(F.coalesce("text", F.lit("")))))
+    rows = docs.select("doc_id", licenses.places(padded, " mit license(?= )").alias("at")).collect()
+    got = {r["doc_id"]: [tuple(s) for s in r["at"]] for r in rows}
+    assert got == {i: [(2 * k, 2 * k + 2) for k in range(n)] for i, n in enumerate([20_000, 256, 0])}
+    sizes = licenses.scan(docs).select("row.doc_id", F.size("detections")).collect()
+    assert {r[0]: r[1] for r in sizes} == {0: 20_000, 1: 256, 2: 0}

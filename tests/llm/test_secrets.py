@@ -1,5 +1,6 @@
 import re
 
+import pytest
 from llm_odd import ODD, table  # noqa: F401
 from pyspark.sql import functions as F
 
@@ -39,7 +40,17 @@ def test_findings_against_brute_force(spark, table):
     assert found(table(TEXTS), ledger) == [(i, brute(t)) for i, t in enumerate(TEXTS)]
 
 
-def test_ledger_scans_unseen_pairs_only(spark, table):
+def test_fifty_thousand_matches(spark, table):
+    texts = ["é password=abcdef " * 50_000, "password=abcdef " * 256, "password=abcdef " * 257]
+    ledger = secrets.Ledger(spark, staging_path(spark, "ledger"))
+    secrets.update(table(texts), ledger, secrets.BASE[:1])
+    want = [[("assign", m.start(), m.end()) for m in re.finditer("password=abcdef", t)] for t in texts]
+    assert found(table(texts), ledger, secrets.BASE[:1]) == list(enumerate(want))
+
+
+@pytest.mark.parametrize("sent", [0, secrets.MAX_UNSEEN])
+def test_ledger_scans_unseen_pairs_only(spark, table, monkeypatch, sent):
+    monkeypatch.setattr(secrets, "MAX_UNSEEN", sent)
     ledger = secrets.Ledger(spark, staging_path(spark, "ledger"))
     two = secrets.BASE[:2]
     secrets.update(table([TEXTS[-5], TEXTS[-5], "plain"]), ledger, two)

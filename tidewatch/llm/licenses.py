@@ -20,7 +20,7 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.text import lower_ascii, n_words, spaced, whole
+from tidewatch.llm.text import lower_ascii, n_words, once, pieces, running, spaced, whole
 
 #: (label, keyword, name as a regular expression over words). The name is what forms are built around.
 NAMES = (
@@ -205,16 +205,14 @@ def places(padded: Column, pattern: Column | str) -> Column:
     """(start, end) in words of every match in a text whose words all have a space before them."""
     gaps = F.split(padded, pattern, -1)
     found = F.regexp_extract_all(padded, F.lit(pattern) if isinstance(pattern, str) else pattern, F.lit(0))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
+    pairs = F.zip_with(found, gaps, lambda m, g: F.struct(n_words(g).alias("gap"), n_words(m).alias("found")))
+    told = running(once(pairs, lambda p: F.slice(p, 1, F.size(p) - 1)), lambda p: p["gap"] + p["found"])
 
-    def step(acc: Column, pair: Column) -> Column:
-        start = acc["at"] + n_words(pair["gap"])
-        end = start + n_words(pair["found"])
-        span = F.struct(start.alias("start"), end.alias("end"))
-        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+    def place(r: Column) -> Column:
+        start = r["before"] + r["item"]["gap"]
+        return F.struct(start.alias("start"), (start + r["item"]["found"]).alias("end"))
 
-    pairs = F.zip_with(found, gaps, lambda m, g: F.struct(g.alias("gap"), m.alias("found")))
-    return F.aggregate(F.slice(pairs, 1, F.size(found)), zero, step, lambda acc: acc["spans"])
+    return F.transform(told, place)
 
 
 def detections(padded: Column, rules: Sequence[Signature] = RULES) -> Column:
@@ -245,9 +243,8 @@ def resolved(found: Column) -> Column:
     Sorted by start, longest first, a container precedes what it contains; so the largest end seen so far for each
     priority and all better ones tells whether a detection is contained.
     """
-    kept_type = "array<struct<start:int,end:int,label:string,rule:string,priority:int,confidence:double>>"
     zero = F.struct(
-        F.array(*[F.lit(-1)] * PRIORITIES).alias("ends"), F.array().cast(kept_type).alias("kept")
+        F.array(*[F.lit(-1)] * PRIORITIES).alias("ends"), F.array().cast(f"array<{DETECTIONS}>").alias("kept")
     )
 
     def step(acc: Column, d: Column) -> Column:
@@ -262,10 +259,20 @@ def resolved(found: Column) -> Column:
             d["confidence"].alias("confidence"),
         )
         inside = F.get(acc["ends"], d["priority"] - 1) >= end
-        kept = F.when(inside, acc["kept"]).otherwise(F.concat(acc["kept"], F.array(row).cast(kept_type)))
-        return F.struct(ends.alias("ends"), kept.cast(kept_type).alias("kept"))
+        kept = F.when(inside, acc["kept"]).otherwise(F.concat(acc["kept"], F.array(row).cast(DETECTIONS)))
+        return F.struct(ends.alias("ends"), kept.cast(DETECTIONS).alias("kept"))
+
+    def whole_piece(acc: Column, piece: Column) -> Column:
+        begun = F.struct(acc["ends"].alias("ends"), F.array().cast(DETECTIONS).alias("kept"))
+        return once(
+            F.aggregate(piece, begun, step),
+            lambda done: F.struct(
+                done["ends"].alias("ends"), F.concat(acc["kept"], F.array(done["kept"])).alias("kept")
+            ),
+        )
 
-    return F.aggregate(F.sort_array(found), zero, step, lambda acc: acc["kept"])
+    # Appending copies the list, so each piece has a list of its own.
+    return F.aggregate(pieces(F.sort_array(found)), zero, whole_piece, lambda acc: F.flatten(acc["kept"]))
 
 
 def scan(docs: DataFrame, rules: Sequence[Signature] = RULES, text: str = "text") -> DataFrame:

@@ -19,9 +19,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.text import matches, whole
+from tidewatch.llm.text import matches, once, whole
+from tidewatch.sources.staging import stage
 
 FINDINGS = "array<struct<kind:string,start:int,end:int>>"
+#: Most unseen blobs whose addresses are sent to every task (64 bytes each); beyond that texts are dealt out by address.
+MAX_UNSEEN = 100_000
 LEDGER = f"blob string, versions array<string>, findings {FINDINGS}"
 
 
@@ -88,11 +91,15 @@ class Ledger:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def read(self) -> DataFrame:
-        """The table as it is; empty before the first run."""
+    def exists(self) -> bool:
+        """Whether a run was written."""
         there = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         files = there.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not files.exists(there):
+        return files.exists(there)
+
+    def read(self) -> DataFrame:
+        """The table as it is; empty before the first run."""
+        if not self.exists():
             return self.spark.createDataFrame([], LEDGER)
         return self.spark.read.schema(LEDGER).parquet(self.path)
 
@@ -110,10 +117,15 @@ def update(docs: DataFrame, ledger: Ledger, rules: Sequence[Rule] = RULES, text:
         .groupBy("blob")
         .agg(F.collect_set("version").alias("known"))
     )
+    texts = docs.select(whole(text).alias("text")).select(F.sha2("text", 256).alias("blob"), "text")
+    if ledger.exists():
+        # Addresses are dealt out before texts: where few blobs are new, no other text leaves its task.
+        done = known.where(F.size("known") == len({r.version for r in rules})).select("blob")
+        unseen = stage(texts.select("blob").distinct().join(done, "blob", "left_anti"), "unseen-blobs")
+        if unseen.count() <= MAX_UNSEEN:
+            texts = texts.join(F.broadcast(unseen), "blob", "left_semi")
     blobs = (
-        docs.select(whole(text).alias("text"))
-        .select(F.sha2("text", 256).alias("blob"), "text")
-        .dropDuplicates(["blob"])
+        texts.dropDuplicates(["blob"])
         .join(known, "blob", "left")
         .withColumn("versions", F.array_except(versions, F.coalesce("known", F.array().cast("array<string>"))))
         .where(F.size("versions") > 0)
@@ -147,8 +159,10 @@ def findings_by_path(
             f["kind"].alias("kind"),
         ),
     )
+    # Sets of structs compare all pairs; in order, equal ones are neighbours.
+    distinct = once(F.sort_array(order), lambda o: F.filter(o, lambda f, i: (i == 0) | (f != F.get(o, i - 1))))
     sorted_findings = F.transform(
-        F.sort_array(F.array_distinct(order)),
+        distinct,
         lambda f: F.struct(f["kind"].alias("kind"), f["start"].alias("start"), f["end"].alias("end")),
     )
     return (

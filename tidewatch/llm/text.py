@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: What separates words where punctuation belongs to them: ASCII white space.
 BLANKS = r"[\x20\x09-\x0D]+"
+#: Items whose lengths are added up in one piece.
+PIECE = 256
 
 
 def whole(text: str | Column) -> Column:
@@ -70,25 +73,60 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
     return placed(pairs)
 
 
+def running(items: Column, length: Callable[[Column], Column], piece: int = PIECE) -> Column:
+    """The items as (before, item), ``before`` being the sum of ``length`` over all earlier items.
+
+    Appending to an array copies it. So the items are cut into pieces, and what is appended to is the list of the
+    pieces' sums and the list of sums inside one piece, which keeps the work of an item in bounds.
+    """
+
+    def sums(values: Column, start: Column) -> Column:
+        """``start`` and the sums up to each of the values."""
+        zero = F.struct(start.alias("at"), F.array(start).alias("all"))
+
+        def step(acc: Column, value: Column) -> Column:
+            at = acc["at"] + value
+            return F.struct(at.alias("at"), F.concat(acc["all"], F.array(at)).alias("all"))
+
+        return F.aggregate(values, zero, step, lambda acc: acc["all"])
+
+    def paired(part: Column, start: Column) -> Column:
+        before = F.slice(sums(F.transform(part, length), start), 1, F.size(part))
+        return F.zip_with(part, before, lambda item, at: F.struct(at.alias("before"), item.alias("item")))
+
+    def joined(parts: Column) -> Column:
+        totals = F.transform(parts, lambda part: F.aggregate(part, F.lit(0), lambda total, item: total + length(item)))
+        starts = F.slice(sums(totals, F.lit(0)), 1, F.size(parts))
+        return F.flatten(F.zip_with(parts, starts, paired))
+
+    return once(pieces(items, piece), joined)
+
+
+def pieces(items: Column, piece: int = PIECE) -> Column:
+    """The items as an array of arrays of at most ``piece`` items, in order; one empty piece if there are none."""
+
+    def cut(every_item: Column) -> Column:
+        firsts = F.sequence(F.lit(1), F.greatest(F.size(every_item), F.lit(1)), F.lit(piece))
+        return F.transform(firsts, lambda first: F.slice(every_item, first, F.lit(piece)))
+
+    return once(items, cut)
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, the value worked out once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def placed(pairs: Column) -> Column:
     """Places of ``found`` from (gap, found, value) in order of occurrence."""
-    start = F.struct(
-        F.lit(0).alias("at"), F.lit(None).cast("array<struct<start:int,end:int,value:string>>").alias("spans")
-    )
+    told = running(pairs, lambda p: F.char_length(p["gap"]) + F.char_length(p["found"]))
 
-    def step(acc: Column, pair: Column) -> Column:
-        begin = acc["at"] + F.char_length(pair["gap"])
-        end = begin + F.char_length(pair["found"])
-        span = F.array(F.struct(begin.alias("start"), end.alias("end"), pair["value"].alias("value")))
-        return F.struct(
-            end.alias("at"),
-            F.when(acc["spans"].isNull(), span).otherwise(F.concat(acc["spans"], span)).alias("spans"),
-        )
-
-    return F.coalesce(
-        F.aggregate(pairs, start, step, lambda acc: acc["spans"]),
-        F.array().cast("array<struct<start:int,end:int,value:string>>"),
-    )
+    def place(r: Column) -> Column:
+        start = r["before"] + F.char_length(r["item"]["gap"])
+        end = start + F.char_length(r["item"]["found"])
+        return F.struct(start.alias("start"), end.alias("end"), r["item"]["value"].alias("value"))
+
+    return F.coalesce(F.transform(told, place), F.array().cast("array<struct<start:int,end:int,value:string>>"))
 
 
 def covered(spans: Column) -> Column:
