@@ -23,7 +23,6 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 from pathlib import Path
@@ -34,6 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidewatch.llm import worker_tools
 from tidewatch.llm.token_files import Memory
 from tidewatch.sources.staging import stage
 
@@ -222,12 +222,9 @@ class Aligner:
 
 def _aligner(files) -> Aligner:  # noqa: ANN001
     """The aligner of this Python worker; it outlives a task where workers are reused."""
-    kept = sys.modules.setdefault("_tidewatch_worker_tools", type(sys)("_tidewatch_worker_tools")).__dict__
     json_a, model_b = files
     key = ("aligner", hashlib.md5(json_a.encode() + model_b).digest())
-    if key not in kept:
-        kept[key] = Aligner(json_a, model_b)
-    return kept[key]
+    return worker_tools.keep(key, lambda: Aligner(json_a, model_b))
 
 
 def tokenizer_files(path_a: str, path_b: str) -> tuple[str, bytes]:

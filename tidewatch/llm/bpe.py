@@ -28,6 +28,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from tidewatch.llm import worker_tools
+
 #: Bounds of the tables of a Python worker: states of the transducer, remembered words.
 MAX_STATES = 400_000
 MAX_WORDS = 250_000
@@ -318,12 +320,12 @@ class Decoder:
 
 def _tools(ranks_path: str, pattern: str) -> tuple[Encoder, Decoder]:
     """Encoder and decoder of this Python worker; they outlive a task where workers are reused."""
-    kept = sys.modules.setdefault("_tidewatch_worker_tools", type(sys)("_tidewatch_worker_tools")).__dict__
-    key = ("bpe", ranks_path, pattern)
-    if key not in kept:
+
+    def make() -> tuple[Encoder, Decoder]:
         ranks = load_ranks(ranks_path)
-        kept[key] = (Encoder(ranks, pattern), Decoder(ranks))
-    return kept[key]
+        return Encoder(ranks, pattern), Decoder(ranks)
+
+    return worker_tools.keep(("bpe", ranks_path, pattern), make)
 
 
 def encode_documents(

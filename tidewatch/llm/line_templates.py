@@ -32,6 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.llm import worker_tools
 from tidewatch.llm.text import whole
 from tidewatch.sources.staging import stage
 
@@ -94,6 +95,7 @@ def with_templates(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     """(mark, key, words, found): the templates of every row that has any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_tools.release()
         for whole_batch in batches:
             for begin in range(0, whole_batch.num_rows, BATCH):
                 batch = whole_batch.slice(begin, BATCH)
@@ -170,6 +172,7 @@ def dropped_lines(
 
 def without_lines(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     """Texts without the lines of the given numbers; NULL where there are none."""
+    worker_tools.release()
     for texts, dropped in batches:
         out = []
         for t, gone in zip(texts.to_pylist(), dropped.to_pylist()):

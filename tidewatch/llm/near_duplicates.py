@@ -28,6 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.llm import worker_tools
 from tidewatch.llm.components import connected_components
 from tidewatch.sources.staging import stage
 
@@ -89,6 +90,7 @@ def _digest(hashes: np.ndarray) -> int:
 
 
 def _signed(texts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    worker_tools.release()
     for batch in texts:
         kept = {"n": [], "class": [], "bands": []}
         for text in batch.column(2).cast(pa.binary()).to_pylist():
@@ -109,6 +111,7 @@ def _signed(texts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(texts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    worker_tools.release()
     for batch in texts:
         found = [shingles(text or b"") for text in batch.column(0).cast(pa.binary()).to_pylist()]
         yield pa.RecordBatch.from_arrays(
@@ -156,6 +159,7 @@ def _links_in_groups(groups: DataFrame, sizes: DataFrame, sets: DataFrame, perce
     )
 
     def linked(table: pa.Table) -> pa.Table:
+        worker_tools.release()
         a, b = _forest(table.column("class").to_numpy(), table.column("shingles").combine_chunks(), percent)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
