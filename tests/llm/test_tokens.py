@@ -119,3 +119,27 @@ def test_files_hold_documents_in_order(spark, table, monkeypatch):
         at += len(want)
     empty = token_files.write_and_read(spark, table(texts).where("false"), staging_path(spark, "none"), WORDS, 2)
     assert empty.count() == 0
+
+
+def test_plain_texts_learn_each_piece_once():
+    """Case, commas and full stops make no new words; borders where they do belong to a piece are left alone."""
+    encode = token_files.Encoder(WORDS)
+    (ids,) = encode(["Word, word. WORD\nword, Word."])
+    assert ids.tolist() == encode.tokenizer.encode("Word, word. WORD\nword, Word.", add_special_tokens=False).ids
+    assert set(encode.words.now) <= {"word", ",", "."}
+    rng = random.Random(11)
+    texts = ["".join(rng.choice("aZéÉßÿ,,..!' \n1-sT\t\xa0µİ"[: rng.choice([16, 17, 21])]) for _ in range(60)) for _ in range(400)]
+    for text, found in zip(texts, encode(texts)):
+        assert found.tolist() == encode.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_slices_are_bounded_and_whole(monkeypatch):
+    monkeypatch.setattr(token_files, "TEXTS", 3)
+    monkeypatch.setattr(token_files, "TEXT_BYTES", 10)
+    texts = ["", "x" * 30, "", "ab", "cd", "ef", "gh", "é" * 5, "y" * 11, "z", ""]
+    batch = token_files.pa.record_batch({"key": list(range(len(texts))), "text": texts})
+    slices = [s.column(1).to_pylist() for s in token_files._bounded(batch)]
+    assert [t for s in slices for t in s] == texts
+    assert all(len(s) <= 3 and (len(s) == 1 or sum(len(t.encode()) for t in s) <= 10) for s in slices)
+    assert len(slices) == 7
+    assert not list(token_files._bounded(batch.slice(0, 0)))
